@@ -59,7 +59,7 @@ def cumulative_snapshot(df: DataFrame, key: Keys, period: str, stats: Sequence[s
                         history: str = "season_stats", out_period: str = "current_season",
                         class_on: str | None = None, cuts: Sequence[float] = (), labels: Sequence[str] = (),
                         class_name: str = "scoring_class", recency_name: str = "years_since_last_season",
-                        active_name: str = "is_active") -> DataFrame:
+                        active_name: str = "is_active", only_end: bool = False) -> DataFrame:
     """X-2: spine x facts with the running history array of structs.
 
     For each key and period p in [first, end]: ``history`` holds the structs
@@ -69,7 +69,9 @@ def cumulative_snapshot(df: DataFrame, key: Keys, period: str, stats: Sequence[s
     element's period; active is "the last element is from p".
 
     The input must be unique per (key, period), as the primary key of the
-    snapshot table requires; ``duplicate_keys`` checks it.
+    snapshot table requires; ``duplicate_keys`` checks it. ``only_end=True``
+    emits just the rows of period ``end`` (one partition of the snapshot
+    table) without generating the other periods.
     """
     keys = _keys(key)
     per_key = df.groupBy(*keys).agg(
@@ -78,8 +80,9 @@ def cumulative_snapshot(df: DataFrame, key: Keys, period: str, stats: Sequence[s
         *[F.max(c).alias(c) for c in static],
     )
     lo = F.col("_first") if start is None else F.greatest(F.col("_first"), _lit(start))
+    periods = F.array(_lit(end)) if only_end else F.sequence(lo, _lit(end))
     spine = per_key.where(lo <= _lit(end)).select(
-        *keys, *static, "_facts", F.explode(F.sequence(lo, _lit(end))).alias(out_period))
+        *keys, *static, "_facts", F.explode(periods).alias(out_period))
     cur = F.col(out_period)
     if start is None:
         hist = F.filter("_facts", lambda s: s[period] <= cur)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
+from dimfold.operators import scd
 from dimfold.operators import snapshot as snap
 from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
@@ -84,3 +85,140 @@ def q01_cumulative_snapshot(spark, sf_dir):
         last["pts"].cast("double").alias("last_pts"),
         "scoring_class", "years_since_last_season", "is_active",
     )
+
+
+def players_at_end(c: Ctx) -> DataFrame:
+    """The snapshot at the last season only (what ``WHERE current_season = y`` reads)."""
+    ps = c.player_seasons
+    end = ps.agg(F.max("season")).scalar()
+    return snap.cumulative_snapshot(
+        ps, "player_name", "season", PLAYER_STATS, end, static=PLAYER_STATIC, start=None,
+        class_on="pts", cuts=fx.PLAYER_POINT_CUTS, labels=fx.CLASS_LABELS, only_end=True)
+
+
+def q02_snapshot_exploded(spark, sf_dir):
+    s = players_at_end(Ctx(spark, sf_dir))
+    e = snap.explode_snapshot(s, ["player_name"], "season_stats")
+    return e.select("player_name", "season", "gp", *[F.col(x).cast("double").alias(x) for x in ("pts", "reb", "ast")])
+
+
+def q03_improvement_nullif(spark, sf_dir):
+    s = players_at_end(Ctx(spark, sf_dir))
+    r = snap.improvement(s, ["player_name"], "season_stats", "pts", guard="nullif")
+    return r.select("player_name", F.round("improvement", 6).alias("improvement"))
+
+
+def q03b_improvement_case(spark, sf_dir):
+    s = players_at_end(Ctx(spark, sf_dir)).where(F.col("scoring_class") == "star")
+    r = snap.improvement(s, ["player_name"], "season_stats", "pts", guard="case")
+    return r.select("player_name", F.round("improvement", 6).alias("improvement"))
+
+
+ACTOR_KEYS = ["actorid", "actor"]
+FILM_ITEM = ["film", "votes", "rating", "filmid"]
+
+
+def actors_snapshot(c: Ctx, films: DataFrame | None = None) -> DataFrame:
+    af = c.actor_films if films is None else films
+    end = af.agg(F.max("year")).scalar()
+    static = [F.count_distinct("film").alias("total_films"),
+              (F.sum("rating").cast("double") / F.count("rating")).alias("average_rating")]
+    return snap.cumulative_snapshot_multi(
+        af, ACTOR_KEYS, "year", FILM_ITEM, end, static_aggs=static,
+        class_on="rating", cuts=fx.ACTOR_RATING_CUTS, labels=fx.CLASS_LABELS)
+
+
+def q04_snapshot_multi(spark, sf_dir):
+    a = actors_snapshot(Ctx(spark, sf_dir))
+    return a.select(
+        "actor", "actorid", "current_year", "n_films",
+        F.col("last_film")["film"].alias("last_film"),
+        F.col("last_film")["rating"].cast("double").alias("last_rating"),
+        "quality_class", "is_active", "years_since_last_film", "total_films", "average_rating")
+
+
+def q05_entity_history(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    a = actors_snapshot(c)
+    h = snap.entity_history(c.actor_films, ACTOR_KEYS, "year", FILM_ITEM, a)
+    return h.select(F.col("actor").alias("actor_name"), "actorid", "current_year",
+                    F.col("n_films").cast("int").alias("num_films"), "is_active",
+                    array_text("films_this_year").alias("films_this_year"))
+
+
+# --- SCD2 ------------------------------------------------------------------
+
+PLAYER_TRACKED = ["scoring_class", "is_active"]
+
+
+def _player_state(c: Ctx) -> DataFrame:
+    return players_snapshot(c).select("player_name", "current_season", *PLAYER_TRACKED)
+
+
+def q06_scd2_streaks(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    state = _player_state(c)
+    cutoff = state.agg(F.max("current_season") - 1).scalar()
+    return scd.scd2_streaks(state, "player_name", "current_season", PLAYER_TRACKED, cutoff)
+
+
+def _increment(spark, sf_dir, reference):
+    c = Ctx(spark, sf_dir)
+    state = _player_state(c)
+    end = state.agg(F.max("current_season")).scalar()
+    cutoff = state.agg(F.max("current_season") - 1).scalar()
+    prev = scd.scd2_streaks(state, "player_name", "current_season", PLAYER_TRACKED, cutoff)
+    return scd.scd2_increment(prev, state, "player_name", "current_season", PLAYER_TRACKED,
+                              cutoff, end, reference=reference)
+
+
+def q07_scd2_increment(spark, sf_dir):
+    return _increment(spark, sf_dir, False)
+
+
+def q07b_scd2_increment_ref(spark, sf_dir):
+    return _increment(spark, sf_dir, True)
+
+
+ACTOR_TRACKED = ["quality_class", "is_active", "n_films"]
+ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
+
+
+def actor_states(c: Ctx) -> DataFrame:
+    return actors_snapshot(c).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
+
+
+def _change_points(states, reference):
+    return scd.scd2_change_points(states, ACTOR_KEYS, "current_year", ACTOR_TRACKED,
+                                  defaults=ACTOR_DEFAULTS, reference=reference, fill="quality_class")
+
+
+def q08_scd2_change_points(spark, sf_dir):
+    return _change_points(actor_states(Ctx(spark, sf_dir)), False)
+
+
+def q08b_scd2_change_points_ref(spark, sf_dir):
+    return _change_points(actor_states(Ctx(spark, sf_dir)), True)
+
+
+def _merge(spark, sf_dir, reference):
+    states = actor_states(Ctx(spark, sf_dir))
+    last_year = states.agg(F.max("current_year")).scalar()
+    history = _change_points(states.where(F.col("current_year") < last_year), reference)
+    return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference)
+
+
+def q09_scd2_merge(spark, sf_dir):
+    return _merge(spark, sf_dir, False)[0]
+
+
+def q09b_scd2_merge_ref(spark, sf_dir):
+    return _merge(spark, sf_dir, True)[0]
+
+
+def q10_scd2_merge_counts(spark, sf_dir):
+    return _merge(spark, sf_dir, False)[1]
+
+
+def q10b_scd2_merge_counts_ref(spark, sf_dir):
+    return _merge(spark, sf_dir, True)[1]
