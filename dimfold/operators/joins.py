@@ -1,0 +1,36 @@
+"""Join helpers: dimension joins with a checked broadcast.
+
+The default is to let Spark decide: with AQE on, a sort-merge join becomes a
+broadcast join at runtime only after the shuffle of one side has been
+measured below ``spark.sql.adaptive.autoBroadcastJoinThreshold``. When a
+caller wants the broadcast planned up front (to skip the shuffle of the
+large side), ``checked_broadcast`` first proves the size bound by counting
+the small side's rows, and falls back to a shuffled join above the bound.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Broadcast a dimension only up to this many rows (a few MB of narrow rows).
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(small)`` if it has at most ``max_rows`` rows, else ``small`` unchanged.
+
+    The count reads at most ``max_rows + 1`` rows (a limit), so the check is
+    cheap even when the side turns out to be large.
+    """
+    n = small.limit(max_rows + 1).count()
+    return F.broadcast(small) if n <= max_rows else small
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, how: str = "inner",
+                   max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Star join of a fact table to one dimension (X-26)."""
+    side = checked_broadcast(dim, max_broadcast_rows) if max_broadcast_rows else dim
+    return fact.join(side, on, how)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
-from dimfold.operators import scd
+from dimfold.operators import facts, graph, quality, scd
 from dimfold.operators import snapshot as snap
 from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
@@ -222,3 +222,79 @@ def q10_scd2_merge_counts(spark, sf_dir):
 
 def q10b_scd2_merge_counts_ref(spark, sf_dir):
     return _merge(spark, sf_dir, True)[1]
+
+
+# --- grain, dedupe, facts ----------------------------------------------------
+
+DETAIL_KEYS = ["game_id", "team_id", "player_id"]
+
+
+def q11_duplicate_keys(spark, sf_dir):
+    return quality.duplicate_keys(Ctx(spark, sf_dir).game_details, DETAIL_KEYS)
+
+
+def q12_duplicate_rows(spark, sf_dir):
+    return quality.duplicate_rows(Ctx(spark, sf_dir).game_details, DETAIL_KEYS)
+
+
+def q13_dedupe_first(spark, sf_dir):
+    return quality.dedupe_first(Ctx(spark, sf_dir).game_details, DETAIL_KEYS)
+
+
+def fact_game_details(c: Ctx) -> DataFrame:
+    return facts.build_fact(c.game_details, c.games)
+
+
+def _iso_dates(df: DataFrame) -> DataFrame:
+    return df.select(*[iso(F.col(f.name)).alias(f.name) if f.dataType.typeName() == "date" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+def _fact_out(df: DataFrame) -> DataFrame:
+    out = _iso_dates(df)
+    return out.withColumn("m_minutes", F.round(F.col("m_minutes").cast("double"), 4))
+
+
+def q14_fact_build(spark, sf_dir):
+    return _fact_out(fact_game_details(Ctx(spark, sf_dir)))
+
+
+def q15_fact_team_join(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return _fact_out(facts.fact_with_dimension(fact_game_details(c), c.teams, "dim_team_id", "team_id"))
+
+
+def q16_rate_report(spark, sf_dir):
+    f = fact_game_details(Ctx(spark, sf_dir))
+    r = facts.rate_report(f, ["dim_player_name", "dim_is_playing_at_home"], "dim_not_with_team",
+                          where=F.col("dim_is_playing_at_home") == True)  # noqa: E712
+    return r.withColumn("bail_pct", F.round("bail_pct", 6))
+
+
+# --- graph -------------------------------------------------------------------
+
+def graph_vertices(c: Ctx) -> DataFrame:
+    return graph.all_vertices(c.games, c.game_details, c.teams)
+
+
+def q17_vertices(spark, sf_dir):
+    return graph_vertices(Ctx(spark, sf_dir))
+
+
+def q18_vertex_counts(spark, sf_dir):
+    return graph.vertex_counts(graph_vertices(Ctx(spark, sf_dir)))
+
+
+def q19_player_edges(spark, sf_dir):
+    return graph.co_occurrence_edges(Ctx(spark, sf_dir).game_details)
+
+
+def q20_plays_in_edges(spark, sf_dir):
+    return graph.membership_edges(Ctx(spark, sf_dir).game_details)
+
+
+def q21_points_per_game(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    edges = graph.co_occurrence_edges(c.game_details).drop(
+        "subject_player_name", "object_player_name", "num_games", "subject_points", "object_points")
+    return graph.points_per_game(graph_vertices(c), edges).withColumn("ppg", F.round("ppg", 6))
