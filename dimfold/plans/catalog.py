@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
-from dimfold.operators import facts, graph, quality, scd
+from dimfold.operators import activity, facts, graph, quality, reduced, scd
 from dimfold.operators import snapshot as snap
 from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
@@ -298,3 +298,144 @@ def q21_points_per_game(spark, sf_dir):
     edges = graph.co_occurrence_edges(c.game_details).drop(
         "subject_player_name", "object_player_name", "num_games", "subject_points", "object_points")
     return graph.points_per_game(graph_vertices(c), edges).withColumn("ppg", F.round("ppg", 6))
+
+
+# --- activity ----------------------------------------------------------------
+
+def event_days(c: Ctx):
+    """First and last event day of the data (lazy scalar subqueries)."""
+    d = c.events.select(F.to_date("event_time").alias("d"))
+    return d.agg(F.min("d")).scalar(), d.agg(F.max("d")).scalar()
+
+
+def _datelist_out(df: DataFrame) -> DataFrame:
+    return df.select("user_id", array_text("dates_active").alias("dates_active"), iso(F.col("date")).alias("date"))
+
+
+def q22_datelist(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    return _datelist_out(activity.datelist_rebuild(c.events, lo, hi))
+
+
+def q22b_datelist_step(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    prev = activity.datelist_rebuild(c.events, lo, F.date_sub(hi, 1))
+    return _datelist_out(activity.datelist_step(prev, c.events, hi))
+
+
+def _bits(spark, sf_dir, reference):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    users = activity.datelist_rebuild(c.events, lo, hi)
+    return activity.datelist_bits(users, hi, F.trunc(hi, "month"), reference=reference)
+
+
+def q23_datelist_bits(spark, sf_dir):
+    return _bits(spark, sf_dir, False)
+
+
+def q23b_datelist_bits_ref(spark, sf_dir):
+    return _bits(spark, sf_dir, True)
+
+
+def user_json_datelist(c: Ctx) -> DataFrame:
+    lo, hi = event_days(c)
+    return activity.json_datelist(c.events, "user_id", lo, hi)
+
+
+def _json_out(df: DataFrame, key: str, name: str) -> DataFrame:
+    return df.select(key, iso(F.col("date")).alias("date"),
+                     activity.datelist_json_text(df, "active_dates", name))
+
+
+def q24_user_json_datelist(spark, sf_dir):
+    return _json_out(user_json_datelist(Ctx(spark, sf_dir)), "user_id", "device_activity_datelist")
+
+
+def q25_host_json_datelist(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    return _json_out(activity.json_datelist(c.events, "host", lo, hi), "host", "host_activity_datelist")
+
+
+def q26_subkey_datelist(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    m = activity.subkey_datelist(c.events, "user_id", "browser_type", lo, hi)
+    e = m.select("user_id", F.explode("device_activity_datelist").alias("browser_type", "dates"))
+    return e.select("user_id", "browser_type", array_text("dates").alias("dates"))
+
+
+def _report(spark, sf_dir, reference):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    r = activity.activity_report(user_json_datelist(c), lo, hi, reference=reference)
+    return r.select("user_id", F.col("active_days").cast("int").alias("active_days"),
+                    iso(F.col("first_seen")).alias("first_seen"), iso(F.col("last_seen")).alias("last_seen"))
+
+
+def q27_activity_report(spark, sf_dir):
+    return _report(spark, sf_dir, False)
+
+
+def q27b_activity_report_ref(spark, sf_dir):
+    return _report(spark, sf_dir, True)
+
+
+def q28_datelist_int(spark, sf_dir):
+    d = activity.datelist_int(user_json_datelist(Ctx(spark, sf_dir)))
+    return d.select("user_id", iso(F.col("date")).alias("date"), array_text("datelist_int").alias("integer_dates"))
+
+
+# --- reduced facts -------------------------------------------------------------
+
+def metric_arrays(c: Ctx) -> DataFrame:
+    """The daily job of the month's last loaded day over the rebuilt state of the day before."""
+    lo, hi = event_days(c)
+    prev = reduced.metric_array_rebuild(c.events, F.date_sub(hi, 1))
+    return reduced.metric_array_step(prev, c.events, hi)
+
+
+def q29_metric_array(spark, sf_dir):
+    m = metric_arrays(Ctx(spark, sf_dir))
+    return m.select("user_id", iso(F.col("month_start")).alias("month_start"), "metric_name",
+                    array_text(F.transform("metric_array", lambda x: x.cast("int"))).alias("metric_array"))
+
+
+def q30_array_length_histogram(spark, sf_dir):
+    return reduced.array_length_histogram(metric_arrays(Ctx(spark, sf_dir)), "metric_array")
+
+
+def q31_metric_daily_series(spark, sf_dir):
+    s = reduced.explode_metric_array(metric_arrays(Ctx(spark, sf_dir)))
+    return s.select("metric_name", iso(F.col("date")).alias("date"), F.col("value").cast("double").alias("value"))
+
+
+def _monthly_out(df: DataFrame) -> DataFrame:
+    return df.select(iso(F.col("month")).alias("month"), "host",
+                     F.size("hit_array").alias("days_in_month"),
+                     array_text("hit_array").alias("hit_array"),
+                     array_text("unique_visitors_array").alias("unique_visitors_array"))
+
+
+def q32_monthly_arrays(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    return _monthly_out(reduced.monthly_arrays(c.events, lo, hi))
+
+
+def q33_monthly_arrays_step(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    state = reduced.monthly_arrays(c.events, lo, F.date_sub(hi, 1))
+    return _monthly_out(reduced.monthly_arrays_step(state, c.events, hi))
+
+
+def q34_contract_checks(spark, sf_dir):
+    j = user_json_datelist(Ctx(spark, sf_dir))
+    t = j.select("user_id", "date", activity.datelist_json_text(j, "active_dates", "device_activity_datelist"))
+    return quality.check_contract(
+        t, keys=["user_id", "date"], not_null=["date", "device_activity_datelist"],
+        json_objects=["device_activity_datelist"], json_required={"device_activity_datelist": "active_dates"})
