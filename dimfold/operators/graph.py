@@ -79,7 +79,9 @@ def co_occurrence_edges(details: DataFrame, group: str = "game_id", node: str =
     are equal, else ``plays_against``. Per (a, b, type): max names, number of
     shared groups and both measure sums.
     """
-    members = dedupe_first(details, [node, group]).select(group, node, name, side, measure)
+    # Only five columns are needed: narrow the rows before the de-duplication
+    # shuffle; the survivor is the first by (name, side, measure).
+    members = dedupe_first(details.select(group, node, name, side, measure), [node, group])
     a = members.alias("a")
     b = members.alias("b")
     pairs = a.join(b, (F.col(f"a.{group}") == F.col(f"b.{group}"))
@@ -107,8 +109,12 @@ def co_occurrence_edges(details: DataFrame, group: str = "game_id", node: str =
 
 
 def membership_edges(details: DataFrame) -> DataFrame:
-    """X-23c: ``plays_in`` edges, one per (player, game) after de-duplication."""
-    first = dedupe_first(details, ["player_id", "game_id"])
+    """X-23c: ``plays_in`` edges, one per (player, game) after de-duplication.
+
+    The survivor of a (player, game) is the first by its property values.
+    """
+    cols = ["player_id", "game_id", "start_position", "pts", "team_id", "team_abbreviation"]
+    first = dedupe_first(details.select(*cols), ["player_id", "game_id"])
     return first.select(
         F.col("player_id").cast("string").alias("subject_identifier"),
         F.lit("player").alias("subject_type"),

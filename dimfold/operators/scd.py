@@ -158,7 +158,7 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
 def scd2_change_points(df: DataFrame, key: Keys, period: str, tracked: Sequence[str],
                        defaults: dict | None = None, reference: bool = False, fill: str | None = None,
                        start_name: str = "start_year", end_name: str = "end_year",
-                       current_name: str = "is_current") -> DataFrame:
+                       current_name: str = "is_current", lo=None, hi=None) -> DataFrame:
     """Full rebuild by change points over a dense key x period grid.
 
     The grid is every key x every period between the global first and last
@@ -170,12 +170,17 @@ def scd2_change_points(df: DataFrame, key: Keys, period: str, tracked: Sequence[
     last record runs to the last period and is current. Reference form: the
     LEAD runs before the change filter, so each record ends in its start
     year unless it starts in the last period.
+
+    ``lo`` / ``hi`` are the grid's first and last period; when not given
+    they are the input's MIN / MAX period (scalar subqueries).
     """
     keys = _keys(key)
     defaults = defaults or {}
-    bounds = df.agg(F.min(period).alias("lo"), F.max(period).alias("hi"))
-    lo = bounds.select("lo").scalar()
-    hi = bounds.select("hi").scalar()
+    if lo is None or hi is None:
+        bounds = df.agg(F.min(period).alias("lo"), F.max(period).alias("hi"))
+        lo = bounds.select("lo").scalar() if lo is None else lo
+        hi = bounds.select("hi").scalar() if hi is None else hi
+    lo, hi = _lit(lo), _lit(hi)
     per_key = df.groupBy(*keys).agg(
         F.collect_list(F.struct(F.col(period).alias("_p"), *tracked)).alias("_states"))
     grid = per_key.select(*keys, "_states", F.explode(F.sequence(lo, hi)).alias(period))
@@ -204,7 +209,7 @@ def scd2_change_points(df: DataFrame, key: Keys, period: str, tracked: Sequence[
 
 def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str, tracked: Sequence[str],
                reference: bool = False, start_name: str = "start_year", end_name: str = "end_year",
-               current_name: str = "is_current") -> tuple[DataFrame, DataFrame]:
+               current_name: str = "is_current", last_processed=None) -> tuple[DataFrame, DataFrame]:
     """Close-and-insert merge of new snapshot periods into an SCD2 table.
 
     Returns ``(new_history, counts)`` where counts has ``records_updated``
@@ -221,11 +226,14 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     the open record); records start at change rows; the open record is closed
     before the first change or, without change, extended to the key's last
     batch period.
+
+    ``last_processed`` is the history's last period (``MAX(end_year)``); a
+    scheduled job passes it, otherwise it is read from ``history``.
     """
     keys = _keys(key)
     hist_cols = [*keys, start_name, end_name, *tracked, current_name]
     history = history.select(*hist_cols)
-    last = history.agg(F.max(end_name)).scalar()
+    last = history.agg(F.max(end_name)).scalar() if last_processed is None else _lit(last_processed)
     open_ = history.where(F.col(current_name))
     rest = history.where(~F.col(current_name) | F.col(current_name).isNull())
     w = Window.partitionBy(*keys).orderBy(period)

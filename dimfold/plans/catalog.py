@@ -57,6 +57,16 @@ class Ctx:
         return self.view("events")
 
 
+def value(df: DataFrame):
+    """A one-row, one-column aggregate as a Python value (one small job).
+
+    Registered queries read their period bounds (last season, last event
+    day) from the data once, the way a scheduled job receives them as
+    parameters; the literals are then folded and pushed into the scans.
+    """
+    return df.first()[0]
+
+
 def iso(c) -> F.Column:
     return F.date_format(c, "yyyy-MM-dd")
 
@@ -67,9 +77,24 @@ PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "d
 PLAYER_STATS = ("gp", "pts", "reb", "ast")
 
 
+def order_years(c: Ctx) -> tuple[int, int]:
+    """The load period of the order facts: first and last order year.
+
+    Read from the base table's own column (``year(min/max(o_orderdate))``),
+    which a Parquet source can answer from footer statistics, not from the
+    joined views.
+    """
+    r = c.t.orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    return r[0].year, r[1].year
+
+
+def last_season(c: Ctx) -> int:
+    return order_years(c)[1]
+
+
 def players_snapshot(c: Ctx) -> DataFrame:
     ps = c.player_seasons
-    end = ps.agg(F.max("season")).scalar()
+    end = last_season(c)
     return snap.cumulative_snapshot(
         ps, "player_name", "season", PLAYER_STATS, end, static=PLAYER_STATIC,
         class_on="pts", cuts=fx.PLAYER_POINT_CUTS, labels=fx.CLASS_LABELS)
@@ -90,7 +115,7 @@ def q01_cumulative_snapshot(spark, sf_dir):
 def players_at_end(c: Ctx) -> DataFrame:
     """The snapshot at the last season only (what ``WHERE current_season = y`` reads)."""
     ps = c.player_seasons
-    end = ps.agg(F.max("season")).scalar()
+    end = last_season(c)
     return snap.cumulative_snapshot(
         ps, "player_name", "season", PLAYER_STATS, end, static=PLAYER_STATIC, start=None,
         class_on="pts", cuts=fx.PLAYER_POINT_CUTS, labels=fx.CLASS_LABELS, only_end=True)
@@ -118,9 +143,13 @@ ACTOR_KEYS = ["actorid", "actor"]
 FILM_ITEM = ["film", "votes", "rating", "filmid"]
 
 
-def actors_snapshot(c: Ctx, films: DataFrame | None = None) -> DataFrame:
+def film_years(c: Ctx) -> tuple[int, int]:
+    return order_years(c)
+
+
+def actors_snapshot(c: Ctx, films: DataFrame | None = None, end: int | None = None) -> DataFrame:
     af = c.actor_films if films is None else films
-    end = af.agg(F.max("year")).scalar()
+    end = film_years(c)[1] if end is None else end
     static = [F.count_distinct("film").alias("total_films"),
               (F.sum("rating").cast("double") / F.count("rating")).alias("average_rating")]
     return snap.cumulative_snapshot_multi(
@@ -158,15 +187,15 @@ def _player_state(c: Ctx) -> DataFrame:
 def q06_scd2_streaks(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     state = _player_state(c)
-    cutoff = state.agg(F.max("current_season") - 1).scalar()
+    cutoff = last_season(c) - 1
     return scd.scd2_streaks(state, "player_name", "current_season", PLAYER_TRACKED, cutoff)
 
 
 def _increment(spark, sf_dir, reference):
     c = Ctx(spark, sf_dir)
     state = _player_state(c)
-    end = state.agg(F.max("current_season")).scalar()
-    cutoff = state.agg(F.max("current_season") - 1).scalar()
+    end = last_season(c)
+    cutoff = end - 1
     prev = scd.scd2_streaks(state, "player_name", "current_season", PLAYER_TRACKED, cutoff)
     return scd.scd2_increment(prev, state, "player_name", "current_season", PLAYER_TRACKED,
                               cutoff, end, reference=reference)
@@ -184,28 +213,38 @@ ACTOR_TRACKED = ["quality_class", "is_active", "n_films"]
 ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
 
 
-def actor_states(c: Ctx) -> DataFrame:
-    return actors_snapshot(c).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
+def actor_states(c: Ctx, end: int) -> DataFrame:
+    return actors_snapshot(c, end=end).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
 
 
-def _change_points(states, reference):
+def _change_points(states, reference, lo, hi):
     return scd.scd2_change_points(states, ACTOR_KEYS, "current_year", ACTOR_TRACKED,
-                                  defaults=ACTOR_DEFAULTS, reference=reference, fill="quality_class")
+                                  defaults=ACTOR_DEFAULTS, reference=reference, fill="quality_class",
+                                  lo=lo, hi=hi)
+
+
+def _cp_query(spark, sf_dir, reference):
+    c = Ctx(spark, sf_dir)
+    lo, hi = film_years(c)
+    # The snapshot spine starts at each actor's first year, so its first period is the films' first year.
+    return _change_points(actor_states(c, hi), reference, lo, hi)
 
 
 def q08_scd2_change_points(spark, sf_dir):
-    return _change_points(actor_states(Ctx(spark, sf_dir)), False)
+    return _cp_query(spark, sf_dir, False)
 
 
 def q08b_scd2_change_points_ref(spark, sf_dir):
-    return _change_points(actor_states(Ctx(spark, sf_dir)), True)
+    return _cp_query(spark, sf_dir, True)
 
 
 def _merge(spark, sf_dir, reference):
-    states = actor_states(Ctx(spark, sf_dir))
-    last_year = states.agg(F.max("current_year")).scalar()
-    history = _change_points(states.where(F.col("current_year") < last_year), reference)
-    return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference)
+    c = Ctx(spark, sf_dir)
+    lo, hi = film_years(c)
+    states = actor_states(c, hi)
+    history = _change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1)
+    return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference,
+                          last_processed=hi - 1)
 
 
 def q09_scd2_merge(spark, sf_dir):
@@ -303,9 +342,9 @@ def q21_points_per_game(spark, sf_dir):
 # --- activity ----------------------------------------------------------------
 
 def event_days(c: Ctx):
-    """First and last event day of the data (lazy scalar subqueries)."""
-    d = c.events.select(F.to_date("event_time").alias("d"))
-    return d.agg(F.min("d")).scalar(), d.agg(F.max("d")).scalar()
+    """First and last event day of the data, as date literals."""
+    r = c.t.events.agg(F.min("ts"), F.max("ts")).first()
+    return F.lit(r[0].date()), F.lit(r[1].date())
 
 
 def _datelist_out(df: DataFrame) -> DataFrame:
