@@ -53,26 +53,29 @@ def metric_array_step(prev: DataFrame, events: DataFrame, day, metric: str = "si
                       key: str = "user_id", ts: str = "event_time", reference: bool = False) -> DataFrame:
     """One day of the ``array_metrics`` table: (key, month_start, metric_name, metric_array).
 
-    Yesterday's arrays of the month full-join today's counts: a known key
+    The month's arrays of ``metric`` full-join today's counts: a known key
     gets today's count (0 if silent); a new key gets zeros for the days
-    before today. The result replaces the month's rows (upsert on the key).
-
-    Reference form appends (a rerun appends again) and does not filter
-    yesterday's rows by metric. Fixed form writes slot ``day of month`` (a
-    rerun overwrites it) and reads only this metric.
+    before today; rows of other months or metrics pass through. This is the
+    upsert of the scripts, with the state read once, so a day-by-day fold
+    keeps a linear plan.
+
+    Reference form appends (a rerun appends again). Fixed form writes slot
+    ``day of month`` (a rerun overwrites it). (The scripts also read the
+    month's rows of every metric, which with a second metric makes the
+    upsert touch one row twice, an error in the source; both forms read
+    only ``metric``.)
     """
     today = _day(day)
     ms = month_start(today)
-    counts = daily_counts(events, key, day, day, ts).select(key, "hits")
-    y = prev.where(F.col("month_start") == ms)
-    if not reference:
-        y = y.where(F.col("metric_name") == metric)
-    y = y.select(key, "month_start", "metric_array")
-    j = counts.alias("d").join(y.alias("y"), key, "full").select(
-        F.col(key), F.col("y.month_start").alias("_ms"), F.col("y.metric_array").alias("_arr"),
-        F.coalesce(F.col("d.hits"), F.lit(0)).cast("float").alias("_v"),
-        (F.datediff(today, ms) + 1).alias("_idx"), ms.alias("_m"))
-    v, arr, idx = F.col("_v"), F.col("_arr"), F.col("_idx")
+    keys = [key, "month_start", "metric_name"]
+    counts = daily_counts(events, key, day, day, ts).select(
+        key, ms.alias("month_start"), F.lit(metric).alias("metric_name"), F.col("hits"), F.lit(True).alias("_today"))
+    j = prev.join(counts, keys, "full").select(
+        *keys, F.col("metric_array").alias("_arr"), F.col("hits"),
+        ((F.col("month_start") == ms) & (F.col("metric_name") == metric)).alias("_this"),
+        (F.datediff(today, ms) + 1).alias("_idx"))
+    v = F.coalesce(F.col("hits"), F.lit(0)).cast("float")
+    arr, idx = F.col("_arr"), F.col("_idx")
     empty = F.array().cast("array<float>")
     if reference:
         lead_zeros = F.transform(zeros(idx - 1), lambda z: z.cast("float"))
@@ -82,11 +85,7 @@ def metric_array_step(prev: DataFrame, events: DataFrame, day, metric: str = "si
         padded = F.concat(have, F.transform(zeros(idx - 1 - F.size(have)), lambda z: z.cast("float")), F.array(v))
         new_arr = F.when(F.size(have) >= idx,
                          F.transform(arr, lambda x, i: F.when(i + 1 == idx, v).otherwise(x))).otherwise(padded)
-    step = j.select(key, F.coalesce(F.col("_ms"), F.col("_m")).alias("month_start"),
-                    F.lit(metric).alias("metric_name"), new_arr.alias("metric_array"))
-    keys = [key, "month_start", "metric_name"]
-    untouched = prev.join(step.select(*keys), keys, "left_anti")
-    return untouched.unionByName(step)
+    return j.select(*keys, F.when(F.col("_this"), new_arr).otherwise(arr).alias("metric_array"))
 
 
 def metric_array_rebuild(events: DataFrame, day, metric: str = "site_hits", key: str = "user_id",
@@ -148,24 +147,21 @@ def monthly_arrays_step(state: DataFrame, events: DataFrame, day, key: str = "ho
 
     Keys active that day get a zero row for the month if absent (insert if
     absent), then slot ``day of month`` of both arrays is set from that day's
-    counts (update from a join). Keys silent that day keep their arrays.
+    counts (update from a join). Keys silent that day keep their arrays, as
+    do other months. One full outer join on (month, key) does both steps and
+    reads the state once, so a day-by-day fold keeps a linear plan.
     """
     today = _day(day)
     m = month_start(today)
-    n = days_in_month(today)
-    idx = F.dayofmonth(today)
-    c = daily_counts(events, key, day, day, ts, distinct_of=visitor).select(key, "hits", "uniques")
-    month_rows = state.where(F.col("month") == m)
-    other = state.where(F.col("month") != m)
-    fresh = c.select(m.alias("month"), key, zeros(n).alias("hit_array"), zeros(n).alias("unique_visitors_array"))
-    fresh = fresh.join(month_rows.select(key), key, "left_anti")
-    rows = month_rows.unionByName(fresh)
-    j = rows.join(c, key, "left").withColumn("_idx", idx)
+    c = daily_counts(events, key, day, day, ts, distinct_of=visitor).select(
+        m.alias("month"), key, "hits", "uniques")
+    j = state.join(c, ["month", key], "full").withColumn("_idx", F.dayofmonth(today)).withColumn(
+        "_n", days_in_month(today))
     hit = F.col("hits").isNotNull()
     slot = F.col("_idx")
-    updated = j.select(
-        "month", key,
-        F.when(hit, set_slot("hit_array", slot, F.col("hits"))).otherwise(F.col("hit_array")).alias("hit_array"),
-        F.when(hit, set_slot("unique_visitors_array", slot, F.col("uniques")))
-        .otherwise(F.col("unique_visitors_array")).alias("unique_visitors_array"))
-    return other.unionByName(updated)
+
+    def column(arr: str, value: str) -> Column:
+        base = F.coalesce(F.col(arr), zeros(F.col("_n")))
+        return F.when(hit, set_slot(base, slot, F.col(value))).otherwise(F.col(arr)).alias(arr)
+
+    return j.select("month", key, column("hit_array", "hits"), column("unique_visitors_array", "uniques"))

@@ -132,6 +132,16 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
             *keys, *tracked, _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
         return closed.unionByName(unchanged).unionByName(changed).unionByName(new_records)
 
+    # One full outer join reads the SCD table once (a yearly fold keeps a
+    # linear plan): only the open record of a key can match the new period;
+    # closed records and open records of absent keys come through unchanged.
+    current = scd.where(F.col(cutoff_name) == _lit(cutoff)).select(*scd_cols)
+    on = [F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    cond = cond & (F.col(f"l.{end_name}") == _lit(cutoff))
+    j = current.alias("l").join(this.withColumn("_in_this", F.lit(True)).alias("t"), cond, "full")
     l_present = F.col(f"l.{start_name}").isNotNull()
     same = None
     for c in tracked:
@@ -143,14 +153,13 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
                             F.col(f"l.{start_name}").alias(start_name), _lit(new_period).alias(end_name))
     new_rec = F.struct(*[F.col(f"t.{c}").alias(c) for c in tracked],
                        _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
-    in_this = F.col("_in_this")
-    j = open_.alias("l").join(this.withColumn("_in_this", F.lit(True)).alias("t"), keys, "full")
+    in_this = F.col("t._in_this")
     rows = (F.when(~l_present, F.array(new_rec))
             .when(in_this.isNull(), F.array(old_kept))
             .when(same, F.array(old_extended))
             .otherwise(F.array(old_kept, new_rec)))
-    stepped = j.select(*keys, F.inline(rows))
-    return closed.unionByName(stepped).withColumn(cutoff_name, _lit(new_period))
+    key_cols = [F.coalesce(F.col(f"l.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
+    return j.select(*key_cols, F.inline(rows)).withColumn(cutoff_name, _lit(new_period))
 
 
 # --- X-9 ---------------------------------------------------------------------
