@@ -9,12 +9,15 @@ taken from the data with scalar subqueries, so the plan stays one lazy job.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
 from dimfold.operators import activity, facts, graph, quality, reduced, scd
 from dimfold.operators import snapshot as snap
+from dimfold.session import cut_lineage
 from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
 
@@ -77,15 +80,27 @@ PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "d
 PLAYER_STATS = ("gp", "pts", "reb", "ast")
 
 
-def order_years(c: Ctx) -> tuple[int, int]:
-    """The load period of the order facts: first and last order year.
+_BOUNDS: dict[tuple[str, str], tuple] = {}
+
 
-    Read from the base table's own column (``year(min/max(o_orderdate))``),
-    which a Parquet source can answer from footer statistics, not from the
-    joined views.
+def _bounds(c: Ctx, table: str, column: str) -> tuple:
+    """MIN and MAX of one base-table column, computed once per data folder.
+
+    These are the load period of a run (what a scheduler passes to a daily
+    job). A plain MIN/MAX of a column is answerable from Parquet footer
+    statistics; the data folders are read-only, so the value is cached.
     """
-    r = c.t.orders.agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
-    return r[0].year, r[1].year
+    k = (os.path.abspath(c.t.sf_dir), f"{table}.{column}")
+    if k not in _BOUNDS:
+        r = getattr(c.t, table).agg(F.min(column), F.max(column)).first()
+        _BOUNDS[k] = (r[0], r[1])
+    return _BOUNDS[k]
+
+
+def order_years(c: Ctx) -> tuple[int, int]:
+    """The load period of the order facts: first and last order year."""
+    lo, hi = _bounds(c, "orders", "o_orderdate")
+    return lo.year, hi.year
 
 
 def last_season(c: Ctx) -> int:
@@ -239,10 +254,17 @@ def q08b_scd2_change_points_ref(spark, sf_dir):
 
 
 def _merge(spark, sf_dir, reference):
+    """Merge the last year into the history built up to the year before.
+
+    In production the snapshot and the SCD history are stored tables; here
+    both are derived from the base tables and written once as reliable
+    checkpoints (in ``spark.checkpoint.dir``), so the merge's several reads
+    of each do not recompute them.
+    """
     c = Ctx(spark, sf_dir)
     lo, hi = film_years(c)
-    states = actor_states(c, hi)
-    history = _change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1)
+    states = cut_lineage(actor_states(c, hi))
+    history = cut_lineage(_change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1))
     return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference,
                           last_processed=hi - 1)
 
@@ -343,8 +365,8 @@ def q21_points_per_game(spark, sf_dir):
 
 def event_days(c: Ctx):
     """First and last event day of the data, as date literals."""
-    r = c.t.events.agg(F.min("ts"), F.max("ts")).first()
-    return F.lit(r[0].date()), F.lit(r[1].date())
+    lo, hi = _bounds(c, "events", "ts")
+    return F.lit(lo.date()), F.lit(hi.date())
 
 
 def _datelist_out(df: DataFrame) -> DataFrame:
