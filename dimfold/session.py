@@ -61,8 +61,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running incremental folds")
     local_dir = tempfile.mkdtemp(prefix="dimfold-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local_dir)
     sc.setCheckpointDir(local_dir)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local_dir)
+    except Exception:  # noqa: BLE001 - a session may refuse to change a core setting; the context has it
+        pass
     return local_dir
 
 
