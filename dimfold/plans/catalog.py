@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
-from dimfold.operators import activity, facts, graph, quality, reduced, scd
+from dimfold.operators import activity, facts, graph, quality, reduced, scd, state
 from dimfold.operators import snapshot as snap
 from dimfold.session import cut_lineage
 from dimfold.sources import fixtures as fx
@@ -500,3 +500,28 @@ def q34_contract_checks(spark, sf_dir):
     return quality.check_contract(
         t, keys=["user_id", "date"], not_null=["date", "device_activity_datelist"],
         json_objects=["device_activity_datelist"], json_required={"device_activity_datelist": "active_dates"})
+
+
+def _reload(spark, sf_dir, distinct):
+    """The JSON datelist table loaded, then the same load applied again (a rerun)."""
+    t = user_json_datelist(Ctx(spark, sf_dir))
+    again = state.merge_concat(t, t, ["user_id", "date"], "active_dates", distinct=distinct)
+    return _json_out(again, "user_id", "device_activity_datelist")
+
+
+def q24b_json_datelist_rerun_ref(spark, sf_dir):
+    return _reload(spark, sf_dir, False)
+
+
+def q24c_json_datelist_rerun(spark, sf_dir):
+    return _reload(spark, sf_dir, True)
+
+
+def q35_monthly_first_five(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    m = reduced.monthly_arrays(c.events, lo, hi)
+    return m.select(iso(F.col("month")).alias("month"), "host",
+                    F.size("hit_array").alias("days_in_month"),
+                    array_text(F.slice("hit_array", 1, 5)).alias("first_5_days_hits"),
+                    array_text(F.slice("unique_visitors_array", 1, 5)).alias("first_5_days_visitors"))
