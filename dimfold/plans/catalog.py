@@ -429,10 +429,17 @@ def q26_subkey_datelist(spark, sf_dir):
     return e.select("user_id", "browser_type", array_text("dates").alias("dates"))
 
 
+def user_json_table(c: Ctx) -> DataFrame:
+    """The stored form of the user datelist table: the list as JSON text."""
+    j = user_json_datelist(c)
+    return j.select("user_id", "date", activity.datelist_json_text(j, "active_dates", "device_activity_datelist"))
+
+
 def _report(spark, sf_dir, reference):
     c = Ctx(spark, sf_dir)
     lo, hi = event_days(c)
-    r = activity.activity_report(user_json_datelist(c), lo, hi, reference=reference)
+    t = user_json_table(c).withColumn("active_dates", activity.parse_datelist("device_activity_datelist"))
+    r = activity.activity_report(t, lo, hi, reference=reference)
     return r.select("user_id", F.col("active_days").cast("int").alias("active_days"),
                     iso(F.col("first_seen")).alias("first_seen"), iso(F.col("last_seen")).alias("last_seen"))
 
@@ -446,7 +453,9 @@ def q27b_activity_report_ref(spark, sf_dir):
 
 
 def q28_datelist_int(spark, sf_dir):
-    d = activity.datelist_int(user_json_datelist(Ctx(spark, sf_dir)))
+    t = user_json_table(Ctx(spark, sf_dir)).withColumn(
+        "active_dates", activity.parse_datelist("device_activity_datelist"))
+    d = activity.datelist_int(t)
     return d.select("user_id", iso(F.col("date")).alias("date"), array_text("datelist_int").alias("integer_dates"))
 
 
@@ -495,8 +504,7 @@ def q33_monthly_arrays_step(spark, sf_dir):
 
 
 def q34_contract_checks(spark, sf_dir):
-    j = user_json_datelist(Ctx(spark, sf_dir))
-    t = j.select("user_id", "date", activity.datelist_json_text(j, "active_dates", "device_activity_datelist"))
+    t = user_json_table(Ctx(spark, sf_dir))
     return quality.check_contract(
         t, keys=["user_id", "date"], not_null=["date", "device_activity_datelist"],
         json_objects=["device_activity_datelist"], json_required={"device_activity_datelist": "active_dates"})

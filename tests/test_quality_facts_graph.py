@@ -96,3 +96,17 @@ def test_vertices_and_points_per_game(spark):
     e = graph.co_occurrence_edges(det)
     ppg = rows(graph.points_per_game(v, e))
     assert ppg == [("q", 1.0, 7.0, 7.0)]
+
+
+def test_reports_order_nulls_like_postgres_and_lookup(spark):
+    from dimfold.operators import reports
+
+    df = spark.createDataFrame([("Ann Jordan", 2001, 3.0), ("Bo Jordan", 2001, None), ("Cy", 2001, 9.0),
+                                ("Dee Jordan", 2000, 1.0)], "name string, season int, ratio double")
+    desc = [r.name for r in reports.ordered(df, ["ratio"], [True]).collect()]
+    assert desc[0] == "Bo Jordan" and desc[1] == "Cy"           # NULL first when descending
+    asc = [r.name for r in reports.ordered(df, ["ratio"]).collect()]
+    assert asc[-1] == "Bo Jordan"                                # NULL last when ascending
+    assert [r.name for r in reports.top_k(df, ["ratio"], 2, [True]).collect()] == ["Bo Jordan", "Cy"]
+    found = reports.lookup(df, "name", "%Jordan", "season", 2001)
+    assert sorted(r.name for r in found.collect()) == ["Ann Jordan", "Bo Jordan"]
