@@ -104,33 +104,36 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     this = snapshot.where(F.col(period) == _lit(new_period)).select(*keys, *tracked)
 
     if reference:
-        ls = open_.alias("ls")
-        ts = this.alias("ts")
+        # The scripts' four branches in one left join (new season -> open
+        # record), NULL-unsafe: equal on every column -> the unchanged record
+        # extended; some column different -> old and new record; no open
+        # record -> an all-NULL "old" record, the new record from the changed
+        # branch and the same new record again from the new-records branch;
+        # comparisons that are NULL -> no row at all; open records without a
+        # row in the new season are dropped.
         on = [F.col(f"ls.{k}") == F.col(f"ts.{k}") for k in keys]
         cond = on[0]
         for c in on[1:]:
             cond = cond & c
-        unchanged_pred = None
+        j = this.alias("ts").join(open_.withColumn("_ls", F.lit(True)).alias("ls"), cond, "left")
+        equal = None
+        differ = None
         for c in tracked:
-            p = F.col(f"ts.{c}") == F.col(f"ls.{c}")
-            unchanged_pred = p if unchanged_pred is None else unchanged_pred & p
-        unchanged = ts.join(ls, cond).where(unchanged_pred).select(
-            *[F.col(f"ts.{k}").alias(k) for k in keys], *[F.col(f"ts.{c}").alias(c) for c in tracked],
-            F.col(f"ls.{start_name}").alias(start_name), _lit(new_period).alias(end_name))
-        changed_pred = None
-        for c in tracked:
-            p = F.col(f"ts.{c}") != F.col(f"ls.{c}")
-            changed_pred = p if changed_pred is None else changed_pred | p
-        changed_pred = changed_pred | F.col(f"ls.{keys[0]}").isNull()
+            e = F.col(f"ts.{c}") == F.col(f"ls.{c}")
+            d = F.col(f"ts.{c}") != F.col(f"ls.{c}")
+            equal = e if equal is None else equal & e
+            differ = d if differ is None else differ | d
+        unchanged = F.struct(*[F.col(f"ts.{c}").alias(c) for c in tracked],
+                             F.col(f"ls.{start_name}").alias(start_name), _lit(new_period).alias(end_name))
         old = F.struct(*[F.col(f"ls.{c}").alias(c) for c in tracked],
                        F.col(f"ls.{start_name}").alias(start_name), F.col(f"ls.{end_name}").alias(end_name))
         new = F.struct(*[F.col(f"ts.{c}").alias(c) for c in tracked],
                        _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
-        changed = ts.join(ls, cond, "left").where(changed_pred).select(
-            *[F.col(f"ts.{k}").alias(k) for k in keys], F.inline(F.array(old, new)))
-        new_records = this.join(open_.select(*keys), keys, "left_anti").select(
-            *keys, *tracked, _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
-        return closed.unionByName(unchanged).unionByName(changed).unionByName(new_records)
+        rows = (F.when(F.col("ls._ls").isNull(), F.array(old, new, new))
+                .when(equal, F.array(unchanged))
+                .when(differ, F.array(old, new))
+                .otherwise(F.filter(F.array(new), lambda x: F.lit(False))))
+        return closed.unionByName(j.select(*[F.col(f"ts.{k}").alias(k) for k in keys], F.inline(rows)))
 
     # One full outer join reads the SCD table once (a yearly fold keeps a
     # linear plan): only the open record of a key can match the new period;

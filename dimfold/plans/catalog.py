@@ -22,7 +22,7 @@ from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
 
 
-class Ctx:
+class _Ctx:
     """Lazy stand-in views over one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -60,6 +60,23 @@ class Ctx:
         return self.view("events")
 
 
+_CTX: dict[tuple[str, str], _Ctx] = {}
+
+
+def Ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
+    """The views of one data folder, built once per session.
+
+    DataFrames are immutable plans and the folders are read-only, so the
+    base-table reads (file listing, footer schema) and the analysed view
+    plans are shared by all queries of a session instead of being rebuilt
+    on the driver for each one. No data is cached.
+    """
+    k = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if k not in _CTX:
+        _CTX[k] = _Ctx(spark, sf_dir)
+    return _CTX[k]
+
+
 def value(df: DataFrame):
     """A one-row, one-column aggregate as a Python value (one small job).
 
@@ -83,7 +100,7 @@ PLAYER_STATS = ("gp", "pts", "reb", "ast")
 _BOUNDS: dict[tuple[str, str], tuple] = {}
 
 
-def _bounds(c: Ctx, table: str, column: str) -> tuple:
+def _bounds(c: _Ctx, table: str, column: str) -> tuple:
     """MIN and MAX of one base-table column, computed once per data folder.
 
     These are the load period of a run (what a scheduler passes to a daily
@@ -97,17 +114,17 @@ def _bounds(c: Ctx, table: str, column: str) -> tuple:
     return _BOUNDS[k]
 
 
-def order_years(c: Ctx) -> tuple[int, int]:
+def order_years(c: _Ctx) -> tuple[int, int]:
     """The load period of the order facts: first and last order year."""
     lo, hi = _bounds(c, "orders", "o_orderdate")
     return lo.year, hi.year
 
 
-def last_season(c: Ctx) -> int:
+def last_season(c: _Ctx) -> int:
     return order_years(c)[1]
 
 
-def players_snapshot(c: Ctx) -> DataFrame:
+def players_snapshot(c: _Ctx) -> DataFrame:
     ps = c.player_seasons
     end = last_season(c)
     return snap.cumulative_snapshot(
@@ -127,7 +144,7 @@ def q01_cumulative_snapshot(spark, sf_dir):
     )
 
 
-def players_at_end(c: Ctx) -> DataFrame:
+def players_at_end(c: _Ctx) -> DataFrame:
     """The snapshot at the last season only (what ``WHERE current_season = y`` reads)."""
     ps = c.player_seasons
     end = last_season(c)
@@ -158,11 +175,11 @@ ACTOR_KEYS = ["actorid", "actor"]
 FILM_ITEM = ["film", "votes", "rating", "filmid"]
 
 
-def film_years(c: Ctx) -> tuple[int, int]:
+def film_years(c: _Ctx) -> tuple[int, int]:
     return order_years(c)
 
 
-def actors_snapshot(c: Ctx, films: DataFrame | None = None, end: int | None = None) -> DataFrame:
+def actors_snapshot(c: _Ctx, films: DataFrame | None = None, end: int | None = None) -> DataFrame:
     af = c.actor_films if films is None else films
     end = film_years(c)[1] if end is None else end
     static = [F.count_distinct("film").alias("total_films"),
@@ -195,7 +212,7 @@ def q05_entity_history(spark, sf_dir):
 PLAYER_TRACKED = ["scoring_class", "is_active"]
 
 
-def _player_state(c: Ctx) -> DataFrame:
+def _player_state(c: _Ctx) -> DataFrame:
     return players_snapshot(c).select("player_name", "current_season", *PLAYER_TRACKED)
 
 
@@ -228,7 +245,7 @@ ACTOR_TRACKED = ["quality_class", "is_active", "n_films"]
 ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
 
 
-def actor_states(c: Ctx, end: int) -> DataFrame:
+def actor_states(c: _Ctx, end: int) -> DataFrame:
     return actors_snapshot(c, end=end).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
 
 
@@ -302,7 +319,7 @@ def q13_dedupe_first(spark, sf_dir):
     return quality.dedupe_first(Ctx(spark, sf_dir).game_details, DETAIL_KEYS)
 
 
-def fact_game_details(c: Ctx) -> DataFrame:
+def fact_game_details(c: _Ctx) -> DataFrame:
     return facts.build_fact(c.game_details, c.games)
 
 
@@ -334,7 +351,7 @@ def q16_rate_report(spark, sf_dir):
 
 # --- graph -------------------------------------------------------------------
 
-def graph_vertices(c: Ctx) -> DataFrame:
+def graph_vertices(c: _Ctx) -> DataFrame:
     return graph.all_vertices(c.games, c.game_details, c.teams)
 
 
@@ -363,7 +380,7 @@ def q21_points_per_game(spark, sf_dir):
 
 # --- activity ----------------------------------------------------------------
 
-def event_days(c: Ctx):
+def event_days(c: _Ctx):
     """First and last event day of the data, as date literals."""
     lo, hi = _bounds(c, "events", "ts")
     return F.lit(lo.date()), F.lit(hi.date())
@@ -401,7 +418,7 @@ def q23b_datelist_bits_ref(spark, sf_dir):
     return _bits(spark, sf_dir, True)
 
 
-def user_json_datelist(c: Ctx) -> DataFrame:
+def user_json_datelist(c: _Ctx) -> DataFrame:
     lo, hi = event_days(c)
     return activity.json_datelist(c.events, "user_id", lo, hi)
 
@@ -429,7 +446,7 @@ def q26_subkey_datelist(spark, sf_dir):
     return e.select("user_id", "browser_type", array_text("dates").alias("dates"))
 
 
-def user_json_table(c: Ctx) -> DataFrame:
+def user_json_table(c: _Ctx) -> DataFrame:
     """The stored form of the user datelist table: the list as JSON text."""
     j = user_json_datelist(c)
     return j.select("user_id", "date", activity.datelist_json_text(j, "active_dates", "device_activity_datelist"))
@@ -461,7 +478,7 @@ def q28_datelist_int(spark, sf_dir):
 
 # --- reduced facts -------------------------------------------------------------
 
-def metric_arrays(c: Ctx) -> DataFrame:
+def metric_arrays(c: _Ctx) -> DataFrame:
     """The daily job of the month's last loaded day over the rebuilt state of the day before."""
     lo, hi = event_days(c)
     prev = reduced.metric_array_rebuild(c.events, F.date_sub(hi, 1))
