@@ -188,13 +188,19 @@ def cumulative_snapshot_multi(df: DataFrame, key: Keys, period: str, item_cols:
 def entity_history(df: DataFrame, key: Keys, period: str, item_cols: Sequence[str], snapshot: DataFrame,
                    *, out_period: str = "current_year", count_name: str = "n_films",
                    active_name: str = "is_active", list_of: str = "film", list_name: str = "films_this_year",
-                   name_col: str | None = None, name=None, at=None) -> DataFrame:
+                   name_col: str | None = None, name=None, at=None, as_list: bool = False) -> DataFrame:
     """X-6: each key at each active period with that period's items.
 
     ``verify_actor_history(name, year)`` is the same with ``name`` and ``at``
-    given: the filters then reach the Parquet scan. One row per key and period
-    that has items: the count of items to date, the active flag and the list
-    of ``list_of`` values of that period in item order.
+    given: the filters then reach the Parquet scan.
+
+    Default (long form): one row per key, period and distinct item of that
+    period, with the count of items to date and the active flag. No group
+    is collected, so a key with a huge period is spread over many tasks (the
+    join to the per-period snapshot rows is split by AQE if skewed).
+    ``as_list=True`` returns the scripts' shape, one row per key and period
+    with the ``list_of`` values in item order; that collects each (key,
+    period) group into one row, so use it only for bounded periods.
     """
     keys = _keys(key)
     src = df
@@ -205,7 +211,10 @@ def entity_history(df: DataFrame, key: Keys, period: str, item_cols: Sequence[st
     if at is not None:
         src = src.where(F.col(period) == at)
         snap = snap.where(F.col(out_period) == at)
-    items = src.select(*keys, period, *item_cols).distinct()
-    this_period = items.groupBy(*keys, F.col(period).alias(out_period)).agg(
+    items = src.select(*keys, F.col(period).alias(out_period), *item_cols).distinct()
+    state = snap.select(*keys, out_period, count_name, active_name)
+    if not as_list:
+        return state.join(items, [*keys, out_period])
+    this_period = items.groupBy(*keys, out_period).agg(
         F.transform(F.sort_array(F.collect_list(F.struct(*item_cols))), lambda s: s[list_of]).alias(list_name))
-    return snap.select(*keys, out_period, count_name, active_name).join(this_period, [*keys, out_period])
+    return state.join(this_period, [*keys, out_period])

@@ -204,7 +204,7 @@ def q05_entity_history(spark, sf_dir):
     h = snap.entity_history(c.actor_films, ACTOR_KEYS, "year", FILM_ITEM, a)
     return h.select(F.col("actor").alias("actor_name"), "actorid", "current_year",
                     F.col("n_films").cast("int").alias("num_films"), "is_active",
-                    array_text("films_this_year").alias("films_this_year"))
+                    "film", "votes", F.col("rating").cast("double").alias("rating"), "filmid")
 
 
 # --- SCD2 ------------------------------------------------------------------

@@ -88,8 +88,11 @@ def test_entity_history_point_lookup(spark):
     df = _films(spark)
     s = snap.cumulative_snapshot_multi(df, ["actorid", "actor"], "year", ["film", "votes", "rating", "filmid"], 2002)
     h = snap.entity_history(df, ["actorid", "actor"], "year", ["film", "votes", "rating", "filmid"], s,
-                            name_col="actor", name="A", at=2000)
+                            name_col="actor", name="A", at=2000, as_list=True)
     assert rows(h, "actorid", "current_year", "n_films", "films_this_year") == [("1", 2000, 2, ["f10", "f9"])]
+    long = snap.entity_history(df, ["actorid", "actor"], "year", ["film", "votes", "rating", "filmid"], s,
+                               name_col="actor", name="A", at=2000)
+    assert rows(long, "actorid", "current_year", "n_films", "film") == [("1", 2000, 2, "f10"), ("1", 2000, 2, "f9")]
 
 
 def test_entity_spine_empty_series_for_late_first(spark):
