@@ -88,11 +88,12 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
                    cutoff_name: str = "current_season") -> DataFrame:
     """One period forward: SCD2 table at ``cutoff`` + snapshot rows of ``new_period``.
 
-    Fixed form: closed history passes through; the open records (end =
-    cutoff) are full-joined with the new period on the key: unchanged ->
-    end extended; changed -> old kept closed plus a new record; new key ->
-    new record; key absent from the new period -> kept as is. Equals
-    ``scd2_streaks`` at ``new_period``.
+    Fixed form: each key's latest record (the open one, end = cutoff, or
+    the last one of a key absent lately) is full-joined with the new period
+    on the key: unchanged -> end extended; changed -> old kept closed plus a
+    new record; new key -> new record; key absent from the new period ->
+    kept as is; older records pass through. Equals ``scd2_streaks`` at
+    ``new_period`` (property-tested on random histories with gaps and NULLs).
 
     Reference form: the four-way union of the scripts, NULL-unsafe; a new key
     also yields one all-NULL row plus a duplicate of its new record.
@@ -136,14 +137,18 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
         return closed.unionByName(j.select(*[F.col(f"ts.{k}").alias(k) for k in keys], F.inline(rows)))
 
     # One full outer join reads the SCD table once (a yearly fold keeps a
-    # linear plan): only the open record of a key can match the new period;
-    # closed records and open records of absent keys come through unchanged.
+    # linear plan): only the key's latest record can match the new period
+    # (usually the open one, end = cutoff; for a key absent from some recent
+    # periods its last record, so a gap continues a streak exactly as the
+    # rebuild does); older records and latest records of absent keys come
+    # through unchanged. The window on the key shares the join's partitioning.
     current = scd.where(F.col(cutoff_name) == _lit(cutoff)).select(*scd_cols)
+    current = current.withColumn("_latest", F.max(end_name).over(Window.partitionBy(*keys)))
     on = [F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    cond = cond & (F.col(f"l.{end_name}") == _lit(cutoff))
+    cond = cond & (F.col(f"l.{end_name}") == F.col("l._latest"))
     j = current.alias("l").join(this.withColumn("_in_this", F.lit(True)).alias("t"), cond, "full")
     l_present = F.col(f"l.{start_name}").isNotNull()
     same = None
