@@ -47,8 +47,12 @@ def player_vertices(details: DataFrame) -> DataFrame:
         F.max("player_name").alias("player_name"),
         F.count(F.lit(1)).alias("number_of_games"),
         F.sum("pts").alias("total_points"),
-        F.sort_array(F.collect_set("team_id")).alias("teams"),
+        F.sort_array(F.collect_set("team_id")).alias("_teams"),
+        F.max(F.col("team_id").isNull()).alias("_null_team"),
     )
+    # array_agg(DISTINCT x) keeps one NULL (sorted last); collect_set drops it.
+    agg = agg.withColumn("teams", F.when(F.col("_null_team"), F.concat(
+        "_teams", F.array(F.lit(None).cast(details.schema["team_id"].dataType)))).otherwise(F.col("_teams")))
     return vertices(agg, "player_id", "player",
                     [("player_name", "player_name"), ("number_of_games", "number_of_games"),
                      ("total_points", "total_points"), ("teams", "teams")])

@@ -110,13 +110,21 @@ def array_length_histogram(df: DataFrame, arr: str, name: str = "n") -> DataFram
 
 
 def explode_metric_array(df: DataFrame, arr: str = "metric_array", by: Sequence[str] = ("metric_name", "month_start"),
-                         start: str = "month_start") -> DataFrame:
+                         start: str = "month_start", slots: int | None = None) -> DataFrame:
     """X-22: sum arrays slot by slot per (metric, month) and unpivot to dates.
 
     ``posexplode`` + a grouped sum on (metric, month, slot): the sum has a
     map-side partial combine, so a month with very many keys is reduced on
-    every task; any array length is handled (not a fixed four slots).
+    every task; any array length is handled. ``slots=n`` is the scripts'
+    literal form, ``ARRAY[sum(a[1]), .., sum(a[n])]``: exactly n dates, a slot
+    no array reaches sums to NULL.
     """
+    if slots is not None:
+        sums = df.groupBy(*by).agg(*[F.sum(F.try_element_at(F.col(arr), F.lit(i))).alias(f"_s{i}")
+                                     for i in range(1, slots + 1)])
+        summed = sums.select(*by, F.posexplode(F.array(*[F.col(f"_s{i}") for i in range(1, slots + 1)]))
+                             .alias("pos", "value"))
+        return summed.select(by[0], F.date_add(F.col(start), F.col("pos")).alias("date"), "value")
     slots = df.select(*by, F.posexplode(arr).alias("pos", "elem"))
     summed = slots.groupBy(*by, "pos").agg(F.sum("elem").alias("value"))
     return summed.select(by[0], F.date_add(F.col(start), F.col("pos")).alias("date"), "value")

@@ -500,6 +500,11 @@ def q31_metric_daily_series(spark, sf_dir):
     return s.select("metric_name", iso(F.col("date")).alias("date"), F.col("value").cast("double").alias("value"))
 
 
+def q31b_metric_daily_series_ref(spark, sf_dir):
+    s = reduced.explode_metric_array(metric_arrays(Ctx(spark, sf_dir)), slots=4)
+    return s.select("metric_name", iso(F.col("date")).alias("date"), F.col("value").cast("double").alias("value"))
+
+
 def _monthly_out(df: DataFrame) -> DataFrame:
     return df.select(iso(F.col("month")).alias("month"), "host",
                      F.size("hit_array").alias("days_in_month"),

@@ -110,3 +110,10 @@ def test_reports_order_nulls_like_postgres_and_lookup(spark):
     assert [r.name for r in reports.top_k(df, ["ratio"], 2, [True]).collect()] == ["Bo Jordan", "Cy"]
     found = reports.lookup(df, "name", "%Jordan", "season", 2001)
     assert sorted(r.name for r in found.collect()) == ["Ann Jordan", "Bo Jordan"]
+
+
+def test_player_vertex_keeps_one_null_team_last(spark):
+    det = spark.createDataFrame([(1, 10, "p", "A", 5, 3), (2, 10, "p", "A", 1, None), (3, 10, "p", "A", 1, 1),
+                                 (4, 10, "p", "A", 1, None)], G + ", team_id int")
+    props = graph.player_vertices(det).first().properties
+    assert '"teams":[1,3,null]' in props
