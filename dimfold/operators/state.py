@@ -75,3 +75,18 @@ def read_period(spark: SparkSession, path: str, where: Column | None = None, fmt
     """S-3: one period of a period table; the filter prunes partitions."""
     df = spark.read.format(fmt).load(path)
     return df if where is None else df.where(where)
+
+
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
+                   period_cols: Sequence[str] = (), mode: str = "overwrite") -> None:
+    """Write a keyed table bucketed (and sorted) by its entity key.
+
+    Two tables bucketed the same way on the key (the snapshot and its SCD
+    history) are joined on that key without a shuffle of either side, so the
+    yearly SCD step reads both co-located. ``period_cols`` partitions the
+    table by period as well, so one period is still a pruned read.
+    """
+    w = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    if period_cols:
+        w = w.partitionBy(*period_cols)
+    w.saveAsTable(table)

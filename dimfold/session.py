@@ -35,6 +35,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if os.environ.get("DIMFOLD_WAREHOUSE"):
+        builder = builder.config("spark.sql.warehouse.dir", os.environ["DIMFOLD_WAREHOUSE"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -77,3 +79,40 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, executor_memory_gb: int = 16, executor_cores: int = 4) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on a large cluster.
+
+    Partitions are sized so a task's share of a shuffle (~256 MB) fits in an
+    executor core's share of memory with room for sort buffers; AQE then
+    coalesces small partitions and splits skewed ones at runtime. Broadcasts
+    stay small and are decided from measured sizes; lost executors are
+    tolerated by task retries and by migrating their shuffle blocks on
+    decommission.
+    """
+    target = 256 * 1024 * 1024
+    per_core = executor_memory_gb * 1024 ** 3 // max(executor_cores, 1)
+    advisory = min(target, max(64 * 1024 ** 2, per_core // 8))
+    partitions = max(200, int(input_bytes // advisory))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(advisory * 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 ** 2),
+        "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 ** 2),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(advisory),
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.task.maxFailures": "8",
+        "spark.stage.maxConsecutiveAttempts": "8",
+        "spark.decommission.enabled": "true",
+        "spark.storage.decommission.enabled": "true",
+        "spark.storage.decommission.shuffleBlocks.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }

@@ -1,4 +1,5 @@
 import os
+import tempfile
 import sys
 
 import pytest
@@ -12,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from dimfold.session import build_session
 
+    os.environ.setdefault("DIMFOLD_WAREHOUSE", tempfile.mkdtemp(prefix="dimfold-wh-"))
     s = build_session("local[4]", shuffle_partitions=4, app_name="dimfold-tests")
     yield s
     s.stop()

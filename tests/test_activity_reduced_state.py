@@ -141,3 +141,28 @@ def test_write_period_replaces_only_its_partition(spark):
     assert rows(back.select("k", F.col("date").cast("date"))) == [(1, D(2024, 1, 1)), (9, D(2024, 1, 2))]
     one = state.read_period(spark, path, F.col("date") == F.lit(D(2024, 1, 1)))
     assert one.count() == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = spark.range(1000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
+        b = spark.range(500).select((F.col("id") % 97).alias("k"), (F.col("id") * 2).alias("w"))
+        state.write_bucketed(a, "dimfold_test_snapshot", ["k"], 8)
+        state.write_bucketed(b, "dimfold_test_history", ["k"], 8)
+        j = spark.table("dimfold_test_snapshot").join(spark.table("dimfold_test_history"), "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert j.count() == a.join(b, "k").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS dimfold_test_snapshot")
+        spark.sql("DROP TABLE IF EXISTS dimfold_test_history")
+
+
+def test_cluster_conf_sizes_partitions():
+    from dimfold.session import cluster_conf
+
+    c = cluster_conf(100 * 1024 ** 4)
+    assert int(c["spark.sql.shuffle.partitions"]) >= 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
