@@ -4,7 +4,9 @@ Every query reads the whole base tables (through the stand-in views) and
 keeps its output scalar and comparable across engines: arrays become
 delimited text, dates ISO text, JSON is extracted or compact text, and REAL
 values are widened to DOUBLE. Period bounds (last season, snapshot day) are
-taken from the data with scalar subqueries, so the plan stays one lazy job.
+the load period of the base fact table (MIN/MAX of its date column, read
+once per data folder) and enter the plans as literals, so they are folded
+and pushed into the scans.
 """
 
 from __future__ import annotations
@@ -77,16 +79,6 @@ def Ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
     return _CTX[k]
 
 
-def value(df: DataFrame):
-    """A one-row, one-column aggregate as a Python value (one small job).
-
-    Registered queries read their period bounds (last season, last event
-    day) from the data once, the way a scheduled job receives them as
-    parameters; the literals are then folded and pushed into the scans.
-    """
-    return df.first()[0]
-
-
 def iso(c) -> F.Column:
     return F.date_format(c, "yyyy-MM-dd")
 

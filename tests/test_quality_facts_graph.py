@@ -117,3 +117,75 @@ def test_player_vertex_keeps_one_null_team_last(spark):
                                  (4, 10, "p", "A", 1, None)], G + ", team_id int")
     props = graph.player_vertices(det).first().properties
     assert '"teams":[1,3,null]' in props
+
+
+def test_hot_game_is_split_by_aqe_skew_join(spark):
+    """One game holding most member rows: its pairs are spread over several tasks, results exact."""
+    hot = [(0, p, f"n{p}", "A" if p % 2 else "B", 1) for p in range(300)]
+    cold = [(g, p, f"n{p}", "A", 1) for g in range(1, 200) for p in (g, g + 1000)]
+    det = spark.createDataFrame(hot + cold, G)
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        e = graph.co_occurrence_edges(det)
+        n = len(e.collect())
+        plan = e._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert n == 300 * 299 // 2 + 199
+    assert "skew" in plan.lower()
+
+
+def _with_conf(spark, conf, fn):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return fn()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+SKEW = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16"}
+
+
+def test_hot_duplicate_key_semi_join_is_split(spark):
+    hot = [(1, 1, 10, f"x{i}", i) for i in range(3000)]
+    cold = [(g, 1, 10, "y", 1) for g in range(2, 400)] + [(2, 1, 10, "z", 2)]
+    df = spark.createDataFrame(hot + cold, D)
+
+    def run(max_keys):
+        d = quality.duplicate_rows(df, ["game_id", "team_id", "player_id"], max_broadcast_keys=max_keys)
+        n = len(d.collect())
+        return n, d._jdf.queryExecution().executedPlan().toString()
+
+    # Small key set: broadcast, the rows are filtered where they are read (no shuffle of the rows).
+    n, plan = _with_conf(spark, SKEW, lambda: run(1000))
+    assert n == 3002 and "BroadcastHashJoin" in plan
+    # Key set above the bound: salted semi join, the hot key lands in several tasks; same rows.
+    n, plan = _with_conf(spark, SKEW, lambda: run(0))
+    assert n == 3002 and "_salt" in plan
+
+
+def test_dedupe_limits_rows_before_the_shuffle(spark):
+    df = spark.createDataFrame([(1, 1, 10, "x", i) for i in range(100)], D)
+    plan = quality.dedupe_first(df, ["game_id", "team_id", "player_id"])._jdf.queryExecution().executedPlan().toString()
+    # WindowGroupLimit runs once before the exchange (partial) and once after (final).
+    before, _, after = plan.partition("Exchange")
+    assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
