@@ -547,3 +547,25 @@ def q35_monthly_first_five(spark, sf_dir):
                     F.size("hit_array").alias("days_in_month"),
                     array_text(F.slice("hit_array", 1, 5)).alias("first_5_days_hits"),
                     array_text(F.slice("unique_visitors_array", 1, 5)).alias("first_5_days_visitors"))
+
+
+def q36_first_five_devices(spark, sf_dir):
+    """Top-k report: the first five rows of the user datelist table by (date, user)."""
+    from dimfold.operators import reports
+
+    t = user_json_table(Ctx(spark, sf_dir))
+    top = reports.top_k(t, ["date", "user_id"], 5)
+    return top.select("user_id", iso(F.col("date")).alias("date"), "device_activity_datelist")
+
+
+def q37_first_five_monthly(spark, sf_dir):
+    """Top-k report: the first five monthly rows by (month, host), with their first five slots."""
+    from dimfold.operators import reports
+
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    m = reports.top_k(reduced.monthly_arrays(c.events, lo, hi), ["month", "host"], 5)
+    return m.select(iso(F.col("month")).alias("month"), "host",
+                    F.size("hit_array").alias("days_in_month"),
+                    array_text(F.slice("hit_array", 1, 5)).alias("first_5_days_hits"),
+                    array_text(F.slice("unique_visitors_array", 1, 5)).alias("first_5_days_visitors"))
