@@ -36,3 +36,26 @@ def test_stream_of_event_files_rebuilds_datelists_with_late_file(spark):
     events = _prepare(raw)
     want = activity.datelist_rebuild(events, dt.date(2024, 1, 1), dt.date(2024, 1, 6))
     assert rows(got.select("user_id", "dates_active", F.col("date").cast("date"))) == rows(want)
+
+
+def test_stream_rebuilds_monthly_arrays_in_one_month_partition(spark):
+    from dimfold.operators import reduced
+
+    raw = read_table(spark, SF_SMALL, "events")
+    root = tempfile.mkdtemp(prefix="dimfold-stream-")
+    src, state, ckpt = f"{root}/events", f"{root}/state", f"{root}/ckpt"
+    d = F.to_date("ts")
+    raw.where(d <= F.lit(dt.date(2024, 1, 4))).write.mode("append").parquet(src)
+    empty = spark.createDataFrame([], "month date, host string, hit_array array<int>, unique_visitors_array array<int>")
+
+    def step(prev, events, day):
+        return reduced.monthly_arrays_step(prev, events, F.lit(day))
+
+    loader = DailyStateLoader(spark, src, raw.schema, state, step, empty, partition_col="month",
+                              partition_of=lambda day: day.replace(day=1), prepare=_prepare)
+    loader.start(ckpt).awaitTermination(300)
+    raw.where(d.between(F.lit(dt.date(2024, 1, 5)), F.lit(dt.date(2024, 1, 7)))).write.mode("append").parquet(src)
+    loader.start(ckpt).awaitTermination(300)
+    got = spark.read.parquet(state).select("month", "host", "hit_array", "unique_visitors_array")
+    want = reduced.monthly_arrays(_prepare(raw), F.lit(dt.date(2024, 1, 1)), F.lit(dt.date(2024, 1, 7)))
+    assert rows(got.select(F.col("month").cast("date"), "host", "hit_array", "unique_visitors_array")) == rows(want)
