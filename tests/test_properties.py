@@ -44,3 +44,34 @@ def test_increment_equals_rebuild_random(spark, history):
         assert all(a[1] < b[0] for a, b in zip(ss, ss[1:]))
         covered = {y for a, b in ss for y in range(a, b + 1) if y in seasons[k]}
         assert covered == seasons[k]
+
+
+EVENT = st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(min_value=1, max_value=5),
+                  st.integers(min_value=0, max_value=23), st.sampled_from(["h1", "h2"]))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(events=st.lists(EVENT, min_size=1, max_size=25))
+def test_daily_folds_equal_rebuilds_random(spark, events):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from dimfold.operators import activity, reduced
+
+    ev = spark.createDataFrame([(u, dt.datetime(2024, 1, d, h), host) for u, d, h, host in events],
+                               "user_id long, event_time timestamp, host string")
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    dl = spark.createDataFrame([], "user_id string, dates_active array<date>, date date")
+    ma = spark.createDataFrame([], "user_id long, month_start date, metric_name string, metric_array array<float>")
+    mo = spark.createDataFrame([], "month date, host string, hit_array array<int>, unique_visitors_array array<int>")
+    for day in days:
+        dl = activity.datelist_step(dl, ev, day)
+        ma = reduced.metric_array_step(ma, ev, F.lit(day))
+        mo = reduced.monthly_arrays_step(mo, ev, F.lit(day))
+    assert rows(dl) == rows(activity.datelist_rebuild(ev, days[0], days[-1]))
+    assert rows(ma) == rows(reduced.metric_array_rebuild(ev, F.lit(days[-1])))
+    full = reduced.monthly_arrays(ev, F.lit(days[0]), F.lit(days[-1]))
+    assert rows(mo) == rows(full)
+    # Re-running any day changes nothing.
+    assert rows(reduced.monthly_arrays_step(mo, ev, F.lit(days[2]))) == rows(full)
