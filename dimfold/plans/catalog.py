@@ -21,7 +21,7 @@ from dimfold.operators import activity, facts, graph, quality, reduced, scd, sta
 from dimfold.operators import snapshot as snap
 from dimfold.session import cut_lineage
 from dimfold.sources import fixtures as fx
-from dimfold.sources.tables import Tables
+from dimfold.sources.tables import Tables, read_table
 
 
 class _Ctx:
@@ -101,7 +101,7 @@ def _bounds(c: _Ctx, table: str, column: str) -> tuple:
     """
     k = (os.path.abspath(c.t.sf_dir), f"{table}.{column}")
     if k not in _BOUNDS:
-        r = getattr(c.t, table).agg(F.min(column), F.max(column)).first()
+        r = read_table(c.spark, c.t.sf_dir, table).agg(F.min(column), F.max(column)).first()
         _BOUNDS[k] = (r[0], r[1])
     return _BOUNDS[k]
 

@@ -29,17 +29,42 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+# Spread an input over at most one partition per this many bytes.
+SPREAD_BYTES_PER_PARTITION = 1 << 20
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a table that has fewer input splits than cores.
+
+    A Parquet row group cannot be split, so a table stored as one or a few
+    row groups is read by one or a few tasks and every operator fused into
+    that stage runs there. Such a table is redistributed round-robin over
+    ``min(cores, bytes / 1 MiB)`` partitions (filters and column pruning
+    still reach the scan below the exchange). A large table has many splits
+    and is left as it is, so at cluster scale this is a no-op; tiny tables
+    are never spread thin.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    splits = df.rdd.getNumPartitions()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    target = min(cores, size // SPREAD_BYTES_PER_PARTITION)
+    return df.repartition(target) if target > splits else df
+
+
 class Tables:
     """Lazy accessor: ``Tables(spark, dir).orders`` reads orders once per accessor."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.spread = spread
         self._cache: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in BASE_TABLES:
             raise AttributeError(name)
         if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
+            df = read_table(self.spark, self.sf_dir, name)
+            self._cache[name] = spread_small_input(df) if self.spread else df
         return self._cache[name]
