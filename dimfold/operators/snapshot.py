@@ -38,6 +38,14 @@ def _lit(v) -> Column:
     return v if isinstance(v, Column) else F.lit(v)
 
 
+def _non_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    cond = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        cond = c if cond is None else cond & c
+    return df.where(cond)
+
+
 def entity_spine(df: DataFrame, key: Keys, period: str, end, start=None,
                  out_period: str | None = None) -> DataFrame:
     """X-1: one row per key and period, from the key's first period to ``end``.
@@ -71,9 +79,11 @@ def cumulative_snapshot(df: DataFrame, key: Keys, period: str, stats: Sequence[s
     The input must be unique per (key, period), as the primary key of the
     snapshot table requires; ``duplicate_keys`` checks it. ``only_end=True``
     emits just the rows of period ``end`` (one partition of the snapshot
-    table) without generating the other periods.
+    table) without generating the other periods. A NULL key matches no fact
+    and no static row in the scripts' joins, so it yields no rows.
     """
     keys = _keys(key)
+    df = _non_null_keys(df, keys)
     per_key = df.groupBy(*keys).agg(
         F.min(period).alias("_first"),
         F.sort_array(F.collect_list(F.struct(period, *stats))).alias("_facts"),
@@ -146,6 +156,7 @@ def cumulative_snapshot_multi(df: DataFrame, key: Keys, period: str, item_cols:
     key's items in one row (use it for bounded histories).
     """
     keys = _keys(key)
+    df = _non_null_keys(df, keys)
     item = F.struct(F.col(period), *[F.col(c) for c in item_cols])
     distinct_items = df.select(*keys, period, *item_cols).distinct()
     per_period_aggs = [

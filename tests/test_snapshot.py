@@ -101,3 +101,9 @@ def test_entity_spine_empty_series_for_late_first(spark):
     assert rows(sp) == [("b", 2001), ("b", 2002), ("b", 2003)]
     assert rows(snap.entity_spine(df, "k", "p", 2003, start=2002)) == [("b", 2002), ("b", 2003)]
     assert F is not None
+
+
+def test_null_keys_yield_no_snapshot_rows(spark):
+    df = spark.createDataFrame([(None, 2000, 1, 25.0, 0.0, 0.0, "x"), ("a", 2000, 1, 5.0, 0.0, 0.0, "x")], SEASONS)
+    s = snap.cumulative_snapshot(df, "player_name", "season", ["pts"], 2001)
+    assert rows(s, "player_name", "current_season") == [("a", 2000), ("a", 2001)]
