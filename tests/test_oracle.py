@@ -33,3 +33,13 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["player_name", "current_season"]
+
+
+BAD_OPERATORS = ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
+                 "FlatMapGroupsInPandas", "MapInPandas")
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_plan_has_no_nested_loop_cartesian_or_python(spark, name):
+    plan = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not [op for op in BAD_OPERATORS if op in plan]
