@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.functions.columns import ColumnOrName, first_item, last_item, ratio_case, ratio_nullif, threshold_class
+from dimfold.functions.columns import first_item, last_item, ratio_case, ratio_nullif, threshold_class
 
 Keys = str | Sequence[str]
 
