@@ -226,7 +226,8 @@ def scd2_change_points(df: DataFrame, key: Keys, period: str, tracked: Sequence[
 
 def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str, tracked: Sequence[str],
                reference: bool = False, start_name: str = "start_year", end_name: str = "end_year",
-               current_name: str = "is_current", last_processed=None) -> tuple[DataFrame, DataFrame]:
+               current_name: str = "is_current", last_processed=None,
+               fill: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Close-and-insert merge of new snapshot periods into an SCD2 table.
 
     Returns ``(new_history, counts)`` where counts has ``records_updated``
@@ -246,6 +247,9 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
 
     ``last_processed`` is the history's last period (``MAX(end_year)``); a
     scheduled job passes it, otherwise it is read from ``history``.
+    ``fill`` (fixed form) back-fills a NULL in that tracked column with the
+    last known value (earlier batch rows, then the open record), as the
+    change-point rebuild does, so the merge equals the rebuild.
     """
     keys = _keys(key)
     hist_cols = [*keys, start_name, end_name, *tracked, current_name]
@@ -275,6 +279,10 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     else:
         batch = snapshot.where(F.col(period) > last).select(*keys, period, *tracked)
         c = batch.join(h, keys, "left")
+        if fill is not None:
+            before = w.rowsBetween(Window.unboundedPreceding, -1)
+            c = c.withColumn(fill, F.coalesce(F.col(fill), F.last(fill, ignorenulls=True).over(before),
+                                              F.col(f"_h_{fill}")))
         first = F.row_number().over(w) == 1
         prev = [F.when(first, F.col(f"_h_{t}")).otherwise(F.lag(t).over(w)) for t in tracked]
         diff = _changed_fixed([F.col(t) for t in tracked], prev)

@@ -275,7 +275,7 @@ def _merge(spark, sf_dir, reference):
     states = cut_lineage(actor_states(c, hi))
     history = cut_lineage(_change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1))
     return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference,
-                          last_processed=hi - 1)
+                          last_processed=hi - 1, fill=None if reference else "quality_class")
 
 
 def q09_scd2_merge(spark, sf_dir):

@@ -75,3 +75,33 @@ def test_daily_folds_equal_rebuilds_random(spark, events):
     assert rows(mo) == rows(full)
     # Re-running any day changes nothing.
     assert rows(reduced.monthly_arrays_step(mo, ev, F.lit(days[2]))) == rows(full)
+
+
+ACTOR = st.tuples(st.integers(min_value=0, max_value=4),                      # debut offset
+                  st.lists(st.tuples(st.sampled_from(["star", "good", None]), st.booleans(), st.integers(0, 2)),
+                           min_size=5, max_size=5))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(actors=st.lists(ACTOR, min_size=1, max_size=4))
+def test_merge_equals_change_point_rebuild_random(spark, actors):
+    from pyspark.sql import functions as F
+
+    data = []
+    for i, (debut, years) in enumerate(actors):
+        films = 0
+        for off in range(debut, 5):
+            cls, active, new = years[off]
+            films += new
+            data.append((str(i), f"a{i}", 2000 + off, cls, active, films))
+    df = spark.createDataFrame(data, "actorid string, actor string, current_year int, quality_class string,"
+                                     " is_active boolean, n_films long")
+    tracked = ["quality_class", "is_active", "n_films"]
+    keys = ["actorid", "actor"]
+    d = {"is_active": False, "n_films": 0}
+    hist = scd.scd2_change_points(df.where(F.col("current_year") < 2004), keys, "current_year", tracked, d,
+                                  fill="quality_class", lo=2000, hi=2003)
+    merged, _ = scd.scd2_merge(hist, df, keys, "current_year", tracked, last_processed=2003, fill="quality_class")
+    full = scd.scd2_change_points(df, keys, "current_year", tracked, d, fill="quality_class", lo=2000, hi=2004)
+    known = hist.select("actorid").distinct()
+    assert rows(merged.join(known, "actorid", "left_semi")) == rows(full.select(merged.columns).join(known, "actorid", "left_semi"))
