@@ -89,3 +89,71 @@ def test_co_occurrence_edges_bruteforce(spark, data):
            (r.num_games, r.subject_points, r.object_points, r.subject_player_name, r.object_player_name)
            for r in graph.co_occurrence_edges(df).collect()}
     assert got == agg
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(days=st.lists(st.sets(st.integers(0, 40), max_size=8), min_size=1, max_size=4))
+def test_datelist_bits_bruteforce(spark, days):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from dimfold.operators import activity
+
+    snap_day = dt.date(2024, 3, 31)
+    start = dt.date(2024, 3, 1)
+    data = [(f"u{i}", [snap_day - dt.timedelta(days=n) for n in sorted(ns)]) for i, ns in enumerate(days)]
+    df = spark.createDataFrame(data, "user_id string, dates_active array<date>")
+    got = {r.user_id: (r.datelist_int, r.active_days, r.dim_is_weekly_active)
+           for r in activity.datelist_bits(df, F.lit(snap_day), F.lit(start)).collect()}
+    for uid, ds in data:
+        ns = [(snap_day - d).days for d in ds if start <= d <= snap_day]
+        bits = sum(1 << (31 - n) for n in set(ns))
+        assert got[uid] == (bits, len(set(ns)), any(n < 7 for n in ns))
+
+
+FILM = st.tuples(st.integers(0, 2), st.integers(2000, 2003), st.sampled_from(["f1", "f10", "f2", "g"]),
+                 st.integers(1, 9))
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(films=st.lists(FILM, min_size=1, max_size=12))
+def test_snapshot_multi_bruteforce(spark, films):
+    from decimal import Decimal
+
+    data = [(f"a{a}", str(a), f, y, 1, Decimal(r), f) for a, y, f, r in films]
+    df = spark.createDataFrame(data, "actor string, actorid string, film string, year int, votes int,"
+                                     " rating decimal(10,2), filmid string")
+    got = {(r.actorid, r.current_year): r for r in snap.cumulative_snapshot_multi(
+        df, ["actorid", "actor"], "year", ["film", "votes", "rating", "filmid"], 2003,
+        class_on="rating", cuts=(8, 7, 6), labels=("star", "good", "average", "bad")).collect()}
+    for aid in {d[1] for d in data}:
+        items = sorted({(d[3], d[2], d[4], d[5], d[6]) for d in data if d[1] == aid})
+        for cur in range(items[0][0], 2004):
+            upto = [i for i in items if i[0] <= cur]
+            last = upto[-1]
+            r = got[(aid, cur)]
+            assert r.n_films == len(upto)
+            assert (r.last_film.year, r.last_film.film) == (last[0], last[1])
+            assert r.is_active == (last[0] == cur) and r.years_since_last_film == cur - last[0]
+            cls = "star" if last[3] > 8 else "good" if last[3] > 7 else "average" if last[3] > 6 else "bad"
+            assert r.quality_class == cls
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(seqs=st.lists(st.lists(st.tuples(st.sampled_from(["s", "g", None]), st.booleans()), min_size=1, max_size=6),
+                     min_size=1, max_size=3))
+def test_streaks_bruteforce(spark, seqs):
+    from dimfold.operators import scd
+
+    data = [(f"p{i}", 2000 + j, c, a) for i, seq in enumerate(seqs) for j, (c, a) in enumerate(seq)]
+    df = spark.createDataFrame(data, "player_name string, current_season int, scoring_class string, is_active boolean")
+    got = rows(scd.scd2_streaks(df, "player_name", "current_season", ["scoring_class", "is_active"], 2010))
+    want = []
+    for i, seq in enumerate(seqs):
+        start = 0
+        for j in range(1, len(seq) + 1):
+            if j == len(seq) or seq[j] != seq[j - 1]:
+                want.append((f"p{i}", seq[start][0], seq[start][1], 2000 + start, 1999 + j, 2010))
+                start = j
+    assert got == sorted(want, key=repr)
