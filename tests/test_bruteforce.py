@@ -157,3 +157,52 @@ def test_streaks_bruteforce(spark, seqs):
                 want.append((f"p{i}", seq[start][0], seq[start][1], 2000 + start, 1999 + j, 2010))
                 start = j
     assert got == sorted(want, key=repr)
+
+
+EVENT = st.tuples(st.sampled_from([1, 2, 3, None]), st.integers(1, 29), st.sampled_from(["h1", "h2", None]))
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(events=st.lists(EVENT, min_size=1, max_size=25))
+def test_monthly_and_metric_arrays_bruteforce(spark, events):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from dimfold.operators import reduced
+
+    df = spark.createDataFrame([(u, dt.datetime(2024, 2, d, 12), h) for u, d, h in events],
+                               "user_id long, event_time timestamp, host string")
+    got = {r.host: (r.hit_array, r.unique_visitors_array)
+           for r in reduced.monthly_arrays(df, F.lit(dt.date(2024, 2, 1)), F.lit(dt.date(2024, 2, 29))).collect()}
+    want = {}
+    for h in {e[2] for e in events if e[2] is not None}:
+        hits = [sum(1 for u, d, hh in events if hh == h and d == day) for day in range(1, 30)]
+        uv = [len({u for u, d, hh in events if hh == h and d == day and u is not None}) for day in range(1, 30)]
+        want[h] = (hits, uv)
+    assert got == want
+    day = dt.date(2024, 2, 20)
+    m = {r.user_id: r.metric_array for r in reduced.metric_array_rebuild(df, F.lit(day)).collect()}
+    users = {u for u, d, _ in events if u is not None and d <= 20}
+    assert set(m) == users
+    for u in users:
+        assert m[u] == [float(sum(1 for uu, d, _ in events if uu == u and d == k)) for k in range(1, 21)]
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(rows_=st.lists(st.tuples(st.integers(0, 3), st.integers(1, 9), st.integers(1, 3)), min_size=1, max_size=15))
+def test_activity_report_bruteforce(spark, rows_):
+    import datetime as dt
+
+    from dimfold.operators import activity
+
+    data = [(u, dt.date(2024, 1, d), [dt.date(2024, 1, d)] * n) for u, d, n in rows_]
+    df = spark.createDataFrame(data, "user_id long, date date, active_dates array<date>")
+    lo, hi = dt.date(2024, 1, 2), dt.date(2024, 1, 8)
+    got = {r.user_id: (r.active_days, r.first_seen, r.last_seen) for r in activity.activity_report(df, lo, hi).collect()}
+    want = {}
+    for u in {r[0] for r in data}:
+        ds = sorted({d for uu, d, _ in data if uu == u and lo <= d <= hi})
+        if ds:
+            want[u] = (len(ds), ds[0], ds[-1])
+    assert got == want
