@@ -206,3 +206,41 @@ def test_activity_report_bruteforce(spark, rows_):
         if ds:
             want[u] = (len(ds), ds[0], ds[-1])
     assert got == want
+
+
+STATE = st.tuples(st.sampled_from(["s", "g", None]), st.booleans(), st.integers(0, 1))
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(actors=st.lists(st.tuples(st.integers(0, 3), st.lists(STATE, min_size=5, max_size=5)), min_size=1, max_size=3))
+def test_change_points_bruteforce(spark, actors):
+    from dimfold.operators import scd
+
+    data = []
+    for i, (debut, states) in enumerate(actors):
+        n = 0
+        for off in range(debut, 5):
+            c, a, add = states[off]
+            n += add
+            data.append((str(i), f"a{i}", 2000 + off, c, a, n))
+    df = spark.createDataFrame(data, "actorid string, actor string, current_year int, quality_class string,"
+                                     " is_active boolean, n_films long")
+    got = rows(scd.scd2_change_points(df, ["actorid", "actor"], "current_year", ["quality_class", "is_active", "n_films"],
+                                      {"is_active": False, "n_films": 0}, fill="quality_class", lo=2000, hi=2004))
+    want = []
+    for i, (debut, states) in enumerate(actors):
+        by_year = {d[2]: d for d in data if d[0] == str(i)}
+        grid = []
+        last_cls = None
+        for y in range(2000, 2005):
+            d = by_year.get(y)
+            cls, act, nf = (d[3], d[4], d[5]) if d else (None, False, 0)
+            cls = cls if cls is not None else last_cls
+            last_cls = cls if cls is not None else last_cls
+            grid.append((y, cls, act, nf))
+        starts = [k for k in range(5) if k == 0 or grid[k][1:] != grid[k - 1][1:]]
+        for j, k in enumerate(starts):
+            end = 2000 + starts[j + 1] - 1 if j + 1 < len(starts) else 2004
+            y, cls, act, nf = grid[k]
+            want.append((str(i), f"a{i}", y, end, cls, act, nf, end == 2004))
+    assert got == sorted(want, key=repr)
