@@ -244,3 +244,39 @@ def test_change_points_bruteforce(spark, actors):
             y, cls, act, nf = grid[k]
             want.append((str(i), f"a{i}", y, end, cls, act, nf, end == 2004))
     assert got == sorted(want, key=repr)
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(data=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 4), st.sampled_from(["n0", "n1", "n2", None]),
+                               st.sampled_from(["A", "B"]), st.integers(0, 9), st.integers(0, 2)),
+                     min_size=1, max_size=15))
+def test_points_per_game_bruteforce(spark, data):
+    df = spark.createDataFrame(data, "game_id long, player_id long, player_name string, team_abbreviation string,"
+                                     " pts int, team_id int")
+    games = spark.createDataFrame([(g, 1, 1, 0, 1, 2) for g in {d[0] for d in data}],
+                                  "game_id long, pts_home int, pts_away int, home_team_id int, home_team_wins int,"
+                                  " visitor_team_id int")
+    teams = spark.createDataFrame([(0, "X", "x", "c", "ar", 1900)],
+                                  "team_id int, abbreviation string, nickname string, city string, arena string,"
+                                  " yearfounded int")
+    v = graph.all_vertices(games, df, teams)
+    got = rows(graph.points_per_game(v, graph.co_occurrence_edges(df)))
+
+    def key(r):
+        return tuple((x is not None, x if x is not None else "") for x in (r[2], r[3])) + ((True, r[4]),)
+
+    members = {}
+    for r in data:
+        k = (r[1], r[0])
+        if k not in members or key(r) < key(members[k]):
+            members[k] = r
+    ms = list(members.values())
+    starts = {a[1] for a in ms for b in ms
+              if a[0] == b[0] and a[2] is not None and b[2] is not None and a[2] != b[2] and a[1] > b[1]}
+    want = set()
+    for p in starts:
+        mine = [r for r in data if r[1] == p]
+        names = [r[2] for r in mine if r[2] is not None]
+        games_n, pts = float(len(mine)), float(sum(r[4] for r in mine))
+        want.add((max(names) if names else None, games_n, pts, pts / (games_n if games_n != 0 else 1.0)))
+    assert got == sorted(want, key=repr)
