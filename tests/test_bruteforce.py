@@ -280,3 +280,36 @@ def test_points_per_game_bruteforce(spark, data):
         games_n, pts = float(len(mine)), float(sum(r[4] for r in mine))
         want.add((max(names) if names else None, games_n, pts, pts / (games_n if games_n != 0 else 1.0)))
     assert got == sorted(want, key=repr)
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(actors=st.lists(st.tuples(st.integers(0, 3), st.lists(STATE, min_size=5, max_size=5)), min_size=1, max_size=3))
+def test_change_points_reference_bruteforce(spark, actors):
+    from dimfold.operators import scd
+
+    data = []
+    for i, (debut, states) in enumerate(actors):
+        n = 0
+        for off in range(debut, 5):
+            c, a, add = states[off]
+            n += add
+            data.append((str(i), f"a{i}", 2000 + off, c, a, n))
+    df = spark.createDataFrame(data, "actorid string, actor string, current_year int, quality_class string,"
+                                     " is_active boolean, n_films long")
+    got = rows(scd.scd2_change_points(df, ["actorid", "actor"], "current_year", ["quality_class", "is_active", "n_films"],
+                                      {"is_active": False, "n_films": 0}, reference=True, fill="quality_class",
+                                      lo=2000, hi=2004))
+    want = []
+    for i, _ in enumerate(actors):
+        by_year = {d[2]: d for d in data if d[0] == str(i)}
+        raw = [(by_year[y][3], by_year[y][4], by_year[y][5]) if y in by_year else (None, False, 0)
+               for y in range(2000, 2005)]
+        first_cls = raw[0][0]  # FIRST_VALUE over the running frame is the partition's first value
+        grid = [(c if c is not None else first_cls, a, n) for c, a, n in raw]
+        for k in range(5):
+            change = k == 0 or grid[k] != grid[k - 1]
+            end = 2000 + k if k < 4 else 2004  # LEAD(year - 1) over all rows: the next row's year minus one
+            if change:
+                c, a, n = grid[k]
+                want.append((str(i), f"a{i}", 2000 + k, end, c, a, n, end == 2004))
+    assert got == sorted(want, key=repr)
