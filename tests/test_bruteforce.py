@@ -313,3 +313,35 @@ def test_change_points_reference_bruteforce(spark, actors):
                 c, a, n = grid[k]
                 want.append((str(i), f"a{i}", 2000 + k, end, c, a, n, end == 2004))
     assert got == sorted(want, key=repr)
+
+
+JSONS = ['{"active_dates":["2024-01-01"]}', '{"other":1}', '["2024-01-01"]', 'junk', '{}', None]
+
+
+@settings(max_examples=8, **SETTINGS)
+@given(data=st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["d1", "d2", None]), st.sampled_from(JSONS)),
+                     min_size=1, max_size=12))
+def test_check_contract_bruteforce(spark, data):
+    import json as js
+
+    df = spark.createDataFrame(data, "user_id long, date string, j string")
+    got = quality.check_contract(df, keys=["user_id", "date"], not_null=["date"], json_objects=["j"],
+                                 json_required={"j": "active_dates"}).first().asDict()
+
+    def parsed(t):
+        try:
+            return js.loads(t)
+        except (TypeError, ValueError):
+            return None
+
+    counts = {}
+    for u, d, _ in data:
+        counts[(u, d)] = counts.get((u, d), 0) + 1
+    want = {
+        "rows": len(data),
+        "null_date": sum(1 for _, d, _ in data if d is None),
+        "not_object_j": sum(1 for _, _, j in data if j is not None and not isinstance(parsed(j), dict)),
+        "missing_active_dates_j": sum(1 for _, _, j in data if not (isinstance(parsed(j), dict) and "active_dates" in parsed(j))),
+        "duplicate_keys": sum(1 for n in counts.values() if n > 1),
+    }
+    assert got == want
