@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dimfold.llm import quality_rules
+from dimfold.llm import quality_rules, simhash_dedup
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op3_simhash_dedup": simhash_dedup.query,
 }
 
 ORACLE = {

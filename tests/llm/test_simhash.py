@@ -1,0 +1,103 @@
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from dimfold.llm import simhash_dedup as S
+from dimfold.llm.components import connected_components
+
+SCHEMA = "doc_id long, text string"
+
+
+def brute_fingerprint(text):
+    w = [x for x in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\x0b", " ").replace("\x0c", " ")
+         .replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ") if x]
+    if not w:
+        return 0
+    grams = [" ".join(w[i:i + 4]) for i in range(max(1, len(w) - 3))]
+    h = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_groups(fps, limit=4):
+    """Smallest index reachable, for each index."""
+    group = list(range(len(fps)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(fps)):
+            for j in range(i):
+                if (fps[i] ^ fps[j]).bit_count() <= limit and group[i] != group[j]:
+                    group[i] = group[j] = min(group[i], group[j])
+                    changed = True
+    return group
+
+
+def test_fingerprint_equals_brute_force_and_spark_hash(spark):
+    rng = random.Random(3)
+    texts = ["", None, "one", "A b\x0bc d", "A  b c d e", "é Ü ü É x y z"] + [
+        " ".join(rng.choice("ab cd ef the of Zz ü".split()) for _ in range(n)) for n in (3, 4, 5, 40, 700)]
+    for t in texts:
+        assert S.fingerprint(t) == brute_fingerprint(t)
+    one = spark.sql("SELECT xxhash64('a b c d') AS h").first().h
+    assert one % 2 ** 64 == S.fingerprint("a b c d")
+
+
+def test_golay_words_two_bits_apart_share_an_index():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 1 << 23, 4000)
+    for flips in (0, 1, 2):
+        y = x.copy()
+        for row, i in enumerate(y):
+            for b in rng.choice(23, flips, replace=False):
+                y[row] ^= 1 << int(b)
+        a, b = S.segment_keys(x), S.segment_keys(y)
+        shared = (a[:, :, None] == b[:, None, :]) & (a[:, :, None] >= 0)
+        assert shared.any(axis=(1, 2)).all()
+        assert (a >= 0).sum(1).max() == 6
+
+
+@pytest.mark.parametrize("split", [50_000, 40])
+def test_links_lose_no_pair(spark, split):
+    """Random fingerprints, chains at distance 4 and a dense ball; blocks of 40 rows must not change the groups."""
+    rng = random.Random(7)
+    fps = [rng.getrandbits(64) for _ in range(150)]
+    for _ in range(6):
+        x = rng.getrandbits(64)
+        for _ in range(8):
+            x ^= sum(1 << b for b in rng.sample(range(64), 4))
+            fps.append(x)
+    centre = rng.getrandbits(64)
+    fps += [centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 3))) for _ in range(150)]
+    fps = sorted({x - 2 ** 64 if x >= 2 ** 63 else x for x in fps})
+    want = brute_groups([x % 2 ** 64 for x in fps])
+    links = S.fingerprint_links(spark.createDataFrame([(x,) for x in fps], "fp long"), 4, split)
+    got = {r.node: r.component for r in connected_components(links).collect()}
+    assert [got.get(x, x) for x in fps] == [fps[g] for g in want]
+    assert links.count() < 40 * len(fps)
+
+
+def test_edges_of_the_input(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b c d e"), (4, "a b c d e"), (None, "a b c d e"), (9, "q"), (None, "lonely words here")]
+    df = spark.createDataFrame([r + ("x", "y") for r in rows], SCHEMA + ", fp string, Text string")
+    got = sorted(((r.doc_id, r.fingerprint, r.component_id) for r in S.near_duplicates(df).collect()), key=repr)
+    f = lambda t: f"{S.fingerprint(t):016x}"
+    assert got == sorted([
+        (1, "0" * 16, 1), (2, "0" * 16, 1), (3, "0" * 16, 1), (4, f("a b c d e"), 4), (4, f("a b c d e"), 4), (None, f("a b c d e"), 4),
+        (9, f("q"), 9), (None, f("lonely words here"), None)], key=repr)
+    full = spark.createDataFrame([r + ("en", "s", 1) for r in rows], SCHEMA + ", lang string, source string, n_chars long")
+    kept = sorted(((r.doc_id, r.text) for r in S.keep_one(full).collect()), key=repr)
+    assert kept == sorted([(1, None), (4, "a b c d e"), (9, "q"), (None, "lonely words here")], key=repr)
+    assert S.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
+    fps = [brute_fingerprint(t) for _, t in rows]
+    want = {(rows[i][0], f"{fps[i]:016x}", rows[g][0]) for i, g in enumerate(brute_groups(fps))}
+    from dimfold.llm.queries import QUERIES
+
+    got = {(r.doc_id, r.fingerprint, r.component_id) for r in QUERIES["op3_simhash_dedup"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want
