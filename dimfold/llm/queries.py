@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dimfold.llm import quality_rules, simhash_dedup
+from dimfold.llm import quality_rules, simhash_dedup, source_mixing
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op3_simhash_dedup": simhash_dedup.query,
+    "op9_source_mixing": source_mixing.query,
 }
 
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op9_source_mixing": source_mixing.ORACLE,
 }
