@@ -12,8 +12,9 @@ copies fall into a few families, documents that share one line only do not.
 A line is boilerplate if it has more than ``max_docs`` families and those are
 at least ``min_family_share`` of its documents.
 
-Scale: one scan for the per-document figures, all inside the row; two
-exchanges of 16-character line keys with map-side counts (a line that a third
+Scale: one scan for the per-document figures, all inside the row; one scan for
+the line hashes, written to the checkpoint folder as both the counts and the
+removal need them; two exchanges of line hashes with map-side counts (a line that a third
 of all documents hold is one row per map task); one equi-join of line
 occurrences with the boilerplate lines, whose hot keys AQE splits; one join
 back on document keys. Texts are shuffled only if ``clean_text`` is used.
@@ -24,16 +25,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import ascii_lower, BLANK_RUN, BLANKS, let, pick, words
+from dimfold.llm.common import BLANKS, LOWER, UPPER, durable, let, pick, words
 
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _line_key(line: Column) -> Column:
-    """Hash of a line without regard to case, spacing and numbers."""
-    plain = F.regexp_replace(F.btrim(ascii_lower(line), F.lit(BLANKS)), BLANK_RUN, " ")
-    return F.substring(F.md5(F.regexp_replace(plain, "[0-9]+", "0").cast("binary")), 1, 16)
+#: One pass over a line: case folded, digits alike, blanks gone.
+FOLD_FROM = UPPER + "0123456789" + BLANKS
+FOLD_TO = LOWER + "0000000000"
+
+
+def _line_key(folded: Column) -> Column:
+    """60-bit hash of a folded line."""
+    return F.conv(F.substring(F.md5(folded.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def _repeat_words(w: Column) -> Column:
@@ -82,8 +87,9 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
         F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("host"))
     full = F.coalesce(F.col("text"), F.lit(""))
     lines = base.select("doc_id", "row_hash", "host", F.split(full, "\n").alias("lines"))
-    keyed = lines.select("doc_id", "row_hash", "host", F.transform("lines", lambda x: F.when(x.rlike(HAS_WORD), F.struct(
-        _line_key(x).alias("key"), F.size(words(x)).alias("words")))).alias("lines"))
+    keyed = durable(lines.select("doc_id", "row_hash", "host", F.transform("lines", lambda x: let(
+        F.translate(x, FOLD_FROM, FOLD_TO), lambda folded: F.when(folded != "", F.struct(
+            _line_key(folded).alias("key"), F.size(words(x)).alias("words"))))).alias("lines")))
 
     uniq = keyed.select("host", F.sort_array(F.array_distinct(F.filter(F.transform("lines", lambda x: x["key"]), lambda k: k.isNotNull()))).alias("keys"))
     at = lambda i: F.get("keys", F.lit(i))
@@ -161,8 +167,8 @@ WITH d AS (
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM gram WHERE c > 1) GROUP BY doc_id
 ), line AS (
   SELECT doc_id, host, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
-    substr(md5(regexp_replace(regexp_replace(trim(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g')), 1, 16) AS key
+    CAST('0x' || substr(md5(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789' || chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
+      'abcdefghijklmnopqrstuvwxyz0000000000')), 1, 15) AS BIGINT) AS key
   FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS l FROM d)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
 ), uniq AS (
@@ -171,7 +177,7 @@ WITH d AS (
   SELECT u.doc_id, u.host, u.key, min(o.key) AS f, max(o.key) AS z
   FROM uniq u LEFT JOIN uniq o ON u.doc_id = o.doc_id AND u.key <> o.key GROUP BY ALL
 ), boiler AS (
-  SELECT host, key FROM (SELECT host, key, count(*) AS docs, count(DISTINCT coalesce(f, '') || '/' || coalesce(z, '')) AS families FROM fam GROUP BY host, key)
+  SELECT host, key FROM (SELECT host, key, count(*) AS docs, count(DISTINCT coalesce(CAST(f AS VARCHAR), '') || '/' || coalesce(CAST(z AS VARCHAR), '')) AS families FROM fam GROUP BY host, key)
   WHERE families > 10 AND families >= 0.25 * docs
 ), gone AS (
   SELECT doc_id, sum(n) AS removed_words, count(*) AS removed_lines FROM line JOIN boiler USING (host, key) GROUP BY doc_id
