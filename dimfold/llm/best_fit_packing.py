@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dimfold.llm.common import durable, pick, read
+from dimfold.llm.common import durable, pick, read, steps
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -148,9 +148,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):  # bounds what one step holds
-                part, rows = batch.iloc[at:at + 500], []
-                for doc, ids in zip(part["doc_id"].tolist(), token_ids(part["text"].tolist(), path)):
+            docs, texts = batch["doc_id"].tolist(), batch["text"].tolist()
+            for part in steps(texts):
+                rows = []
+                for doc, ids in zip(docs[part], token_ids(texts[part], path)):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     for n, start in enumerate(range(0, len(ids), capacity)):
                         piece = ids[start:start + capacity]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,3 +74,31 @@ def stage_table(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.parquet(folder)
+
+
+def steps(texts: list[str | None], chars: int = 2_000_000) -> Iterator[slice]:
+    """Slices of ``texts`` with about ``chars`` characters, at least one text each.
+
+    Bounds what a task holds of a batch in a step's working form.
+    """
+    at, held = 0, 0
+    for i, t in enumerate(texts):
+        size = len(t or "")
+        if held and held + size > chars:
+            yield slice(at, i)
+            at, held = i, 0
+        held += size
+    if at < len(texts):
+        yield slice(at, len(texts))
+
+
+class TaskCache:
+    """One value that a Python worker keeps across tasks, made anew for another key."""
+
+    def __init__(self):
+        self.key, self.value = None, None
+
+    def get(self, key: str, make):
+        if key != self.key:
+            self.key, self.value = key, make()
+        return self.value

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, quality_rules, simhash_dedup, source_mixing
+from dimfold.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, source_mixing
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op3_simhash_dedup": simhash_dedup.query,
     "op5_best_fit_packing": best_fit_packing.query,
+    "op6_language_id": language_id.query,
     "op9_source_mixing": source_mixing.query,
 }
 
