@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, source_mixing
+from dimfold.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, source_mixing, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -10,9 +10,11 @@ QUERIES = {
     "op5_best_fit_packing": best_fit_packing.query,
     "op6_language_id": language_id.query,
     "op9_source_mixing": source_mixing.query,
+    "op10_warc_archive": warc_archive.query,
 }
 
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op9_source_mixing": source_mixing.ORACLE,
+    "op10_warc_archive": warc_archive.ORACLE,
 }
