@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, source_mixing, warc_archive
+from dimfold.llm import best_fit_packing, language_id, pivot_search, quality_rules, simhash_dedup, source_mixing, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
+    "op2_pivot_search": pivot_search.query,
     "op3_simhash_dedup": simhash_dedup.query,
     "op5_best_fit_packing": best_fit_packing.query,
     "op6_language_id": language_id.query,
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op2_pivot_search": pivot_search.ORACLE,
     "op9_source_mixing": source_mixing.ORACLE,
     "op10_warc_archive": warc_archive.ORACLE,
 }
