@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, language_id, pivot_search, quality_rules, simhash_dedup, source_mixing, warc_archive
+from dimfold.llm import best_fit_packing, html_extraction, language_id, pivot_search, quality_rules, simhash_dedup, source_mixing, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
     "op2_pivot_search": pivot_search.query,
     "op3_simhash_dedup": simhash_dedup.query,
+    "op4_html_extraction": html_extraction.query,
     "op5_best_fit_packing": best_fit_packing.query,
     "op6_language_id": language_id.query,
     "op9_source_mixing": source_mixing.query,
