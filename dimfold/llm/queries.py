@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, warc_archive
+from dimfold.llm import best_fit_packing, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, toxicity, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_html_extraction": html_extraction.query,
     "op5_best_fit_packing": best_fit_packing.query,
     "op6_language_id": language_id.query,
+    "op7_toxicity": toxicity.query,
     "op8_ppm_scoring": ppm_scoring.query,
     "op9_source_mixing": source_mixing.query,
     "op10_warc_archive": warc_archive.query,
