@@ -2,14 +2,15 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and reread as the next stage's ``docs``. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``: doc_id, text, lang, source, n_chars.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimfold.llm import quality_rules
+from dimfold.llm import best_fit_packing, language_id, quality_rules, simhash_dedup, source_mixing
+from dimfold.llm.common import read, stage_table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,18 +18,40 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_clean(docs)
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no clear language go; ``lang`` becomes the predicted one."""
+    return language_id.keep_known(docs)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, that of the smallest doc_id."""
+    return simhash_dedup.keep_one(docs, shingle=4, max_distance=4)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources are repeated or thinned to their target; a text may be there several times, and once in part."""
+    return source_mixing.mixed_documents(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in the training sequences."""
+    return best_fit_packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_stage),
+    ("language ID", language_stage),
+    ("SimHash near-dedup", dedup_stage),
+    ("mixing sources", mixing_stage),
+    ("best-fit packing", packing_stage),
 ]
 
-#: Language ID and the word tokens of packing have no SQL form.
+#: Language ID and the tokens of packing have no SQL form.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's rows are written before the next reads them."""
-    from dimfold.llm.common import read, stage_table
-
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +104,13 @@ class TaskCache:
         if key != self.key:
             self.key, self.value = key, make()
         return self.value
+
+
+def in_one_task(sample: DataFrame, make):
+    """``make(rows)`` of a bounded ``sample``, run in one task so that the driver holds neither rows nor work."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.astype(object).where(pdf.notna(), None)
+        return pd.DataFrame({"made": [pickle.dumps(make(list(rows.itertuples(index=False, name=None))))]})
+
+    got = sample.groupBy().applyInPandas(run, "made binary").collect()
+    return pickle.loads(got[0].made) if got else make([])

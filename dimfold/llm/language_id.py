@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TaskCache, id_part, pick, read, steps
+from dimfold.llm.common import TaskCache, id_part, in_one_task, pick, read, steps
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -120,8 +120,8 @@ class Scorer:
 _SCORER = TaskCache()
 
 
-def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> list[tuple[str, str]]:
-    """(text, lang) of at most ``sample_docs`` documents a language, outside the held-out part.
+def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(lang, draw, text) of about ``sample_docs`` documents a language at most, outside the held-out part.
 
     Documents are counted by language, then drawn by a hash of id and text
     below the language's share, so any may be drawn. The first
@@ -131,20 +131,16 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_char
         (id_part(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     share = [(r.lang, min(1.0, sample_docs / r.n)) for r in able.groupBy("lang").agg(F.count("*").alias("n")).collect()]
     limits = docs.sparkSession.createDataFrame(share, "name string, share double")
-    drawn = (
+    return (
         able.withColumn("draw", F.xxhash64("doc_id", "text"))
         .join(F.broadcast(limits), F.col("lang") == F.col("name"))
         .where(F.pmod("draw", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-        .select("lang", "draw", F.substring("text", 1, sample_chars).alias("text")).collect())
-    out: dict[str, list[str]] = {}
-    for r in sorted(drawn, key=lambda r: (r.lang, r.draw, r.text)):
-        out.setdefault(r.lang, []).append(r.text)
-    return [(text, lang) for lang, texts in out.items() for text in texts[:sample_docs]]
+        .select("lang", "draw", F.substring("text", 1, sample_chars).alias("text")))
 
 
 def predictor(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, weight: int = 20, **limits):
     """Fits a model on ``docs``; returns a function from a text column to struct(lang, score)."""
-    model = fit(training_sample(docs, sample_docs, sample_chars), **limits)
+    model = in_one_task(training_sample(docs, sample_docs, sample_chars), lambda rows: fit([(t, lang) for lang, _, t in sorted(rows)], **limits))
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")

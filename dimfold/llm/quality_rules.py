@@ -6,11 +6,13 @@ documents are counted per host, lines above the limits are removed, and a
 document that loses most of its words is rejected.
 
 A copied document must not look like boilerplate: all its lines recur, but
-always together. So a line's documents are counted by *family*, the smallest
-and the largest line hash among the document's other lines. Copies and near
-copies fall into a few families, documents that share one line only do not.
-A line is boilerplate if it has more than ``max_docs`` families and those are
-at least ``min_family_share`` of its documents.
+always together. So a line's documents are counted by *family*: every line has a
+mark, the hash of its first three-word window in alphabetical order, which small
+edits rarely touch, and the family is the smallest and the largest mark among
+the document's other lines. Copies and near copies fall into few families for
+their number, documents that share one line only do not. A line is boilerplate
+if it has more than ``max_docs`` families and those are at least
+``min_family_share`` of its documents.
 
 Scale: one scan for the per-document figures, all inside the row; one scan for
 the line hashes, written to the checkpoint folder as both the counts and the
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import BLANKS, LOWER, UPPER, durable, let, pick, words
+from dimfold.llm.common import BLANKS, LOWER, UPPER, ascii_lower, durable, let, pick, words
 
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -36,9 +38,16 @@ FOLD_FROM = UPPER + "0123456789" + BLANKS
 FOLD_TO = LOWER + "0000000000"
 
 
-def _line_key(folded: Column) -> Column:
-    """60-bit hash of a folded line."""
-    return F.conv(F.substring(F.md5(folded.cast("binary")), 1, 15), 16, 10).cast("long")
+def _hash(text: Column) -> Column:
+    """60-bit hash of a text."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
+def _mark(w: Column) -> Column:
+    """Hash of the alphabetically first three-word window of the words, or of all if they are fewer."""
+    windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c")))
+    return F.when(F.size(w) < 3, _hash(F.array_join(w, " "))).otherwise(
+        let(F.array_min(windows), lambda m: _hash(F.concat_ws(" ", m["a"], m["b"], m["c"]))))
 
 
 def _repeat_words(w: Column) -> Column:
@@ -88,16 +97,17 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
     full = F.coalesce(F.col("text"), F.lit(""))
     lines = base.select("doc_id", "row_hash", "host", F.split(full, "\n").alias("lines"))
     keyed = durable(lines.select("doc_id", "row_hash", "host", F.transform("lines", lambda x: let(
-        F.translate(x, FOLD_FROM, FOLD_TO), lambda folded: F.when(folded != "", F.struct(
-            _line_key(folded).alias("key"), F.size(words(x)).alias("words"))))).alias("lines")))
-
-    uniq = keyed.select("host", F.sort_array(F.array_distinct(F.filter(F.transform("lines", lambda x: x["key"]), lambda k: k.isNotNull()))).alias("keys"))
-    at = lambda i: F.get("keys", F.lit(i))
-    end = lambda i: F.get("keys", F.size("keys") - i)
+        F.translate(x, FOLD_FROM, FOLD_TO), lambda folded: F.when(folded != "", let(words(ascii_lower(x)), lambda w: F.struct(
+            _hash(folded).alias("key"), F.size(w).alias("words"), _mark(w).alias("mark")))))).alias("lines")))
+
+    real = F.filter("lines", lambda x: x.isNotNull())
+    uniq = keyed.select("host", F.sort_array(F.array_distinct(F.transform(real, lambda x: F.struct(x["mark"].alias("mark"), x["key"].alias("key"))))).alias("marks"))
+    at = lambda i: F.get("marks", F.lit(i))
+    end = lambda i: F.get("marks", F.size("marks") - i)
+    other = lambda here, there: F.when(F.col("line.key") == F.col(f"{here}.key"), F.col(f"{there}.mark")).otherwise(F.col(f"{here}.mark"))
     families = (
-        uniq.select("host", at(0).alias("k0"), at(1).alias("k1"), end(1).alias("z0"), end(2).alias("z1"), F.explode("keys").alias("key"))
-        .select("host", "key", F.when(F.col("key") == F.col("k0"), F.col("k1")).otherwise(F.col("k0")).alias("first"),
-                F.when(F.col("key") == F.col("z0"), F.col("z1")).otherwise(F.col("z0")).alias("last"))
+        uniq.select("host", at(0).alias("a0"), at(1).alias("a1"), end(1).alias("z0"), end(2).alias("z1"), F.explode("marks").alias("line"))
+        .select("host", F.col("line.key").alias("key"), other("a0", "a1").alias("first"), other("z0", "z1").alias("last"))
         .groupBy("host", "key", "first", "last").agg(F.count("*").alias("docs"))
         .groupBy("host", "key").agg(F.count("*").alias("families"), F.sum("docs").alias("docs")))
     boilerplate = families.where((F.col("families") > max_docs) & (F.col("families") >= min_family_share * F.col("docs"))).select("host", "key")
@@ -165,16 +175,21 @@ WITH d AS (
 ), rep AS (
   SELECT doc_id, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM gram WHERE c > 1) GROUP BY doc_id
-), line AS (
-  SELECT doc_id, host, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
-    CAST('0x' || substr(md5(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789' || chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
-      'abcdefghijklmnopqrstuvwxyz0000000000')), 1, 15) AS BIGINT) AS key
+), split AS (
+  SELECT doc_id, host, l, regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
   FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS l FROM d)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')
+), line AS (
+  SELECT doc_id, host, l, len(ws) AS n,
+    CAST('0x' || substr(md5(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789' || chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
+      'abcdefghijklmnopqrstuvwxyz0000000000')), 1, 15) AS BIGINT) AS key,
+    CAST('0x' || substr(md5(array_to_string(CASE WHEN len(ws) < 3 THEN ws
+      ELSE list_min(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) END, ' ')), 1, 15) AS BIGINT) AS mark
+  FROM split
 ), uniq AS (
-  SELECT DISTINCT doc_id, host, key FROM line
+  SELECT DISTINCT doc_id, host, key, mark FROM line
 ), fam AS (
-  SELECT u.doc_id, u.host, u.key, min(o.key) AS f, max(o.key) AS z
+  SELECT u.doc_id, u.host, u.key, u.mark, min(o.mark) AS f, max(o.mark) AS z
   FROM uniq u LEFT JOIN uniq o ON u.doc_id = o.doc_id AND u.key <> o.key GROUP BY ALL
 ), boiler AS (
   SELECT host, key FROM (SELECT host, key, count(*) AS docs, count(DISTINCT coalesce(CAST(f AS VARCHAR), '') || '/' || coalesce(CAST(z AS VARCHAR), '')) AS families FROM fam GROUP BY host, key)

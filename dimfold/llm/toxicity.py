@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +27,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TaskCache, id_part, pick, read, steps
+from dimfold.llm.common import TaskCache, id_part, in_one_task, pick, read, steps
 
 LETTERS = re.compile(r"[^\W\d_]+")
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 8000
+SAMPLE_DOCS, SAMPLE_CHARS = 1500, 4000
 WINDOW, STRIDE = 16, 10
 WIDTH, HIDDEN = 16, 8
 BUCKETS = 1 << 13
@@ -54,6 +53,9 @@ class Network:
 
     def grams(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(word number, bucket) of every character n-gram of the words, edges marked."""
+        if len(words) > 10_000:  # bounds the working arrays
+            parts = [self.grams(words[i:i + 10_000]) for i in range(0, len(words), 10_000)]
+            return np.concatenate([at + 10_000 * i for i, (at, _) in enumerate(parts)]), np.concatenate([b for _, b in parts])
         code = np.frombuffer("".join(f"\x02{w}\x03" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
         size = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
         owner = np.repeat(np.arange(len(words)), size)
@@ -71,6 +73,8 @@ class Network:
 
     def embed(self, words: list[str]) -> np.ndarray:
         """Input vectors of the words."""
+        if len(words) > 10_000:
+            return np.concatenate([self.embed(words[i:i + 10_000]) for i in range(0, len(words), 10_000)])
         out = self.p["word"][[self.place.get(w, 0) for w in words]]
         if words:
             at, bucket = self.grams(words)
@@ -135,14 +139,15 @@ class Network:
         return g, tuple(sums)
 
 
-def cut(texts: list[list[int]], pad: int, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
+def cut(texts: list[np.ndarray], pad: int, window: int = WINDOW, stride: int = STRIDE) -> tuple[np.ndarray, np.ndarray]:
     """Windows over each text's word numbers, and the first window of each text. Every text has one at least."""
     size = np.fromiter(map(len, texts), np.int64, len(texts))
     number = np.maximum(1, -(-(size - window) // stride) + 1)
     room = (number - 1) * stride + window
     base = np.cumsum(room) - room
     line = np.full(int(room.sum()), pad, np.int64)
-    line[np.repeat(base - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = np.fromiter((i for t in texts for i in t), np.int64, int(size.sum()))
+    if size.any():
+        line[np.repeat(base - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))] = np.concatenate(texts)
     first = np.cumsum(number) - number
     start = np.repeat(base - first * stride, number) + np.arange(int(number.sum())) * stride
     return line[start[:, None] + np.arange(window)], first
@@ -181,20 +186,20 @@ def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate
     The first column of word vectors and the second of n-gram vectors start
     from the evidence of the sample's documents, all else near zero.
     """
-    split = [tokens(t) for t, _ in sample]
     labels = np.array([y for _, y in sample], np.float32)
-    often = Counter(w for t in split for w in set(t))
-    net = Network(sorted(w for w, c in often.items() if c >= 3), seed)
+    number: dict[str, int] = {}
+    numbered = [np.fromiter((number.setdefault(w, len(number)) for w in tokens(t)), np.int64) for t, _ in sample]
+    types, pad = list(number), len(number)
+    often = np.zeros(pad, np.int64)
+    for t in numbered:
+        often[np.unique(t)] += 1
+    net = Network(sorted(types[i] for i in np.flatnonzero(often >= 3)), seed)
     if not len(labels) or labels.min() == labels.max():
         net.p["bias"][0] = -4.0 if not len(labels) or labels[0] == 0 else 4.0
         net.p["out"][:] = 0
         return net
-    types = list(dict.fromkeys(w for t in split for w in t))
-    number = {w: i for i, w in enumerate(types)}
-    pad = len(types)
-    numbered = [[number[w] for w in t] for t in split]
     ids, first = cut(numbered, pad)
-    owner = np.repeat(np.arange(len(split)), np.diff(np.append(first, len(ids))))
+    owner = np.repeat(np.arange(len(numbered)), np.diff(np.append(first, len(ids))))
     known = np.array([net.place.get(w, 0) for w in types])
     at, bucket = net.grams(types)
     order = np.argsort(at, kind="stable")
@@ -204,7 +209,7 @@ def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate
 
     word_docs, gram_docs = np.zeros((2, len(net.place) + 1)), np.zeros((2, BUCKETS))
     for t, y in zip(numbered, labels.astype(int)):
-        t = np.unique(np.array(t, np.int64))
+        t = np.unique(t)
         word_docs[y, known[t]] += 1
         spans = [bucket[bounds[w]:bounds[w + 1]] for w in t]
         gram_docs[y, np.unique(np.concatenate(spans)) if spans else []] += 1
@@ -290,24 +295,21 @@ class Scorer:
 _SCORER = TaskCache()
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> list[tuple[str, int]]:
-    """(text, toxic) of at most ``sample_docs`` toxic and three times as many other
-    labelled documents, outside the held-out part.
+def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+    """(doc_id, text, toxic) of about ``sample_docs`` toxic and three times as many
+    other labelled documents at most, outside the held-out part.
 
     Drawn by a hash of the id below the class's share; the first
     ``sample_chars`` characters of a text are learned from. Labels that are
     null or neither 0 nor 1 are left out; an id with both is toxic.
     """
-    marks = pick(labels, doc_id="long", toxic="long").where(F.col("toxic").isin(0, 1) & (id_part(F.col("doc_id"), 5) != 0))
+    marks = pick(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & (id_part(F.col("doc_id"), 5) != 0))
     marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     number = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    most = (3 * sample_docs, sample_docs)
-    share = lambda y: min(1.0, most[y] / number.get(y, 1))
-    drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share(1)).otherwise(share(0)) * (1 << 20))
-    rows = pick(docs, doc_id="long", text="string").join(drawn, "doc_id").select(
-        "doc_id", "toxic", F.substring(F.coalesce("text", F.lit("")), 1, sample_chars).alias("text")).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
-    return [(r.text, r.toxic) for y in (0, 1) for r in [x for x in rows if x.toxic == y][:most[y]]]
+    share = [min(1.0, most / number.get(y, 1)) for y, most in enumerate((3 * sample_docs, sample_docs))]
+    drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
+    return pick(docs, doc_id="long", text="string").join(drawn, "doc_id").select(
+        "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, sample_chars).alias("text"), "toxic")
 
 
 def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, **training) -> DataFrame:
@@ -320,7 +322,7 @@ def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sam
     the same score. Repeated rows score alike. Whole texts count. Extra
     columns are ignored; an empty table gives an empty result.
     """
-    net = train(training_sample(docs, labels, sample_docs, sample_chars), **training)
+    net = in_one_task(training_sample(docs, labels, sample_docs, sample_chars), lambda rows: train([(t, y) for _, t, y in sorted(rows)], **training))
     shared, key = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
 
     @F.pandas_udf("double")
