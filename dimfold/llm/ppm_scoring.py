@@ -10,9 +10,9 @@ of its end, from the context of a start.
 Beside it stands the base: a unigram model over words, smoothed by a half.
 
 Scale: windows of ``order`` + 1 bytes are counted over the whole corpus, merged
-before the shuffle. The trie keeps the ``max_nodes`` contexts of the highest
-counts, which bounds what is collected and broadcast. Scoring is two table
-look-ups a byte, many places of the texts side by side. Of the word counts only the ``head`` most frequent are
+before the shuffle. The trie keeps at most ``max_nodes`` contexts, those of the
+highest counts, which bounds what is collected and broadcast. Scoring is two table
+look-ups a byte, many places of the texts side by side. Of the word counts at most ``head``, the most frequent, are
 broadcast; all other words meet their counts in one join by word.
 """
 
@@ -56,7 +56,7 @@ def _count_grams(order: int):
         """Each predicted byte with the ``order`` bytes before it as one number, and how often it came in a step."""
         for part in batches:
             texts = part.column(0).to_pylist()
-            for step in steps(texts, 8_000_000):
+            for step in steps(texts):
                 joined, at, _ = _stream([lowered(t) for t in texts[step]], order)
                 gram = np.zeros(len(at), np.int64)
                 for back in range(order, -1, -1):
@@ -67,16 +67,33 @@ def _count_grams(order: int):
     return run
 
 
+def floor_of(counted: DataFrame, count: str, most: int) -> int:
+    """The smallest count such that at most ``most`` rows of ``counted`` reach it.
+
+    Found in a histogram of at most 64 classes per doubling of the count.
+    """
+    classes = counted.groupBy(F.floor(64 * F.log2(count)).alias("class")).agg(F.count("*").alias("rows"), F.min(count).alias("least")).collect()
+    held, least = 0, 1 << 62
+    for r in sorted(classes, key=lambda r: -r["class"]):
+        held += r.rows
+        if held > most:
+            break
+        least = r.least
+    return least
+
+
 def train(texts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> dict:
-    """The trie of ``texts`` (one text column): length k, context, symbol and count of its edges."""
-    grams = durable(texts.mapInArrow(_count_grams(order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")))
+    """The trie of ``texts`` (one text column): length k, context, symbol and count of its edges.
+
+    It holds the contexts that reach a count, the smallest one that leaves at
+    most ``max_nodes`` of them, and all their followers.
+    """
+    grams = texts.mapInArrow(_count_grams(order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     lengths = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"(gram >> 8) & {(1 << 8 * k) - 1}L").alias("ctx")) for k in range(order + 1)]))
-    nodes = grams.select(lengths.alias("c"), "n").groupBy("c.k", "c.ctx").agg(F.sum("n").alias("all"))
-    kept = nodes.orderBy(F.desc("all"), "k", "ctx").limit(max_nodes).select("k", "ctx")
-    edges = (
-        grams.select(lengths.alias("c"), F.expr("gram & 255").alias("symbol"), "n").select("c.k", "c.ctx", "symbol", "n")
-        .join(F.broadcast(kept), ["k", "ctx"]).groupBy("k", "ctx", "symbol").agg(F.sum("n").alias("n")))
-    table = edges.toArrow()
+    edges = durable(grams.select(lengths.alias("c"), F.expr("gram & 255").alias("symbol"), "n").groupBy("c.k", "c.ctx", "symbol").agg(F.sum("n").alias("n")))
+    nodes = durable(edges.groupBy("k", "ctx").agg(F.sum("n").alias("all")))
+    kept = nodes.where(F.col("all") >= floor_of(nodes, "all", max_nodes)).select("k", "ctx")
+    table = edges.join(F.broadcast(kept), ["k", "ctx"]).select("k", "ctx", "symbol", "n").toArrow()
     return {"order": order, **{c: table[c].to_numpy().astype(np.int64) for c in ("k", "ctx", "symbol", "n")}}
 
 
@@ -85,7 +102,7 @@ class Predictor:
     byte has a log10 probability in it and leads to the next state.
 
     Bytes that the corpus lacks share one symbol. Contexts are closed under
-    suffixes and prefixes, as those count no less and come first in a tie.
+    suffixes and prefixes, as those count no less.
     """
 
     def __init__(self, trie: dict):
@@ -171,7 +188,7 @@ def _score(shared, key: str, end: float, end_known: int):
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, held, all_texts = (batch.column(i).to_pylist() for i in range(3))
-            for step in steps(all_texts):
+            for step in steps(all_texts, 1_000_000):
                 texts = [lowered(t) for t in all_texts[step]]
                 main, tail = [], ([], [], [])
                 for t in texts:
@@ -216,7 +233,7 @@ def score(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, head:
     ends = train_docs.count()
     n, kinds = total.tokens + ends, total.kinds + (ends > 0)
     below = n + 0.5 * (kinds + 1)
-    often = counts.orderBy(F.desc("c"), "word").limit(head).collect()
+    often = counts.where(F.col("c") >= floor_of(counts, "c", head)).orderBy("word").collect()
     shared = spark.sparkContext.broadcast((
         train(train_docs.select("text"), order, max_nodes), [r.word.encode("utf-8", "replace") for r in often], np.log10((np.array([r.c for r in often], float) + 0.5) / below)))
     flat = plain.select("doc_id", "held_out", "text").mapInArrow(

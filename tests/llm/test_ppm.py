@@ -71,8 +71,16 @@ def test_whole_trie_equals_brute_force(spark, texts):
 def test_small_trie_keeps_the_most_frequent_contexts(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts[:-1]], "text string")
     counts = brute_counts(texts[:-1], 3)
-    kept = sorted(counts, key=lambda c: (-sum(counts[c].values()), len(c), c))[:20]
+    classes = {}
+    for c, after in counts.items():
+        classes.setdefault(math.floor(64 * math.log2(sum(after.values()))), []).append(c)
+    kept = []
+    for k in sorted(classes, reverse=True):
+        if len(kept) + len(classes[k]) > 20:
+            break
+        kept += classes[k]
     model = S.Predictor(S.train(df, 3, 20))
+    assert 5 < len(model.table) == len(kept)
     some = {c: counts[c] for c in kept}
     assert np.allclose(model.log10([S.lowered(t) for t in texts]), [brute_log10(some, t, 3) for t in texts], rtol=1e-4, atol=1e-4)
 
