@@ -230,9 +230,8 @@ def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sign = int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
             rows += [(host, key, prose, sign) for key, prose in {(key, prose) for _, key, prose in page.subtrees()}]
             rows.append((host, None, False, sign))
-        out = pd.DataFrame(rows, columns=["host", "hash", "prose", "page"])
-        out["hash"] = out["hash"].astype("Int64")
-        yield out
+        host, key, prose, sign = zip(*rows) if rows else [()] * 4
+        yield pd.DataFrame({"host": host, "hash": pd.array(key, dtype="Int64"), "prose": prose, "page": pd.array(sign, dtype="int64")})
 
 
 def site_templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, prose_share: float = PROSE_SHARE) -> DataFrame:

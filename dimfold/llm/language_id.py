@@ -82,7 +82,7 @@ class Scorer:
 
     def _clear(self) -> None:
         self.place = {w: i for i, w in enumerate(self.model["words"])}
-        self.rows = np.array(list(self.model["words"].values())).reshape(-1, len(self.model["langs"]))
+        self.rows = np.array(list(self.model["words"].values())).reshape(len(self.place), len(self.model["langs"]))
 
     def backoff(self, word: str) -> np.ndarray:
         """Log scores of an unseen word from the longest known n-grams, left to right."""

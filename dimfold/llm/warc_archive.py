@@ -27,7 +27,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -92,14 +92,22 @@ def parse_record(data: bytes) -> tuple:
             payload if fields["WARC-Type"] == "response" else None)
 
 
+_TYPES = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], columns: str) -> pa.RecordBatch:
+    """Rows as a batch of ``columns`` ("name type, ..."), nulls and long numbers as they are."""
+    names, types = zip(*(x.split() for x in columns.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[t]) for c, t in zip(zip(*rows), types)], list(names))
+
+
 def _writer(folder: str, file_bytes: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, at, path = None, 0, None
         try:
             for batch in batches:
                 rows = []
-                for page, url, payload, sha, best in zip(*(batch[c].tolist() for c in ("page_id", "url", "payload", "sha", "best"))):
-                    page, best = (None if pd.isna(x) else int(x) for x in (page, best))
+                for page, url, payload, sha, best in zip(*(c.to_pylist() for c in batch.columns)):
                     digest = base64.b32encode(bytes.fromhex(sha)).decode()
                     member = gzip.compress(record_bytes(page, url, payload.encode("utf-8", "replace"), digest, best), 4, mtime=0)
                     if out is None or at and at + len(member) > file_bytes:
@@ -112,9 +120,8 @@ def _writer(folder: str, file_bytes: int):
                     out.write(member)
                     rows.append((path, at, len(member), url, digest, page))
                     at += len(member)
-                frame = pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
-                frame["page_id"] = frame["page_id"].astype("Int64")
-                yield frame
+                if rows:
+                    yield _batch(rows, INDEX)
         finally:
             if out is not None:
                 out.close()
@@ -128,19 +135,17 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES)
     The index has path, offset, length (of the gzip member), url,
     payload_digest and page_id. An empty table gives an empty index.
     """
-    indexed = decide(pages).select("page_id", "url", "payload", "sha", "best").mapInPandas(_writer(f"{folder}/archives", file_bytes), INDEX)
+    indexed = decide(pages).select("page_id", "url", "payload", "sha", "best").mapInArrow(_writer(f"{folder}/archives", file_bytes), INDEX)
     indexed.write.parquet(f"{folder}/index")
     return pages.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
 
 
 def _reader(range_bytes: int, gap_bytes: int, with_payload: bool):
-    columns = [x.split()[0] for x in RECORD.split(", ")]
-
-    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         """Runs of rows of one file that lie near each other."""
         path, run = None, []
         for batch in batches:
-            for p, offset, length in zip(batch["path"].tolist(), batch["offset"].tolist(), batch["length"].tolist()):
+            for p, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
                 if run and (p != path or offset - sum(run[-1]) > gap_bytes or offset + length - run[0][0] > range_bytes):
                     yield path, run
                     run = []
@@ -149,7 +154,7 @@ def _reader(range_bytes: int, gap_bytes: int, with_payload: bool):
         if run:
             yield path, run
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         source, name = None, None
         for path, members in ranges(batches):
             if path != name:
@@ -160,9 +165,7 @@ def _reader(range_bytes: int, gap_bytes: int, with_payload: bool):
             first, last = members[0][0], max(sum(m) for m in members)
             data = source.read_at(last - first, first)
             rows = [parse_record(gzip.decompress(data[at - first:at - first + size])) for at, size in members]
-            frame = pd.DataFrame(rows, columns=columns)
-            frame[["page_id", "refers_to"]] = frame[["page_id", "refers_to"]].astype("Int64")
-            yield frame if with_payload else frame.drop(columns="payload")
+            yield _batch(rows, RECORD) if with_payload else _batch([r[:-1] for r in rows], RECORD.rpartition(", ")[0])
         if source is not None:
             source.close()
 
@@ -177,7 +180,7 @@ def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: in
     the index may repeat. Payload lengths and digests are verified.
     """
     schema = RECORD if with_payload else RECORD.rpartition(", ")[0]
-    return index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInPandas(
+    return index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInArrow(
         _reader(range_bytes, gap_bytes, with_payload), schema)
 
 
