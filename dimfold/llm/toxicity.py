@@ -180,7 +180,7 @@ def evidence(pos: np.ndarray, neg: np.ndarray, all_pos: int, all_neg: int) -> np
     return (np.sign(pos - expected) * np.clip(root - 3, 0, 12) / 4).astype(np.float32)
 
 
-def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate: float = 0.01, first_windows: int = 20_000, seed: int = 7) -> Network:
+def train(sample: list[tuple[str, int]], rounds: int = 4, batch: int = 256, rate: float = 0.01, first_windows: int = 20_000, seed: int = 7) -> Network:
     """A network for (text, label) pairs.
 
     The first column of word vectors and the second of n-gram vectors start
@@ -226,7 +226,8 @@ def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate
         to = np.repeat(np.arange(len(real)), lengths)
         grams = np.repeat(bounds[real] - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(to))
         vectors = np.zeros((len(used), WIDTH), np.float32)
-        vectors[: len(real)] = net.p["word"][known[real]]
+        own = rng.random((len(real), 1)) < 0.5  # half of the words pass for unseen ones
+        vectors[: len(real)] = net.p["word"][known[real]] * own
         if len(real):
             vectors[: len(real)] += np.add.reduceat(net.p["gram"][bucket[grams]] * share[grams, None], np.cumsum(lengths) - lengths, axis=0)
         mask = rng.random((len(used), 1)) < 0.95  # now and then a word is missing
@@ -243,7 +244,7 @@ def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate
         # plain steps for the vectors: a rare word moves little
         d_vectors *= -10 * rate * mask
         np.add.at(net.p["gram"], bucket[grams], d_vectors[to] * share[grams, None])
-        np.add.at(net.p["word"], known[real], d_vectors[: len(real)])
+        np.add.at(net.p["word"], known[real], d_vectors[: len(real)] * own)
         net.p["word"][0] = 0
 
     some = rng.permutation(len(ids))[:first_windows]
@@ -252,7 +253,7 @@ def train(sample: list[tuple[str, int]], rounds: int = 3, batch: int = 256, rate
     for _ in range(rounds):
         logit = logits(net, types, ids)
         top = np.lexsort((-logit, owner))[first]  # the worst window of each text
-        for _ in range(max(2, 1500 // len(top))):
+        for _ in range(max(3, 4000 // len(top))):
             turn = rng.permutation(len(top))
             for i in range(0, len(turn), batch):
                 learn(top[turn[i:i + batch]], labels[turn[i:i + batch]])

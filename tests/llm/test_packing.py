@@ -90,11 +90,11 @@ def test_whole_table(spark):
 
 
 def test_edges(spark):
-    rows = [(1, None, "x"), (1, None, "x"), (None, "", "y"), (2, "a " * 5000, "z")]
+    rows = [(1, None, "x"), (1, None, "x"), (None, "", "y"), (2 ** 62 + 1, "a " * 5000, "z")]
     df = spark.createDataFrame(rows, "doc_id long, text string, LENGTH string")
     out = P.pack(df, with_ids=True).collect()
     assert sorted(((r.doc_id, r.piece, r.start, r.length) for r in out), key=repr) == sorted(
-        [(1, 0, 0, 1), (1, 0, 0, 1), (None, 0, 0, 1), (2, 0, 0, 2048), (2, 1, 2048, 2048), (2, 2, 4096, 905)], key=repr)
+        [(1, 0, 0, 1), (1, 0, 0, 1), (None, 0, 0, 1), *((2 ** 62 + 1, i, 2048 * i, n) for i, n in enumerate((2048, 2048, 905)))], key=repr)
     assert len({(r.sequence_id, r.offset) for r in out}) == 6 and len({r.sequence_id for r in out}) == 3
     assert all(len(r.ids) == r.length for r in out)
     assert P.pack(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -1,0 +1,119 @@
+"""Each stage against a brute-force version over its own input, and the whole run."""
+
+import zlib
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline as C
+from dimfold.llm import best_fit_packing, language_id, quality_rules, source_mixing
+from dimfold.llm.common import id_part, stage_table
+
+from test_language_id import brute_score
+from test_packing import brute_best_fit
+from test_simhash import brute_fingerprint, brute_groups
+
+DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    """Input and output of every stage."""
+    docs, out = spark.read.parquet(f"{DIR}/documents.parquet"), []
+    for _, stage in C.STAGES:
+        made = stage_table(stage(spark, docs, DIR))
+        out.append((docs, made))
+        docs = made
+    return out
+
+
+def oracle(sql, docs):
+    """The rows of an operator's DuckDB SQL over ``docs``."""
+    db = duckdb.connect()
+    db.register("documents", docs.toArrow())
+    return db.sql(sql).df()
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_stage_names_and_columns(frames):
+    assert [n for n, _ in C.STAGES] == ["quality rules", "language ID", "SimHash near-dedup", "mixing sources", "best-fit packing"]
+    for _, made in frames[:-1]:
+        assert made.columns == COLUMNS and made.count() > 0
+
+
+def test_quality_stage(frames):
+    docs, made = frames[0]
+    verdict = oracle(quality_rules.ORACLE, docs).set_index("doc_id")
+    source = {r.doc_id: r for r in docs.collect()}
+    got = {r.doc_id: r for r in made.collect()}
+    assert got.keys() == set(verdict.index[verdict.kept]) and len(got) < len(source)
+    for i, r in got.items():
+        gone = len(source[i].text.split("\n")) - len(r.text.split("\n")) if r.text != source[i].text else 0
+        assert gone == verdict.removed_lines[i] and (r.lang, r.source) == (source[i].lang, source[i].source) and r.n_chars == len(r.text)
+
+
+def test_language_stage(frames):
+    docs, made = frames[1]
+    sample = [(r.lang, r.text) for r in docs.where(id_part(docs.doc_id, 5) != 0).collect()]
+    model = language_id.fit([(t, lang) for lang, t in sorted(sample)])
+    want = []
+    for r in docs.collect():
+        lang, score = brute_score(model, r.text)
+        if lang != "und" and score >= 0.5:
+            want.append((r.doc_id, r.text, lang, r.source, r.n_chars))
+    assert rows(made) == sorted(want, key=repr)
+
+
+def test_dedup_stage(frames):
+    docs, made = frames[2]
+    whole = sorted(docs.collect(), key=lambda r: r.doc_id)
+    group = brute_groups([brute_fingerprint(r.text) for r in whole])
+    assert rows(made) == sorted((tuple(r) for i, r in enumerate(whole) if group[i] == i), key=repr)
+    assert made.count() < len(whole)
+
+
+def test_mixing_stage(frames):
+    docs, made = frames[3]
+    want = oracle(source_mixing.ORACLE, docs).set_index("doc_id").taken
+    got, source = {}, {r.doc_id: r for r in docs.collect()}
+    for r in made.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(r.text.split())
+        assert (r.lang, r.source) == (source[r.doc_id].lang, source[r.doc_id].source)
+    assert got == {i: n for i, n in want.items() if n}
+
+
+def test_packing_stage(frames):
+    docs, made = frames[4]
+    plain = Tokenizer.from_file(public_tokenizers.path(best_fit_packing.TOKENIZER))
+    want = []
+    for r in docs.collect():
+        ids = np.array(plain.encode(r.text, add_special_tokens=False).ids + [0], "<u4")
+        want += [(r.doc_id, k, k * 2048, len(p := ids[k * 2048:(k + 1) * 2048]), zlib.crc32(p.tobytes())) for k in range(-(-len(ids) // 2048))]
+    got = made.collect()
+    assert sorted(tuple(r)[:5] for r in got) == sorted(want)
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for items in by.values():
+        at = 0
+        for offset, length in sorted(items):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(by) == brute_best_fit([x[3] for x in want], 2048)[0]
+
+
+def test_whole_run_and_empty_input(spark, frames):
+    place = lambda df: sorted(tuple(r)[:5] for r in df.collect())
+    assert place(C.run(spark, DIR)) == place(frames[-1][1])
+    docs = frames[0][0].where("false")
+    for _, stage in C.STAGES:
+        docs = stage(spark, docs, DIR)
+        assert docs.count() == 0
