@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,46 +48,51 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.most = most
-        self.mark = self._encode(["|"])[0][0]
+        self.mark = int(self._encode("|")[0])
         self._clear()
 
     def _clear(self) -> None:
         self.place: dict[bytes, int] = {}
         self.start, self.size, self.ids = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32))
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each word. Many are encoded at once, a bar between them."""
-        out: dict[bytes, list[int]] = {}
-        plain = [w for w in words if b"|" not in w]
-        for i in range(0, len(plain), 1000):
-            some, ids, at = plain[i:i + 1000], self._encode([b" | ".join(plain[i:i + 1000]).decode("utf-8", "replace")])[0], 0
-            ids.append(self.mark)
-            for w in some:
-                end = ids.index(self.mark, at)
-                out[w] = ids[at:end]
-                at = end + 1
-        odd = [w for w in words if b"|" in w]
-        out.update(zip(odd, self._encode([w.decode("utf-8", "replace") for w in odd])))
-        return [out[w] for w in words]
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
     def _learn(self, new: list[bytes]) -> None:
-        stems = {w: w[:-1] for w in new if len(w) > 1 and w[-1] in b".," and 97 <= w[-2] <= 122}
-        need = list(dict.fromkeys([*(w for w in new if w not in stems), *(x for w in stems for x in (stems[w], w[-1:]))]))
+        stems = [w for w in new if len(w) > 1 and w[-1] in b".," and 97 <= w[-2] <= 122]
+        need = dict.fromkeys(new)
+        for w in stems:
+            del need[w]
+        need.update((x, None) for w in stems for x in (w[:-1], w[-1:]))
         need = [w for w in need if w not in self.place]
-        self._add(need, self._encode_words(need))
-        got = lambda w: self.ids[self.start[k := self.place[w]]:self.start[k] + self.size[k]].tolist()
-        self._add(list(stems), [got(stems[w]) + got(w[-1:]) for w in stems])
-
-    def _add(self, words: list[bytes], ids: list[list[int]]) -> None:
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(size.sum()))
+        plain = [w for w in need if b"|" not in w]
+        sizes, flats = [], []
+        for i in range(0, len(plain), 1000):  # many at once, a bar between them
+            ids = np.append(self._encode(b" | ".join(plain[i:i + 1000]).decode("utf-8", "replace")), np.uint32(self.mark))
+            bars = ids == self.mark
+            sizes.append(np.diff(np.flatnonzero(bars), prepend=-1) - 1)
+            flats.append(ids[~bars])
+        odd = [w for w in need if b"|" in w]
+        for w in odd:
+            flats.append(self._encode(w.decode("utf-8", "replace")))
+            sizes.append(np.array([len(flats[-1])]))
+        if need:
+            self._add(plain + odd, np.concatenate(sizes), np.concatenate(flats))
+        if stems:
+            pair = np.fromiter((self.place[x] for w in stems for x in (w[:-1], w[-1:])), np.int64, 2 * len(stems))
+            size, flat = self._gather(pair)
+            self._add(stems, size.reshape(-1, 2).sum(1), flat)
+
+    def _add(self, words: list[bytes], size: np.ndarray, flat: np.ndarray) -> None:
         self.place.update(zip(words, range(len(self.size), len(self.size) + len(words))))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
         self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
 
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids, one after another, of the words of these numbers."""
+        size = self.size[at]
+        return size, self.ids[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text."""
         if len(self.place) > self.most:
@@ -96,10 +101,7 @@ class WordCache:
         if new := list({w for words in split for w in words if w not in self.place}):
             self._learn(new)
         for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            size = self.size[at]
-            total = int(size.sum())
-            yield self.ids[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(total)]
+            yield self._gather(np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)))[1]
 
 
 _CACHES: dict[str, WordCache] = {}
@@ -145,10 +147,16 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
     return rows, sequence
 
 
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
 def _pieces(path: str, capacity: int, with_ids: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    schema = pa.schema(list(zip([x.split()[0] for x in PIECE.split(", ")] + ["ids"], types))[: 6 if with_ids else 5])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, texts = batch["doc_id"].tolist(), batch["text"].tolist()
+            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for part in steps(texts):
                 rows = []
                 for doc, ids in zip(docs[part], token_ids(texts[part], path)):
@@ -156,9 +164,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
                     for n, start in enumerate(range(0, len(ids), capacity)):
                         piece = ids[start:start + capacity]
                         rows.append((doc, n, start, len(piece), zlib.crc32(piece.tobytes()), piece.astype(np.int32) if with_ids else None))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
-                out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out if with_ids else out.drop(columns="ids")
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
 
@@ -178,9 +184,9 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
         import public_tokenizers
 
         tokenizer = public_tokenizers.path(TOKENIZER)
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = PIECE + (", ids array<int>" if with_ids else "")
     plain = pick(docs, doc_id="long", text="string")
-    pieces = durable(plain.mapInPandas(_pieces(tokenizer, capacity, with_ids), schema).withColumn(
+    pieces = durable(plain.mapInArrow(_pieces(tokenizer, capacity, with_ids), schema).withColumn(
         "salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS))))
     tally = durable(pieces.groupBy("length", "salt").agg(F.count("*").alias("number")))
     slots, _ = plan({r.length: r.number for r in tally.groupBy("length").agg(F.sum("number").alias("number")).collect()}, capacity)
