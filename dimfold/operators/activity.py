@@ -71,8 +71,9 @@ def datelist_bits(df: DataFrame, day, series_start, key: str = "user_id", dates:
 
     For each active day d in [series_start, day], n = day - d days back:
     fixed form sets bit 31 - n (today is the top bit, 32 days fit); the
-    reference form adds 2^(32 - n) and keeps the low 32 bits, which loses
-    today and shifts the week mask to days 1..7 back. Counts come from
+    reference form adds 2^(32 - n) for each day of the series (a repeated
+    date counts once) and keeps the low 32 bits, which loses today and shifts
+    the week mask to days 1..7 back. Counts come from
     ``bit_count``; weekly activity masks the top ``week_days`` bits.
     No users x days cross join: one higher-order ``aggregate`` per row.
     """
@@ -83,7 +84,7 @@ def datelist_bits(df: DataFrame, day, series_start, key: str = "user_id", dates:
     one = F.lit(1).cast("long")
     inside = F.filter(F.col(dates), lambda x: (x >= lo) & (x <= hi))
     if reference:
-        bits = F.aggregate(inside, F.lit(0).cast("long"),
+        bits = F.aggregate(F.array_distinct(inside), F.lit(0).cast("long"),
                            lambda acc, x: acc + F.call_function("shiftleft", one, 32 - F.datediff(hi, x)))
         bits = bits.bitwiseAND(F.lit(MASK32))
     else:
@@ -121,7 +122,8 @@ def subkey_datelist(events: DataFrame, key: str, subkey: str, start, end, ts: st
                     name: str = "device_activity_datelist") -> DataFrame:
     """X-16: per key a map sub-key -> sorted active days (``MAP<STRING, ARRAY<DATE>>``).
 
-    One row per (key, sub-key) is built first; the map is assembled from at
+    Events without a key or without a sub-key are left out: a map has no NULL
+    key. One row per (key, sub-key) is built first; the map is assembled from at
     most one entry per sub-key, so no map is ever de-duplicated.
     """
     d = F.to_date(F.col(ts))
@@ -137,14 +139,15 @@ def activity_report(df: DataFrame, start, end, key: str = "user_id", list_col: s
 
     Reference form groups by (key, list): with one date per list this gives
     one row per key and day with ``active_days`` = 1. Fixed form: one row per
-    key over the range, counting distinct active days.
+    key over the range, counting distinct active days; an empty or NULL list
+    counts none, its key stays.
     """
     src = df.where(F.col(date_col).between(_day(start), _day(end)))
     if reference:
         return src.groupBy(key, list_col).agg(
             F.size(list_col).alias("active_days"),
             F.min(date_col).alias("first_seen"), F.max(date_col).alias("last_seen")).drop(list_col)
-    days = src.select(key, date_col, F.explode(list_col).alias("_d"))
+    days = src.select(key, date_col, F.explode_outer(list_col).alias("_d"))
     return days.groupBy(key).agg(
         F.count_distinct("_d").cast("int").alias("active_days"),
         F.min(date_col).alias("first_seen"), F.max(date_col).alias("last_seen"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import json_object
@@ -82,6 +82,9 @@ def co_occurrence_edges(details: DataFrame, group: str = "game_id", node: str =
     and ``a.node > b.node``; the edge type is ``shares_team`` when both sides
     are equal, else ``plays_against``. Per (a, b, type): max names, number of
     shared groups and both measure sums.
+
+    The pairs are the result itself: their number is quadratic in the members
+    of a game, which a game's rules bound; there is no cap.
     """
     # Only five columns are needed: narrow the rows before the de-duplication
     # shuffle; the survivor is the first by (name, side, measure).
@@ -112,6 +115,23 @@ def co_occurrence_edges(details: DataFrame, group: str = "game_id", node: str =
     )
 
 
+def edge_starts(details: DataFrame, group: str = "game_id", node: str = "player_id",
+                name: str = "player_name", side: str = "team_abbreviation", measure: str = "pts") -> DataFrame:
+    """The vertices that start an edge of ``co_occurrence_edges``, without building any pair.
+
+    A member starts an edge if a member of the same group with a smaller node
+    has another name, i.e. if the smallest or the largest name before it
+    differs from its own. Columns as ``points_per_game`` reads them.
+    """
+    members = dedupe_first(details.select(group, node, name, side, measure), [node, group])
+    before = Window.partitionBy(group).orderBy(node).rowsBetween(Window.unboundedPreceding, -1)
+    known = members.where(F.col(group).isNotNull() & F.col(node).isNotNull()).select(
+        node, name, F.min(name).over(before).alias("_lo"), F.max(name).over(before).alias("_hi"))
+    starts = known.where((F.col("_lo") != F.col(name)) | (F.col("_hi") != F.col(name))).select(node).distinct()
+    return starts.select(F.col(node).cast("string").alias("subject_identifier"),
+                         F.lit("player").alias("subject_type"), F.lit("player").alias("object_type"))
+
+
 def membership_edges(details: DataFrame) -> DataFrame:
     """X-23c: ``plays_in`` edges, one per (player, game) after de-duplication.
 

@@ -4,9 +4,8 @@ All three are aggregations with map-side partial combine, so a key that holds
 a large share of the rows is reduced on every map task before the shuffle:
 
 * ``duplicate_keys`` is a plain grouped count;
-* ``duplicate_rows`` semi-joins the rows to the set of duplicated keys,
-  broadcast when its size is proven small, otherwise salted so that a hot
-  key is split over many tasks;
+* ``duplicate_rows`` semi-joins the rows to the set of duplicated keys; AQE
+  broadcasts that set or splits a hot key, by measured sizes;
 * ``dedupe_first`` is ``row_number() = 1``, which Spark plans as a partial
   ``WindowGroupLimit`` before the exchange: each map task forwards at most
   one row per key, so a hot key never reaches one task whole.
@@ -26,31 +25,23 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_name: str = "n") ->
             .where(F.col(count_name) > 1))
 
 
-def duplicate_rows(df: DataFrame, keys: Sequence[str], max_broadcast_keys: int = 1_000_000,
-                   salt_buckets: int = 16) -> DataFrame:
+def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """X-12 (reference homework): every copy of every duplicated key.
 
     ``(k1, k2, ..) IN (SELECT ..)`` semantics: a key with a NULL part never
     matches, so such rows are not returned.
 
-    A duplicated key can be very hot (all its copies are output), so the rows
-    are never shuffled by key. When the set of duplicated keys is proven
-    small (a row count capped by a limit), it is broadcast and the rows are
-    filtered where they are read. Above that bound the semi join is salted: a
-    deterministic hash of the row spreads each key over ``salt_buckets``
-    partitions and the key set is replicated once per bucket, so a hot key is
-    split over as many tasks.
+    A plain left semi join, so nothing runs while the plan is built. At
+    runtime AQE broadcasts the duplicated keys if their measured size allows
+    it, and otherwise splits the rows of a hot key over several tasks (the
+    left side of a semi join may be split, exact copies included).
     """
-    from dimfold.operators.joins import checked_broadcast
-
     keys = list(keys)
-    dup = duplicate_keys(df, keys).select(*keys)
-    side = checked_broadcast(dup, max_broadcast_keys)
-    if side is not dup:
-        return df.join(side, keys, "left_semi")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)).cast("int")
-    salted_keys = dup.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_salt"))
-    return df.withColumn("_salt", salt).join(salted_keys, [*keys, "_salt"], "left_semi").drop("_salt")
+    dup = duplicate_keys(df, keys, "_n")
+    # The grouped keys are dealt by the join's own keys and would be joined in place, where AQE cannot
+    # split; as computed columns they get an exchange of their own, a small one.
+    dup = dup.select(*[F.when(F.col("_n") > 1, F.col(k)).alias(k) for k in keys])
+    return df.join(dup, keys, "left_semi")
 
 
 def total_order(df: DataFrame, first: Sequence[str | Column] = (), exclude: Sequence[str] = ()) -> list[Column]:

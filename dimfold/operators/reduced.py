@@ -53,11 +53,13 @@ def metric_array_step(prev: DataFrame, events: DataFrame, day, metric: str = "si
                       key: str = "user_id", ts: str = "event_time", reference: bool = False) -> DataFrame:
     """One day of the ``array_metrics`` table: (key, month_start, metric_name, metric_array).
 
-    The month's arrays of ``metric`` full-join today's counts: a known key
-    gets today's count (0 if silent); a new key gets zeros for the days
-    before today; rows of other months or metrics pass through. This is the
-    upsert of the scripts, with the state read once, so a day-by-day fold
-    keeps a linear plan.
+    Only the month's rows of ``prev`` are read (the filter prunes a table
+    partitioned by ``month_start``) and only they are returned, for the
+    month's partition to be replaced. The arrays of ``metric`` full-join
+    today's counts: a known key gets today's count (0 if silent); a new key
+    gets zeros for the days before today; other metrics of the month pass
+    through. This is the upsert of the scripts, with the state read once, so
+    a day-by-day fold keeps a linear plan.
 
     Reference form appends (a rerun appends again). Fixed form writes slot
     ``day of month`` (a rerun overwrites it). (The scripts also read the
@@ -70,7 +72,7 @@ def metric_array_step(prev: DataFrame, events: DataFrame, day, metric: str = "si
     keys = [key, "month_start", "metric_name"]
     counts = daily_counts(events, key, day, day, ts).select(
         key, ms.alias("month_start"), F.lit(metric).alias("metric_name"), F.col("hits"), F.lit(True).alias("_today"))
-    j = prev.join(counts, keys, "full").select(
+    j = prev.where(F.col("month_start") == ms).join(counts, keys, "full").select(
         *keys, F.col("metric_array").alias("_arr"), F.col("hits"),
         ((F.col("month_start") == ms) & (F.col("metric_name") == metric)).alias("_this"),
         (F.datediff(today, ms) + 1).alias("_idx"))
@@ -155,15 +157,16 @@ def monthly_arrays_step(state: DataFrame, events: DataFrame, day, key: str = "ho
 
     Keys active that day get a zero row for the month if absent (insert if
     absent), then slot ``day of month`` of both arrays is set from that day's
-    counts (update from a join). Keys silent that day keep their arrays, as
-    do other months. One full outer join on (month, key) does both steps and
-    reads the state once, so a day-by-day fold keeps a linear plan.
+    counts (update from a join). Keys silent that day keep their arrays. Only
+    the day's month is read from the state and returned, for that month's
+    partition to be replaced. One full outer join on (month, key) does both
+    steps and reads the state once, so a day-by-day fold keeps a linear plan.
     """
     today = _day(day)
     m = month_start(today)
     c = daily_counts(events, key, day, day, ts, distinct_of=visitor).select(
         m.alias("month"), key, "hits", "uniques")
-    j = state.join(c, ["month", key], "full").withColumn("_idx", F.dayofmonth(today)).withColumn(
+    j = state.where(F.col("month") == m).join(c, ["month", key], "full").withColumn("_idx", F.dayofmonth(today)).withColumn(
         "_n", days_in_month(today))
     hit = F.col("hits").isNotNull()
     slot = F.col("_idx")

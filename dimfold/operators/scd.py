@@ -100,41 +100,44 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     """
     keys = _keys(key)
     scd_cols = [*keys, *tracked, start_name, end_name]
-    open_ = scd.where((F.col(cutoff_name) == _lit(cutoff)) & (F.col(end_name) == _lit(cutoff))).select(*scd_cols)
-    closed = scd.where((F.col(cutoff_name) == _lit(cutoff)) & (F.col(end_name) < _lit(cutoff))).select(*scd_cols)
     this = snapshot.where(F.col(period) == _lit(new_period)).select(*keys, *tracked)
+    current = scd.where(F.col(cutoff_name) == _lit(cutoff)).select(*scd_cols)
+
+    def record(side: str, start: Column, end: Column) -> Column:
+        return F.struct(*[F.col(f"{side}.{c}").alias(c) for c in tracked], start.alias(start_name), end.alias(end_name))
+
+    l_start, l_end = F.col(f"l.{start_name}"), F.col(f"l.{end_name}")
+    old, new = record("l", l_start, l_end), record("t", _lit(new_period), _lit(new_period))
+    extended = record("l", l_start, _lit(new_period))
+    key_cols = [F.coalesce(F.col(f"l.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
+    on = [F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
 
     if reference:
-        # The scripts' four branches in one left join (new season -> open
-        # record), NULL-unsafe: equal on every column -> the unchanged record
-        # extended; some column different -> old and new record; no open
-        # record -> an all-NULL "old" record, the new record from the changed
-        # branch and the same new record again from the new-records branch;
-        # comparisons that are NULL -> no row at all; open records without a
-        # row in the new season are dropped.
-        on = [F.col(f"ls.{k}") == F.col(f"ts.{k}") for k in keys]
-        cond = on[0]
-        for c in on[1:]:
-            cond = cond & c
-        j = this.alias("ts").join(open_.withColumn("_ls", F.lit(True)).alias("ls"), cond, "left")
-        equal = None
-        differ = None
+        # The scripts' branches in one full join of the records at the cutoff
+        # with the new season, NULL-unsafe. Closed records come through; open
+        # records without a row in the new season are dropped; a key without
+        # an open record yields an all-NULL "old" record, the new record from
+        # the changed branch and the same again from the new-records branch;
+        # equal on every column extends the record; some column different
+        # yields old and new; comparisons that are NULL yield no row at all.
+        open_now = l_end == _lit(cutoff)
+        j = current.alias("l").join(this.withColumn("_in_this", F.lit(True)).alias("t"), cond & open_now, "full")
+        equal = differ = None
         for c in tracked:
-            e = F.col(f"ts.{c}") == F.col(f"ls.{c}")
-            d = F.col(f"ts.{c}") != F.col(f"ls.{c}")
+            e, d = F.col(f"t.{c}") == F.col(f"l.{c}"), F.col(f"t.{c}") != F.col(f"l.{c}")
             equal = e if equal is None else equal & e
             differ = d if differ is None else differ | d
-        unchanged = F.struct(*[F.col(f"ts.{c}").alias(c) for c in tracked],
-                             F.col(f"ls.{start_name}").alias(start_name), _lit(new_period).alias(end_name))
-        old = F.struct(*[F.col(f"ls.{c}").alias(c) for c in tracked],
-                       F.col(f"ls.{start_name}").alias(start_name), F.col(f"ls.{end_name}").alias(end_name))
-        new = F.struct(*[F.col(f"ts.{c}").alias(c) for c in tracked],
-                       _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
-        rows = (F.when(F.col("ls._ls").isNull(), F.array(old, new, new))
-                .when(equal, F.array(unchanged))
+        none = F.filter(F.array(new), lambda x: F.lit(False))
+        rows = (F.when(l_start.isNull(), F.array(old, new, new))
+                .when(l_end < _lit(cutoff), F.array(old))
+                .when(F.col("t._in_this").isNull(), none)
+                .when(equal, F.array(extended))
                 .when(differ, F.array(old, new))
-                .otherwise(F.filter(F.array(new), lambda x: F.lit(False))))
-        return closed.unionByName(j.select(*[F.col(f"ts.{k}").alias(k) for k in keys], F.inline(rows)))
+                .otherwise(none))
+        return j.select(*key_cols, F.inline(rows))
 
     # One full outer join reads the SCD table once (a yearly fold keeps a
     # linear plan): only the key's latest record can match the new period
@@ -142,31 +145,17 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     # periods its last record, so a gap continues a streak exactly as the
     # rebuild does); older records and latest records of absent keys come
     # through unchanged. The window on the key shares the join's partitioning.
-    current = scd.where(F.col(cutoff_name) == _lit(cutoff)).select(*scd_cols)
     current = current.withColumn("_latest", F.max(end_name).over(Window.partitionBy(*keys)))
-    on = [F.col(f"l.{k}") == F.col(f"t.{k}") for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    cond = cond & (F.col(f"l.{end_name}") == F.col("l._latest"))
+    cond = cond & (l_end == F.col("l._latest"))
     j = current.alias("l").join(this.withColumn("_in_this", F.lit(True)).alias("t"), cond, "full")
-    l_present = F.col(f"l.{start_name}").isNotNull()
     same = None
     for c in tracked:
         p = F.col(f"l.{c}").eqNullSafe(F.col(f"t.{c}"))
         same = p if same is None else same & p
-    old_kept = F.struct(*[F.col(f"l.{c}").alias(c) for c in tracked],
-                        F.col(f"l.{start_name}").alias(start_name), F.col(f"l.{end_name}").alias(end_name))
-    old_extended = F.struct(*[F.col(f"l.{c}").alias(c) for c in tracked],
-                            F.col(f"l.{start_name}").alias(start_name), _lit(new_period).alias(end_name))
-    new_rec = F.struct(*[F.col(f"t.{c}").alias(c) for c in tracked],
-                       _lit(new_period).alias(start_name), _lit(new_period).alias(end_name))
-    in_this = F.col("t._in_this")
-    rows = (F.when(~l_present, F.array(new_rec))
-            .when(in_this.isNull(), F.array(old_kept))
-            .when(same, F.array(old_extended))
-            .otherwise(F.array(old_kept, new_rec)))
-    key_cols = [F.coalesce(F.col(f"l.{k}"), F.col(f"t.{k}")).alias(k) for k in keys]
+    rows = (F.when(l_start.isNull(), F.array(new))
+            .when(F.col("t._in_this").isNull(), F.array(old))
+            .when(same, F.array(extended))
+            .otherwise(F.array(old, new)))
     return j.select(*key_cols, F.inline(rows)).withColumn(cutoff_name, _lit(new_period))
 
 
@@ -231,8 +220,11 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     """Close-and-insert merge of new snapshot periods into an SCD2 table.
 
     Returns ``(new_history, counts)`` where counts has ``records_updated``
-    and ``records_inserted``. Everything is computed from one snapshot of the
-    inputs and written once by the caller (no in-place UPDATE).
+    and ``records_inserted``. The history and the batch are laid in one frame
+    and shuffled once by key: windows over a key's rows (its periods, bounded
+    by the calendar) give what is kept, closed, extended and inserted, and the
+    counts come from flags of the same rows. Written once by the caller (no
+    in-place UPDATE).
 
     Reference form: rows from the last processed period on (``>=``), each
     compared with the open record using NULL-unsafe ``!=``; new records end at
@@ -243,78 +235,60 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
     compared null-safely with the previous row of the batch (the first with
     the open record); records start at change rows; the open record is closed
     before the first change or, without change, extended to the key's last
-    batch period.
+    batch period. For keys that the history knows the result equals the
+    change-point rebuild; a new key starts at its first batch period, while
+    the rebuild also writes the record of the periods before its debut.
 
     ``last_processed`` is the history's last period (``MAX(end_year)``); a
     scheduled job passes it, otherwise it is read from ``history``.
     ``fill`` (fixed form) back-fills a NULL in that tracked column with the
     last known value (earlier batch rows, then the open record), as the
-    change-point rebuild does, so the merge equals the rebuild.
+    change-point rebuild does.
     """
     keys = _keys(key)
     hist_cols = [*keys, start_name, end_name, *tracked, current_name]
-    history = history.select(*hist_cols)
     last = history.agg(F.max(end_name)).scalar() if last_processed is None else _lit(last_processed)
-    open_ = history.where(F.col(current_name))
-    rest = history.where(~F.col(current_name) | F.col(current_name).isNull())
-    w = Window.partitionBy(*keys).orderBy(period)
-    h = open_.select(*keys, *[F.col(c).alias(f"_h_{c}") for c in tracked],
-                     F.col(start_name).alias("_h_start"), F.col(end_name).alias("_h_end"),
-                     F.lit(True).alias("_h"))
+    old = history.select(
+        *hist_cols, F.coalesce(F.col(current_name), F.lit(False)).alias("_open"), F.lit(False).alias("_new"))
+    fresh = F.col(period) >= last if reference else F.col(period) > last
+    batch = snapshot.where(fresh).select(
+        *keys, F.col(period).alias(start_name), F.lit(None).cast("int").alias(end_name), *tracked,
+        F.lit(None).cast("boolean").alias(current_name), F.lit(True).alias("_open"), F.lit(True).alias("_new"))
+    # _open: the key's open record and its batch rows; closed records are a partition of their own and pass through.
+    both = old.unionByName(batch)
+    part = Window.partitionBy(*keys, "_open")
+    line = part.orderBy("_new", start_name)
+    new, start, end = F.col("_new"), F.col(start_name), F.col(end_name)
 
     if reference:
-        batch = snapshot.where(F.col(period) >= last).select(*keys, period, *tracked)
-        c = batch.join(h, keys, "left")
+        opened = F.max(F.when(~new & F.col("_open"), F.struct(F.lit(True).alias("_h"), *tracked))).over(part)
+        both = both.withColumn("_h", opened)
         req = F.when(F.col("_h").isNull(), F.lit(True))
         for t in tracked:
-            req = req.when(F.col(f"_h_{t}") != F.col(t), F.lit(True))
-        c = c.withColumn("_req", req.otherwise(F.lit(False)))
-        changes = c.where("_req")
-        new_records = changes.select(
-            *keys, F.col(period).alias(start_name),
-            F.lead(F.col(period) - 1, 1).over(w).alias("_lead"), F.col(period).alias("_p"), *tracked,
-            F.lead(F.col(period), 1).over(w).isNull().alias(current_name),
-        ).select(*keys, start_name, F.coalesce("_lead", "_p").alias(end_name), *tracked, current_name)
-        closing = changes.where(F.col("_h")).groupBy(*keys).agg((F.min(period) - 1).alias("_close"))
+            req = req.when(F.col(f"_h.{t}") != F.col(t), F.lit(True))
+        both = both.withColumn("_keep", ~new | req.otherwise(F.lit(False)))
     else:
-        batch = snapshot.where(F.col(period) > last).select(*keys, period, *tracked)
-        c = batch.join(h, keys, "left")
         if fill is not None:
-            before = w.rowsBetween(Window.unboundedPreceding, -1)
-            c = c.withColumn(fill, F.coalesce(F.col(fill), F.last(fill, ignorenulls=True).over(before),
-                                              F.col(f"_h_{fill}")))
-        first = F.row_number().over(w) == 1
-        prev = [F.when(first, F.col(f"_h_{t}")).otherwise(F.lag(t).over(w)) for t in tracked]
-        diff = _changed_fixed([F.col(t) for t in tracked], prev)
-        req = (first & F.col("_h").isNull()) | diff
-        c = c.withColumn("_req", req).withColumn("_kmax", F.max(period).over(Window.partitionBy(*keys)))
-        changes = c.where("_req")
-        new_records = changes.select(
-            *keys, F.col(period).alias(start_name),
-            F.coalesce(F.lead(F.col(period) - 1, 1).over(w), F.col("_kmax")).alias(end_name), *tracked,
-            F.lead(F.col(period), 1).over(w).isNull().alias(current_name),
-        )
-        touched = c.where(F.col("_h")).groupBy(*keys).agg(
-            F.min(F.when(F.col("_req"), F.col(period))).alias("_first_change"), F.max(period).alias("_kmax"))
-        closing = touched.select(*keys, F.coalesce(F.col("_first_change") - 1, F.col("_kmax")).alias("_close"),
-                                 F.col("_first_change").isNull().alias("_still_open"))
-
-    upd = open_.join(closing, keys, "left")
+            known = F.last(fill, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            both = both.withColumn(fill, F.when(new, known).otherwise(F.col(fill)))
+        changed = _changed_fixed([F.col(t) for t in tracked], [F.lag(t).over(line) for t in tracked])
+        both = both.withColumn("_keep", ~new | F.lag(F.lit(True)).over(line).isNull() | changed)
+        both = both.withColumn("_kmax", F.max(F.when(new, start)).over(part))
+
+    kept = both.where("_keep")
+    follow = F.lead(start).over(line)
+    kept = kept.withColumn("_next", F.when(F.col("_open"), follow))
     if reference:
-        still_open = F.lit(False)
+        closes = ~new & F.col("_open") & F.col("_next").isNotNull()
+        ends = F.when(new, F.coalesce(F.col("_next") - 1, start)).when(closes, F.col("_next") - 1).otherwise(end)
+        touched = closes
+        now = F.when(new, F.col("_next").isNull()).when(closes, F.lit(False)).otherwise(F.col(current_name))
     else:
-        still_open = F.coalesce(F.col("_still_open"), F.lit(False))
-    hit = F.col("_close").isNotNull()
-    updated_open = upd.select(
-        *keys, start_name,
-        F.when(hit, F.col("_close")).otherwise(F.col(end_name)).alias(end_name),
-        *tracked,
-        F.when(hit, still_open).otherwise(F.col(current_name)).alias(current_name),
-        hit.alias("_updated"),
-    )
-    new_history = (rest.unionByName(updated_open.drop("_updated"))
-                   .unionByName(new_records.select(*hist_cols)))
-    inserted = new_records.agg(F.count(F.lit(1))).scalar()
-    counts = updated_open.agg(F.count_if("_updated").alias("records_updated")).select(
-        "records_updated", inserted.alias("records_inserted"))
+        touched = ~new & F.col("_open") & F.col("_kmax").isNotNull()
+        moves = F.col("_open") & F.col("_kmax").isNotNull()
+        ends = F.when(moves, F.coalesce(F.col("_next") - 1, F.col("_kmax"))).otherwise(end)
+        now = F.when(moves, F.col("_next").isNull()).otherwise(F.col(current_name))
+    done = kept.withColumn("_touched", touched).withColumn("_end", ends).withColumn("_now", now)
+    new_history = done.select(*keys, start_name, F.col("_end").alias(end_name), *tracked, F.col("_now").alias(current_name))
+    counts = done.agg(F.count_if("_touched").alias("records_updated"), F.count_if("_new").alias("records_inserted"))
     return new_history, counts

@@ -60,15 +60,26 @@ def update_from(target: DataFrame, src: DataFrame, keys: Sequence[str],
         for c in target.columns])
 
 
-def write_period(df: DataFrame, path: str, period_cols: Sequence[str], fmt: str = "parquet") -> None:
-    """M-6 / S-4: write by name, replacing only the periods present in ``df``."""
+def write_period(df: DataFrame, path: str, period_cols: Sequence[str], fmt: str = "parquet",
+                 rewritten: Sequence[Sequence] = ()) -> None:
+    """M-6 / S-4: write by name, replacing only the periods present in ``df``.
+
+    ``rewritten`` names periods (values of ``period_cols``) that this run
+    recomputed: one of them without a row in ``df`` is emptied, so a re-run
+    leaves no stale partition. The overwrite mode is an option of this write
+    alone, so concurrent writers do not see each other's setting.
+    """
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").format(fmt).partitionBy(*period_cols).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # Asked before the write, which may replace what ``df`` reads; the rewritten periods are few.
+    present = {tuple(str(v) for v in r) for r in df.select(*period_cols).distinct().collect()} if rewritten else set()
+    (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*period_cols).save(path))
+    jvm = spark._jvm
+    for values in rewritten:
+        if tuple(str(v) for v in values) not in present:
+            folder = "/".join([path, *[f"{c}={v}" for c, v in zip(period_cols, values)]])
+            p = jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_period(spark: SparkSession, path: str, where: Column | None = None, fmt: str = "parquet") -> DataFrame:

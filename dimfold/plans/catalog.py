@@ -5,21 +5,21 @@ keeps its output scalar and comparable across engines: arrays become
 delimited text, dates ISO text, JSON is extracted or compact text, and REAL
 values are widened to DOUBLE. Period bounds (last season, snapshot day) are
 the load period of the base fact table (MIN/MAX of its date column, read
-once per data folder) and enter the plans as literals, so they are folded
-and pushed into the scans.
+by each query) and enter the plans as literals, so they are folded and
+pushed into the scans.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
-from dimfold.operators import activity, facts, graph, quality, reduced, scd, state
+from dimfold.operators import activity, facts, graph, quality, reduced, reports, scd, state
 from dimfold.operators import snapshot as snap
-from dimfold.session import cut_lineage
+from dimfold.session import ensure_checkpoint_dir
 from dimfold.sources import fixtures as fx
 from dimfold.sources.tables import Tables
 
@@ -30,6 +30,7 @@ class _Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = Tables(spark, sf_dir)
+        self.years: tuple[int, int] | None = None
         self._views: dict[str, DataFrame] = {}
 
     def view(self, name: str) -> DataFrame:
@@ -62,21 +63,10 @@ class _Ctx:
         return self.view("events")
 
 
-_CTX: dict[tuple[str, str], _Ctx] = {}
-
-
 def Ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
-    """The views of one data folder, built once per session.
-
-    DataFrames are immutable plans and the folders are read-only, so the
-    base-table reads (file listing, footer schema) and the analysed view
-    plans are shared by all queries of a session instead of being rebuilt
-    on the driver for each one. No data is cached.
-    """
-    k = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if k not in _CTX:
-        _CTX[k] = _Ctx(spark, sf_dir)
-    return _CTX[k]
+    """The views of one data folder for one query; nothing outlives the query,
+    so files that land in the folder are seen by the next one."""
+    return _Ctx(spark, sf_dir)
 
 
 def iso(c) -> F.Column:
@@ -89,27 +79,23 @@ PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "d
 PLAYER_STATS = ("gp", "pts", "reb", "ast")
 
 
-_BOUNDS: dict[tuple[str, str], tuple] = {}
-
-
 def _bounds(c: _Ctx, table: str, column: str) -> tuple:
-    """MIN and MAX of one base-table column, computed once per data folder.
+    """MIN and MAX of one base-table column: the load period of this run.
 
-    These are the load period of a run (what a scheduler passes to a daily
-    job). A plain MIN/MAX of a column is answerable from Parquet footer
-    statistics; the data folders are read-only, so the value is cached.
+    A scheduler passes the period to its daily job and the operators take it
+    as an argument; the registered queries have only the folder, so they read
+    one column for it each time.
     """
-    k = (os.path.abspath(c.t.sf_dir), f"{table}.{column}")
-    if k not in _BOUNDS:
-        r = getattr(c.t, table).agg(F.min(column), F.max(column)).first()
-        _BOUNDS[k] = (r[0], r[1])
-    return _BOUNDS[k]
+    r = getattr(c.t, table).agg(F.min(column), F.max(column)).first()
+    return r[0], r[1]
 
 
 def order_years(c: _Ctx) -> tuple[int, int]:
     """The load period of the order facts: first and last order year."""
-    lo, hi = _bounds(c, "orders", "o_orderdate")
-    return lo.year, hi.year
+    if c.years is None:
+        lo, hi = _bounds(c, "orders", "o_orderdate")
+        c.years = (lo.year, hi.year)
+    return c.years
 
 
 def last_season(c: _Ctx) -> int:
@@ -171,18 +157,18 @@ def film_years(c: _Ctx) -> tuple[int, int]:
     return order_years(c)
 
 
-def actors_snapshot(c: _Ctx, films: DataFrame | None = None, end: int | None = None) -> DataFrame:
-    af = c.actor_films if films is None else films
+def actors_snapshot(c: _Ctx, end: int | None = None, with_static: bool = False, with_items: bool = False) -> DataFrame:
+    af = c.actor_films
     end = film_years(c)[1] if end is None else end
-    static = [F.count_distinct("film").alias("total_films"),
+    static = [] if not with_static else [F.count_distinct("film").alias("total_films"),
               (F.sum("rating").cast("double") / F.count("rating")).alias("average_rating")]
     return snap.cumulative_snapshot_multi(
-        af, ACTOR_KEYS, "year", FILM_ITEM, end, static_aggs=static,
+        af, ACTOR_KEYS, "year", FILM_ITEM, end, static_aggs=static, with_items=with_items,
         class_on="rating", cuts=fx.ACTOR_RATING_CUTS, labels=fx.CLASS_LABELS)
 
 
 def q04_snapshot_multi(spark, sf_dir):
-    a = actors_snapshot(Ctx(spark, sf_dir))
+    a = actors_snapshot(Ctx(spark, sf_dir), with_static=True)
     return a.select(
         "actor", "actorid", "current_year", "n_films",
         F.col("last_film")["film"].alias("last_film"),
@@ -266,14 +252,12 @@ def _merge(spark, sf_dir, reference):
     """Merge the last year into the history built up to the year before.
 
     In production the snapshot and the SCD history are stored tables; here
-    both are derived from the base tables and written once as reliable
-    checkpoints (in ``spark.checkpoint.dir``), so the merge's several reads
-    of each do not recompute them.
+    both are derived from the base tables in the same plan.
     """
     c = Ctx(spark, sf_dir)
     lo, hi = film_years(c)
-    states = cut_lineage(actor_states(c, hi))
-    history = cut_lineage(_change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1))
+    states = actor_states(c, hi)
+    history = _change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1)
     return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference,
                           last_processed=hi - 1, fill=None if reference else "quality_class")
 
@@ -331,7 +315,14 @@ def q14_fact_build(spark, sf_dir):
 
 def q15_fact_team_join(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return _fact_out(facts.fact_with_dimension(fact_game_details(c), c.teams, "dim_team_id", "team_id"))
+    return _fact_out(facts.fact_with_dimension(fact_game_details(c), c.teams, "dim_team_id", "team_id", dedupe=True))
+
+
+def q15b_fact_team_join_ref(spark, sf_dir):
+    """The scripts' join: the dimension as it is, so its duplicate rows multiply the facts."""
+    c = Ctx(spark, sf_dir)
+    out = facts.fact_with_dimension(fact_game_details(c), c.teams, "dim_team_id", "team_id")
+    return _fact_out(out).select("team_id", "arena", "dim_game_date", "dim_player_id", "m_minutes", "m_pts")
 
 
 def q16_rate_report(spark, sf_dir):
@@ -365,9 +356,8 @@ def q20_plays_in_edges(spark, sf_dir):
 
 def q21_points_per_game(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    edges = graph.co_occurrence_edges(c.game_details).drop(
-        "subject_player_name", "object_player_name", "num_games", "subject_points", "object_points")
-    return graph.points_per_game(graph_vertices(c), edges).withColumn("ppg", F.round("ppg", 6))
+    starts = graph.edge_starts(c.game_details)
+    return graph.points_per_game(graph_vertices(c), starts).withColumn("ppg", F.round("ppg", 6))
 
 
 # --- activity ----------------------------------------------------------------
@@ -518,10 +508,17 @@ def q33_monthly_arrays_step(spark, sf_dir):
 
 
 def q34_contract_checks(spark, sf_dir):
-    t = user_json_table(Ctx(spark, sf_dir))
+    """The contract of the raw details, which they break: duplicate keys, missing comments, other positions."""
+    return quality.check_contract(
+        Ctx(spark, sf_dir).game_details, keys=DETAIL_KEYS, not_null=["comment", "player_name"],
+        allowed={"start_position": ["O"], "team_abbreviation": ["A", "N"]})
+
+
+def q34b_contract_checks_json(spark, sf_dir):
+    """JSON contracts of the raw events: a valid object, a plain text, keys present and missing."""
     return quality.check_contract(
-        t, keys=["user_id", "date"], not_null=["date", "device_activity_datelist"],
-        json_objects=["device_activity_datelist"], json_required={"device_activity_datelist": "active_dates"})
+        Ctx(spark, sf_dir).t.events, keys=["user_id"], not_null=["user_id", "props"],
+        json_objects=["props", "event_type"], json_required={"props": "k", "event_type": "k"})
 
 
 def _reload(spark, sf_dir, distinct):
@@ -551,8 +548,6 @@ def q35_monthly_first_five(spark, sf_dir):
 
 def q36_first_five_devices(spark, sf_dir):
     """Top-k report: the first five rows of the user datelist table by (date, user)."""
-    from dimfold.operators import reports
-
     t = user_json_table(Ctx(spark, sf_dir))
     top = reports.top_k(t, ["date", "user_id"], 5)
     return top.select("user_id", iso(F.col("date")).alias("date"), "device_activity_datelist")
@@ -560,8 +555,6 @@ def q36_first_five_devices(spark, sf_dir):
 
 def q37_first_five_monthly(spark, sf_dir):
     """Top-k report: the first five monthly rows by (month, host), with their first five slots."""
-    from dimfold.operators import reports
-
     c = Ctx(spark, sf_dir)
     lo, hi = event_days(c)
     m = reports.top_k(reduced.monthly_arrays(c.events, lo, hi), ["month", "host"], 5)
@@ -569,3 +562,91 @@ def q37_first_five_monthly(spark, sf_dir):
                     F.size("hit_array").alias("days_in_month"),
                     array_text(F.slice("hit_array", 1, 5)).alias("first_5_days_hits"),
                     array_text(F.slice("unique_visitors_array", 1, 5)).alias("first_5_days_visitors"))
+
+
+# --- state operators, literal shapes and reports --------------------------------
+
+def _two_seasons(c: _Ctx) -> tuple[DataFrame, DataFrame]:
+    """Players of the season before the last (the stored table) and of the last (the load)."""
+    end = last_season(c)
+    one = lambda y: c.player_seasons.where(F.col("season") == y).select(
+        "player_name", "season", F.col("pts").cast("double").alias("pts"))
+    return one(end - 1), one(end)
+
+
+def q38_upsert(spark, sf_dir):
+    target, load = _two_seasons(Ctx(spark, sf_dir))
+    return state.upsert(target, load, ["player_name"])
+
+
+def q39_update_from(spark, sf_dir):
+    target, load = _two_seasons(Ctx(spark, sf_dir))
+    src = load.select("player_name", F.col("season").alias("new_season"), F.col("pts").alias("new_pts"))
+    return state.update_from(target, src, ["player_name"], {"season": F.col("new_season"), "pts": F.col("pts") + F.col("new_pts")})
+
+
+def q40_insert_if_absent(spark, sf_dir):
+    target, load = _two_seasons(Ctx(spark, sf_dir))
+    return state.insert_if_absent(target, load, ["player_name"])
+
+
+def q41_period_table(spark, sf_dir):
+    """A snapshot table written by season, its last season written again, and that season read back."""
+    c = Ctx(spark, sf_dir)
+    end = last_season(c)
+    table = f"{ensure_checkpoint_dir(spark).rstrip('/')}/period-{uuid.uuid4().hex}"
+    full = players_snapshot(c).select("player_name", "scoring_class", "is_active", "current_season")
+    state.write_period(full, table, ["current_season"])
+    state.write_period(full.where(F.col("current_season") == end).where("is_active"), table, ["current_season"])
+    last = state.read_period(spark, table, F.col("current_season") >= end - 1)
+    return last.select("player_name", "scoring_class", "is_active", F.col("current_season").cast("int").alias("current_season"))
+
+
+def _films_text(films, fields) -> F.Column:
+    return F.array_join(F.transform(films, lambda x: F.concat_ws(":", *[x[f].cast("string") for f in fields])), ",")
+
+
+def q42_films_array(spark, sf_dir):
+    """X-3 with its films array, as text; the change flag compares whole arrays."""
+    a = actors_snapshot(Ctx(spark, sf_dir), with_items=True)
+    before = F.lag("films").over(Window.partitionBy(*ACTOR_KEYS).orderBy("current_year"))
+    return a.select("actor", "actorid", "current_year", _films_text(F.col("films"), ("year", "film", "votes")).alias("films"),
+                    (~F.col("films").eqNullSafe(before)).alias("films_changed"))
+
+
+def q43_actor_history_array(spark, sf_dir):
+    """``verify_actor_history`` for every actor and year: one row with the year's films as an array."""
+    c = Ctx(spark, sf_dir)
+    h = snap.entity_history(c.actor_films, ACTOR_KEYS, "year", FILM_ITEM, actors_snapshot(c), as_list=True)
+    return h.select("actor", "actorid", "current_year", F.col("n_films").cast("int").alias("num_films"), "is_active",
+                    F.array_join("films_this_year", ",").alias("films_this_year"))
+
+
+def q44_scd2_streaks_ref(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return scd.scd2_streaks(_player_state(c), "player_name", "current_season", PLAYER_TRACKED, last_season(c) - 1, reference=True)
+
+
+def q45_metric_array_ref(spark, sf_dir):
+    """The appending form of the daily job, run again for the last day: its count is there twice."""
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    m = reduced.metric_array_step(reduced.metric_array_rebuild(c.events, hi), c.events, hi, reference=True)
+    return m.select("user_id", iso(F.col("month_start")).alias("month_start"), "metric_name",
+                    array_text(F.transform("metric_array", lambda x: x.cast("int"))).alias("metric_array"))
+
+
+def q46_ranked_improvement(spark, sf_dir):
+    """The improvement report in its order (descending, NULL first), ranked per country."""
+    s = players_at_end(Ctx(spark, sf_dir))
+    r = snap.improvement(s, ["player_name", "country"], "season_stats", "pts", guard="case")
+    r = r.withColumn("improvement", F.when(F.col("improvement") > 1, F.round("improvement", 6)))
+    order = Window.partitionBy("country").orderBy(reports.pg_order("improvement", True), reports.pg_order("player_name"))
+    return r.select("country", "player_name", "improvement", F.row_number().over(order).alias("place"))
+
+
+def q47_lookup(spark, sf_dir):
+    """Name lookup by LIKE within one season."""
+    c = Ctx(spark, sf_dir)
+    found = reports.lookup(c.player_seasons, "player_name", "%00%7", "season", last_season(c))
+    return found.select("player_name", "season", "gp", F.col("pts").cast("double").alias("pts"))

@@ -170,17 +170,17 @@ def test_hot_duplicate_key_semi_join_is_split(spark):
     cold = [(g, 1, 10, "y", 1) for g in range(2, 400)] + [(2, 1, 10, "z", 2)]
     df = spark.createDataFrame(hot + cold, D)
 
-    def run(max_keys):
-        d = quality.duplicate_rows(df, ["game_id", "team_id", "player_id"], max_broadcast_keys=max_keys)
+    def run():
+        d = quality.duplicate_rows(df, ["game_id", "team_id", "player_id"])
         n = len(d.collect())
         return n, d._jdf.queryExecution().executedPlan().toString()
 
-    # Small key set: broadcast, the rows are filtered where they are read (no shuffle of the rows).
-    n, plan = _with_conf(spark, SKEW, lambda: run(1000))
+    # Above the broadcast threshold the semi join is sort-merge, and AQE splits the hot key.
+    n, plan = _with_conf(spark, SKEW, run)
+    assert n == 3002 and "SortMergeJoin(skew=true)" in plan
+    # By default AQE broadcasts the measured key set; same rows.
+    n, plan = run()
     assert n == 3002 and "BroadcastHashJoin" in plan
-    # Key set above the bound: salted semi join, the hot key lands in several tasks; same rows.
-    n, plan = _with_conf(spark, SKEW, lambda: run(0))
-    assert n == 3002 and "_salt" in plan
 
 
 def test_dedupe_limits_rows_before_the_shuffle(spark):
@@ -189,3 +189,56 @@ def test_dedupe_limits_rows_before_the_shuffle(spark):
     # WindowGroupLimit runs once before the exchange (partial) and once after (final).
     before, _, after = plan.partition("Exchange")
     assert "WindowGroupLimit" in before and "WindowGroupLimit" in after
+
+
+def test_duplicate_rows_split_a_hot_key_of_exact_copies(spark):
+    """2,000 exact copies of one key come out of several tasks, and nothing runs while the plan is built."""
+    from pyspark.sql import functions as F
+
+    from dimfold.operators import quality
+
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        hot = spark.range(2000, numPartitions=8).select(F.lit(1).alias("k"), F.lit("x" * 40).alias("v"))
+        df = hot.unionByName(spark.range(100, 400, numPartitions=8).select(F.col("id").cast("int").alias("k"), F.lit("y").alias("v")))
+        tracker = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("dup", "dup")
+        out = quality.duplicate_rows(df, ["k"])
+        assert not tracker.getJobIdsForGroup("dup")
+        spread = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in spread) == 2000 and len(spread) > 1
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_new_files_are_seen_by_the_next_query(spark, tmp_path):
+    """The load period is read by each query, so a folder that grew answers for its new last day."""
+    import datetime as dt
+
+    from dimfold.plans import catalog
+
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    one = lambda day: spark.createDataFrame([(day, dt.datetime(2024, 1, day, 3), 7, "view", 1.0, '{"k": 1}')], schema)
+    one(10).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert [r.date for r in catalog.q22_datelist(spark, str(tmp_path)).collect()] == ["2024-01-10"]
+    one(30).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    got = catalog.q22_datelist(spark, str(tmp_path)).collect()
+    assert [(r.date, r.dates_active) for r in got] == [("2024-01-30", "2024-01-30,2024-01-10")]
+
+
+def test_edge_starts_equal_the_subjects_of_the_pairs(spark):
+    import random
+
+    from dimfold.operators import graph
+
+    rng = random.Random(6)
+    rows_ = [(g, p, rng.choice(["a", "b", None, f"n{p}"]), rng.choice("AN"), 1) for g in range(30) for p in rng.sample(range(20), rng.randint(1, 6))]
+    df = spark.createDataFrame(rows_ + rows_[:20], "game_id int, player_id int, player_name string, team_abbreviation string, pts int")
+    want = {r.subject_identifier for r in graph.co_occurrence_edges(df).collect()}
+    assert {r.subject_identifier for r in graph.edge_starts(df).collect()} == want and want
