@@ -70,6 +70,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def dealt_anew(grouped: DataFrame, count: str, *keys: str) -> DataFrame:
+    """``grouped`` with its key columns computed from themselves and a positive ``count``.
+
+    An aggregate is dealt by its keys already, so a join on them takes it in
+    place, and AQE splits hot keys only between two exchanges. Computed keys
+    get an exchange of their own.
+    """
+    return grouped.withColumns({k: F.when(F.col(count) > 0, F.col(k)) for k in keys})
+
+
 def stage_table(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet into the shared checkpoint folder and reread."""
     spark = df.sparkSession

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import durable
+from dimfold.llm.common import dealt_anew, durable
 
 
 def _swap(edges: DataFrame) -> DataFrame:
@@ -15,13 +15,13 @@ def _swap(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node hands its larger neighbours to its smallest one."""
     both = edges.unionByName(_swap(edges))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = dealt_anew(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "n", "u").select("u", F.least("u", "m").alias("m"))
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node hands its smaller neighbours and itself to the smallest."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = dealt_anew(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "n", "u").select("u", "m")
     handed = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return handed.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import BLANKS, LOWER, UPPER, ascii_lower, durable, let, pick, words
+from dimfold.llm.common import BLANKS, LOWER, UPPER, ascii_lower, dealt_anew, durable, let, pick, words
 
 SYMBOLS = "#*$%&|<>"
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -110,7 +110,8 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
         .select("host", F.col("line.key").alias("key"), other("a0", "a1").alias("first"), other("z0", "z1").alias("last"))
         .groupBy("host", "key", "first", "last").agg(F.count("*").alias("docs"))
         .groupBy("host", "key").agg(F.count("*").alias("families"), F.sum("docs").alias("docs")))
-    boilerplate = families.where((F.col("families") > max_docs) & (F.col("families") >= min_family_share * F.col("docs"))).select("host", "key")
+    boilerplate = dealt_anew(families.where(
+        (F.col("families") > max_docs) & (F.col("families") >= min_family_share * F.col("docs"))), "docs", "host", "key").select("host", "key")
 
     found = (
         keyed.select("doc_id", "row_hash", "host", F.posexplode("lines").alias("pos", "line"))

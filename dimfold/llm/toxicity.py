@@ -309,7 +309,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     number = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = [min(1.0, most / number.get(y, 1)) for y, most in enumerate((3 * sample_docs, sample_docs))]
     drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
-    return pick(docs, doc_id="long", text="string").join(drawn, "doc_id").select(
+    # the share bounds the drawn ids, whatever the table's size
+    return pick(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id").select(
         "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, sample_chars).alias("text"), "toxic")
 
 

@@ -32,7 +32,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import durable, pick, read
+from dimfold.llm.common import dealt_anew, durable, pick, read
 from dimfold.session import ensure_checkpoint_dir
 
 FILE_BYTES = 1 << 30
@@ -52,7 +52,7 @@ def decide(pages: DataFrame) -> DataFrame:
         "page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumn("sha", F.sha1(F.col("payload").cast("binary")))
     key = F.concat("sha", F.lit(":"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     narrow = durable(marked.select("page_id", "sha").distinct())
-    best = narrow.groupBy("sha").agg(F.max("page_id").alias("best"))
+    best = dealt_anew(narrow.groupBy("sha").agg(F.max("page_id").alias("best"), F.count("*").alias("n")), "n", "sha")
     chosen = narrow.join(best, "sha").select(key.alias("key"), "best")
     return marked.withColumn("key", key).join(chosen.hint("merge"), "key").drop("key")
 
