@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dimfold.llm.common import durable, pick, read, steps
+from dimfold.llm.common import TASK_CACHE, durable, pick, read, steps
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -98,20 +99,18 @@ class WordCache:
         if len(self.place) > self.most:
             self._clear()
         split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
-        if new := list({w for words in split for w in words if w not in self.place}):
+        places = [np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words)) for words in split]
+        unknown = [np.flatnonzero(at < 0) for at in places]
+        if new := list(dict.fromkeys(words[i] for words, gaps in zip(split, unknown) for i in gaps)):
             self._learn(new)
-        for words in split:
-            yield self._gather(np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)))[1]
-
-
-_CACHES: dict[str, WordCache] = {}
+        for words, at, gaps in zip(split, places, unknown):
+            at[gaps] = [self.place[words[i]] for i in gaps]
+            yield self._gather(at)[1]
 
 
 def token_ids(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
     """Token ids of each whole text; a worker keeps the words it has seen."""
-    if path not in _CACHES:
-        _CACHES[path] = WordCache(path)
-    return _CACHES[path].encode(texts)
+    return TASK_CACHE.get(f"words of {path}", lambda: WordCache(path)).encode(texts)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int, int]], int]:

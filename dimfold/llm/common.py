@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import pickle
 import uuid
 from collections.abc import Iterator
@@ -105,17 +106,26 @@ def steps(texts: list[str | None], chars: int = 2_000_000) -> Iterator[slice]:
 
 
 class TaskCache:
-    """One value that a Python worker keeps across tasks, made anew for another key."""
+    """One value that a Python worker keeps across tasks, made anew for another key.
+
+    The operators share ``TASK_CACHE``, so a worker holds the model of one of
+    them at a time.
+    """
 
     def __init__(self):
         self.key, self.value = None, None
 
     def get(self, key: str, make):
         if key != self.key:
-            self.key, self.value = key, make()
+            self.key, self.value = key, None
+            gc.collect()
+            self.value = make()
         return self.value
 
 
+TASK_CACHE = TaskCache()
+
+
 def in_one_task(sample: DataFrame, make):
     """``make(rows)`` of a bounded ``sample``, run in one task so that the driver holds neither rows nor work."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

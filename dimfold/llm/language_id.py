@@ -16,6 +16,7 @@ pass over whole texts without a shuffle.
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 from collections import Counter
@@ -26,12 +27,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TaskCache, id_part, in_one_task, pick, read, steps
+from dimfold.llm.common import TASK_CACHE, id_part, in_one_task, pick, read, steps
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-SAMPLE_DOCS, SAMPLE_CHARS = 1000, 20_000
-MAX_WORDS, MAX_GRAMS, MAX_GRAM = 30_000, 30_000, 5
+SAMPLE_DOCS, SAMPLE_CHARS = 500, 5_000
+MAX_WORDS, MAX_GRAMS, MAX_GRAM = 20_000, 10_000, 5
 EDGE = "\x02"
 
 
@@ -50,48 +51,47 @@ def fit(sample: list[tuple[str, str]], max_words: int = MAX_WORDS, max_grams: in
     words = [Counter() for _ in langs]
     for text, lang in sample:
         words[langs.index(lang)].update(LETTERS.findall(text.lower()))
-    counts = [[Counter() for _ in langs] for _ in range(max_gram)]
-    for k, seen in enumerate(words):
-        for word, c in seen.items():
-            for n in range(1, max_gram + 1):
-                for g in grams(word, n):
-                    counts[n - 1][k][g] += c
-    total = Counter()
-    for seen in words:
-        total.update(seen)
 
-    def table(per_lang: list[Counter], keep: set[str]) -> dict[str, np.ndarray]:
+    def table(per_lang: list[Counter], most: int, least: int = 1) -> tuple[dict[str, int], np.ndarray]:
+        """Row numbers and log frequencies, a column a language, of the ``most`` frequent of each language."""
         size = np.array([sum(c.values()) for c in per_lang], float)
-        names = len(set().union(*per_lang)) if per_lang else 0
-        return {x: np.log([(c[x] + 0.5) / (s + 0.5 * names) for c, s in zip(per_lang, size)]) for x in keep}
-
-    def most(counter: Counter, n: int) -> list[str]:
-        return [x for x, _ in sorted(counter.items(), key=lambda p: (-p[1], p[0]))[:n]]
-
-    model = {"langs": langs, "max_gram": max_gram, "words": table(words, {w for c in words for w in most(c, max_words) if total[w] > 1})}
-    model["grams"] = [table(per, {g for c in per for g in most(c, max_grams)}) for per in counts]
+        kinds = len(set().union(*per_lang)) if per_lang else 0
+        often = {x for c in per_lang for x in heapq.nsmallest(most, c, key=lambda x: (-c[x], x))}
+        keep = sorted(x for x in often if sum(c[x] for c in per_lang) >= least)
+        counts = np.array([[c[x] for c in per_lang] for x in keep], float).reshape(len(keep), len(per_lang))
+        return {x: i for i, x in enumerate(keep)}, np.log((counts + 0.5) / (size + 0.5 * kinds))
+
+    model = {"langs": langs, "max_gram": max_gram, "words": table(words, max_words, least=2), "grams": []}
+    for n in range(1, max_gram + 1):
+        seen = [Counter() for _ in langs]
+        for k, counter in enumerate(words):
+            for word, c in counter.items():
+                for g in grams(word, n):
+                    seen[k][g] += c
+        model["grams"].append(table(seen, max_grams))
     return model
 
 
 class Scorer:
     """Scores texts; keeps the vectors of the words it has seen, ``most`` at a time."""
 
-    def __init__(self, model: dict, weight: int = 20, most: int = 300_000):
+    def __init__(self, model: dict, weight: int = 20, most: int = 200_000):
         self.model, self.weight, self.most = model, weight, most
         self._clear()
 
     def _clear(self) -> None:
-        self.place = {w: i for i, w in enumerate(self.model["words"])}
-        self.rows = np.array(list(self.model["words"].values())).reshape(len(self.place), len(self.model["langs"]))
+        place, self.rows = self.model["words"]
+        self.place = dict(place)
 
     def backoff(self, word: str) -> np.ndarray:
         """Log scores of an unseen word from the longest known n-grams, left to right."""
         marked, at, score = f"{EDGE}{word}{EDGE}", 0, np.zeros(len(self.model["langs"]))
         while at < len(marked):
             for n in range(min(self.model["max_gram"], len(marked) - at), 0, -1):
-                known = self.model["grams"][n - 1].get(marked[at:at + n])
+                place, rows = self.model["grams"][n - 1]
+                known = place.get(marked[at:at + n])
                 if known is not None:
-                    score, at = score + known, at + n
+                    score, at = score + rows[known], at + n
                     break
             else:
                 at += 1  # a character of no language says nothing
@@ -117,9 +117,6 @@ class Scorer:
         return out
 
 
-_SCORER = TaskCache()
-
-
 def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """(lang, draw, text) of about ``sample_docs`` documents a language at most, outside the held-out part.
 
@@ -145,7 +142,7 @@ def predictor(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
 
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        scorer = _SCORER.get(key, lambda: Scorer(shared.value, weight))
+        scorer = TASK_CACHE.get(key, lambda: Scorer(shared.value, weight))
         for batch in batches:
             texts = batch.tolist()
             got = [x for part in steps(texts) for x in scorer.score(texts[part])]

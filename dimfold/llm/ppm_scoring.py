@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TaskCache, ascii_lower, durable, id_part, pick, read, steps, words
+from dimfold.llm.common import TASK_CACHE, ascii_lower, durable, id_part, pick, read, steps, words
 
 ORDER = 5
 MAX_NODES, HEAD = 100_000, 65_536
@@ -56,7 +56,7 @@ def _count_grams(order: int):
         """Each predicted byte with the ``order`` bytes before it as one number, and how often it came in a step."""
         for part in batches:
             texts = part.column(0).to_pylist()
-            for step in steps(texts):
+            for step in steps(texts, 1_000_000):
                 joined, at, _ = _stream([lowered(t) for t in texts[step]], order)
                 gram = np.zeros(len(at), np.int64)
                 for back in range(order, -1, -1):
@@ -172,7 +172,6 @@ class Predictor:
         return np.add.reduceat(out.T.ravel()[at], first, dtype=np.float64)
 
 
-_MODEL = TaskCache()
 FLAT = pa.schema([("uid", pa.int64()), ("word", pa.string()), ("tf", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
                   ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64())])
 FLAT_SQL = "uid long, word string, tf long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double"
@@ -184,7 +183,7 @@ def _score(shared, key: str, end: float, end_known: int):
         return Predictor(trie), {w: i for i, w in enumerate(head)}, head_log
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ppm, head, head_log = _MODEL.get(key, load)
+        ppm, head, head_log = TASK_CACHE.get(key, load)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, held, all_texts = (batch.column(i).to_pylist() for i in range(3))

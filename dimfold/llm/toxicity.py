@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TaskCache, id_part, in_one_task, pick, read, steps
+from dimfold.llm.common import TASK_CACHE, id_part, in_one_task, pick, read, steps
 
 LETTERS = re.compile(r"[^\W\d_]+")
 SAMPLE_DOCS, SAMPLE_CHARS = 1500, 4000
@@ -293,9 +293,6 @@ class Scorer:
         return 1 / (1 + np.exp(-worst.astype(float)))
 
 
-_SCORER = TaskCache()
-
-
 def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
     """(doc_id, text, toxic) of about ``sample_docs`` toxic and three times as many
     other labelled documents at most, outside the held-out part.
@@ -329,7 +326,7 @@ def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sam
 
     @F.pandas_udf("double")
     def worst(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        scorer = _SCORER.get(key, lambda: Scorer(shared.value))
+        scorer = TASK_CACHE.get(key, lambda: Scorer(shared.value))
         for batch in batches:
             texts = batch.tolist()
             yield pd.Series(np.concatenate([scorer.score(texts[part]) for part in steps(texts)]) if texts else [], dtype=float)

@@ -17,14 +17,15 @@ def brute_score(model, text, weight=20):
         return "und", 0.0
     for w in words:
         parts = []
-        if w in model["words"]:
-            parts = [model["words"][w]]
+        if w in model["words"][0]:
+            parts = [model["words"][1][model["words"][0][w]]]
         else:
             rest = f"{L.EDGE}{w}{L.EDGE}"
             while rest:
-                known = [n for n in range(1, model["max_gram"] + 1) if len(rest) >= n and rest[:n] in model["grams"][n - 1]]
+                known = [n for n in range(1, model["max_gram"] + 1) if len(rest) >= n and rest[:n] in model["grams"][n - 1][0]]
                 if known:
-                    parts.append(model["grams"][known[-1] - 1][rest[:known[-1]]])
+                    place, rows = model["grams"][known[-1] - 1]
+                    parts.append(rows[place[rest[:known[-1]]]])
                 rest = rest[known[-1] if known else 1:]
         for p in parts:
             for lang, x in zip(model["langs"], p):
