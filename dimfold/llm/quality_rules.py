@@ -77,12 +77,13 @@ def _repeat_words(w: Column) -> Column:
 
 
 def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.25, max_removed_share: float = 0.5,
-               min_words: int = 50, max_repeat_pct: int = 50) -> DataFrame:
+               min_words: int = 50, max_repeat_pct: int = 50, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): figures, verdict, clean text.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, removed_words, removed_lines,
-    row_hash, text, clean_text. ``clean_text`` is the text without its
+    text, clean_text, and ``carried``, a struct of the columns that ``carry``
+    names. ``clean_text`` is the text without its
     boilerplate lines (the very text if it has none).
 
     Null text: no words, ``base_failed``, clean_text null; empty text alike.
@@ -91,9 +92,10 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
     get equal results. Very long texts are worked on whole, inside their row.
     An empty table gives an empty result. Extra columns are ignored.
     """
-    base = pick(docs, doc_id="long", text="string", source="string").select(
+    base = pick(docs, **{c: "string" for c in ("text", "source", *carry)} | {"doc_id": "long"}).select(
         "doc_id", "text", F.xxhash64("source", F.col("source").isNull(), "text", F.col("text").isNull()).alias("row_hash"),
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("host"))
+        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias("host"),
+        F.struct(*(carry or [F.lit(None).alias("none")])).alias("carried"))
     full = F.coalesce(F.col("text"), F.lit(""))
     lines = base.select("doc_id", "row_hash", "host", F.split(full, "\n").alias("lines"))
     keyed = durable(lines.select("doc_id", "row_hash", "host", F.transform("lines", lambda x: let(
@@ -126,7 +128,7 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
         base.withColumn("w", words(F.col("text")))
         .withColumn("with_word", F.filter(F.split(full, "\n"), lambda x: x.rlike(HAS_WORD)))
         .select(
-            "doc_id", "row_hash", "text",
+            "doc_id", "row_hash", "text", "carried",
             F.size(w).cast("long").alias("n_words"),
             F.length(F.translate(full, BLANKS, "")).cast("long").alias("word_chars"),
             (F.length(full) - F.length(F.translate(full, SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -145,22 +147,14 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("removed_words") <= max_removed_share * F.col("n_words"))).alias("kept"),
-        "removed_words", F.size("gone").cast("long").alias("removed_lines"), "row_hash", "text", clean.alias("clean_text"))
+        "removed_words", F.size("gone").cast("long").alias("removed_lines"), "text", clean.alias("clean_text"), "carried")
 
 
 def keep_clean(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that pass, with clean texts and the columns of ``documents``.
-
-    ``lang`` and ``source`` come along inside the row; n_chars is counted anew.
-    """
-    plain = pick(docs, doc_id="long", text="string", lang="string", source="string")
-    judged = line_rules(plain, **limits).where("kept").select("doc_id", "row_hash", "clean_text")
-    # rows equal in doc_id, source and text have equal verdicts: one of them answers for all
-    verdict = judged.groupBy(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash")).agg(F.first("clean_text").alias("clean_text"))
-    mine = plain.withColumn("row_hash", F.xxhash64("source", F.col("source").isNull(), "text", F.col("text").isNull()))
-    return (
-        mine.join(verdict, mine["doc_id"].eqNullSafe(verdict["id"]) & (mine["row_hash"] == verdict["hash"]))
-        .select("doc_id", F.col("clean_text").alias("text"), "lang", "source", F.length("clean_text").cast("long").alias("n_chars")))
+    """The documents that pass, with clean texts and the columns of
+    ``documents``; n_chars is counted anew. A text is shuffled once."""
+    return line_rules(docs, carry=("lang", "source"), **limits).where("kept").select(
+        "doc_id", F.col("clean_text").alias("text"), "carried.lang", "carried.source", F.length("clean_text").cast("long").alias("n_chars"))
 
 
 #: DuckDB form of the op1 query.
@@ -218,4 +212,4 @@ FROM figures
 def query(spark, sf_dir: str) -> DataFrame:
     from dimfold.llm.common import read
 
-    return line_rules(read(spark, sf_dir, "documents")).drop("row_hash", "text", "clean_text")
+    return line_rules(read(spark, sf_dir, "documents")).drop("text", "clean_text", "carried")

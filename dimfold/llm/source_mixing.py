@@ -169,7 +169,9 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("row_hash").alias("hash"), F.col("source").alias("name"), F.col("copy").alias("nth"),
         "size", "taken", "full", "begin", "shard_size", "n", "before")
     both = mine.join(taken, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("name"))
-                     & (F.col("row_hash") == F.col("hash")) & (F.col("copy") == F.col("nth")))
+                     & (F.col("row_hash") == F.col("hash"))
+                     # no join key of its own: the rows are dealt by the window's keys already
+                     & (F.col("copy") - F.col("nth") == 0))
     rest = both.withColumn("extra", F.expr("taken - full * size"))
     copies = rest.withColumn("full", F.expr("full + if(extra = size, 1, 0)")).withColumn("part", F.expr("extra > 0 AND extra < size"))
     each = copies.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("full + if(part, 1, 0)"))))

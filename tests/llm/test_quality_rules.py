@@ -33,7 +33,7 @@ def test_figures_equal_brute_force(spark):
     bits = ["a", "bb", "C#", "é", "|", "x1", "\n", "\n", "\t", "\x0b", "  ", "\x1c"]
     rows = [(i, " ".join(rng.choice(bits) for _ in range(rng.randint(0, 90))), "s") for i in range(60)]
     rows += [(100, None, None), (101, "", "s"), (102, "one", "s"), (102, "one", "s"), (None, "a b c a b c a", "s"), (103, "w " * 30_000, "s"), (104, "a b c d", "s")]
-    df = spark.createDataFrame([r + ("k", "W") for r in rows], SCHEMA + ", kept string, Row_Hash string")
+    df = spark.createDataFrame([r + ("k", "W") for r in rows], SCHEMA + ", kept string, Carried string")
     got = Q.line_rules(df).collect()
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     want, _ = brute(rows)
