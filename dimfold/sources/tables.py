@@ -1,6 +1,7 @@
 """Parquet base tables.
 
-Tables are read lazily; Catalyst prunes the columns each query uses and pushes
+Tables are read lazily, by their declared schema where there is one (no job
+reads footers for it); Catalyst prunes the columns each query uses and pushes
 its filters into the Parquet scan (``ReadSchema`` / ``PushedFilters``).
 """
 
@@ -16,6 +17,22 @@ BASE_TABLES = (
 )
 
 
+# The declared columns of the tables that the modelling jobs read (S-2).
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table_path(sf_dir: str, name: str) -> str:
     path = os.path.join(sf_dir, f"{name}.parquet")
     if not os.path.exists(path) and os.path.isdir(os.path.join(sf_dir, name)):
@@ -26,7 +43,8 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in BASE_TABLES:
         raise KeyError(f"unknown base table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(table_path(sf_dir, name))
 
 
 class Tables:

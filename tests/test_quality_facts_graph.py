@@ -223,7 +223,7 @@ def test_new_files_are_seen_by_the_next_query(spark, tmp_path):
 
     from dimfold.plans import catalog
 
-    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
     one = lambda day: spark.createDataFrame([(day, dt.datetime(2024, 1, day, 3), 7, "view", 1.0, '{"k": 1}')], schema)
     one(10).write.mode("append").parquet(str(tmp_path / "events.parquet"))
     assert [r.date for r in catalog.q22_datelist(spark, str(tmp_path)).collect()] == ["2024-01-10"]
@@ -242,3 +242,13 @@ def test_edge_starts_equal_the_subjects_of_the_pairs(spark):
     df = spark.createDataFrame(rows_ + rows_[:20], "game_id int, player_id int, player_name string, team_abbreviation string, pts int")
     want = {r.subject_identifier for r in graph.co_occurrence_edges(df).collect()}
     assert {r.subject_identifier for r in graph.edge_starts(df).collect()} == want and want
+
+
+def test_declared_schemas_are_those_of_the_files(spark):
+    from conftest import SF_SMALL
+
+    from dimfold.sources.tables import SCHEMAS, read_table
+
+    for name in SCHEMAS:
+        found = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in read_table(spark, SF_SMALL, name).schema] == [(f.name, f.dataType) for f in found]
