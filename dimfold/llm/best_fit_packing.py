@@ -38,11 +38,11 @@ class WordCache:
     """Token ids by word; the tokenizer neither joins across blanks nor minds the case of A-Z.
 
     A full stop or comma after a letter starts a token of its own, so a word
-    that ends so is its stem and the mark. Holds ``most`` words and starts anew
-    beyond them, which costs time only.
+    that ends so is its stem and the mark. Beyond ``most`` words those met only
+    once are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 1_500_000):
+    def __init__(self, path: str, most: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -50,11 +50,17 @@ class WordCache:
         self.tokenizer.encode_special_tokens = True
         self.most = most
         self.mark = int(self._encode("|")[0])
-        self._clear()
-
-    def _clear(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.start, self.size, self.ids = (np.zeros(0, t) for t in (np.int64, np.int64, np.uint32))
+        self.start, self.size, self.uses, self.ids = (np.zeros(0, t) for t in (np.int64, np.int32, np.int32, np.uint32))
+
+    def _forget(self) -> None:
+        keep = self.uses > 1
+        if keep.mean() > 0.5:  # too little would be gained
+            keep[:] = False
+        words = [w for w, k in zip(self.place, keep.tolist()) if k]
+        size, flat = self._gather(np.flatnonzero(keep))
+        self.place, self.start, self.size, self.uses, self.ids = {}, self.start[:0], self.size[:0], self.uses[:0], self.ids[:0]
+        self._add(words, size, flat)
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
@@ -86,18 +92,19 @@ class WordCache:
 
     def _add(self, words: list[bytes], size: np.ndarray, flat: np.ndarray) -> None:
         self.place.update(zip(words, range(len(self.size), len(self.size) + len(words))))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
-        self.size, self.ids = np.concatenate([self.size, size]), np.concatenate([self.ids, flat])
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size, dtype=np.int64) - size])
+        self.size, self.ids = np.concatenate([self.size, size.astype(np.int32)]), np.concatenate([self.ids, flat])
+        self.uses = np.concatenate([self.uses, np.zeros(len(words), np.int32)])
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Sizes and ids, one after another, of the words of these numbers."""
-        size = self.size[at]
+        size = self.size[at].astype(np.int64)
         return size, self.ids[np.repeat(self.start[at] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each whole text."""
         if len(self.place) > self.most:
-            self._clear()
+            self._forget()
         split = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
         places = [np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words)) for words in split]
         unknown = [np.flatnonzero(at < 0) for at in places]
@@ -105,6 +112,9 @@ class WordCache:
             self._learn(new)
         for words, at, gaps in zip(split, places, unknown):
             at[gaps] = [self.place[words[i]] for i in gaps]
+        if places:
+            self.uses += np.bincount(np.concatenate(places), minlength=len(self.uses)).astype(np.int32)
+        for at in places:
             yield self._gather(at)[1]
 
 

@@ -53,8 +53,8 @@ ENDS = {"li": "li", "dt": "dd", "dd": "dd", "tr": "tr", "td": "td", "th": "td",
 DROP_TAGS = set("nav aside footer form head menu dialog".split())
 DROP_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog form menu menubar toolbar".split())
 DROP_WORDS = set(
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline captcha comment comments consent cookie cookies "
-    "copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay "
+    "ad ads adsbygoogle adsense advert adverts advertisement advertising alert alerts banner breadcrumb breadcrumbs byline captcha comment comments consent cookie cookies "
+    "copyright disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay "
     "pager pagination paywall popup promo promoted promotion recommended related replies respond search share sharing sidebar signup sitemap social "
     "sponsor sponsored subscribe subscription teaser toolbar topbar widget".split())
 CONTENT_WORDS = set("article content entry main post story text body".split())

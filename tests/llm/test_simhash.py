@@ -78,6 +78,23 @@ def test_links_lose_no_pair(spark, split):
     assert links.count() < 40 * len(fps)
 
 
+def test_components_of_long_paths_and_stars(spark):
+    rng = random.Random(11)
+    names = rng.sample(range(-10_000, 10_000), 700)
+    pairs = list(zip(names[:300], names[1:300])) + [(names[300], n) for n in names[301:500]] + [
+        (rng.choice(names[500:]), rng.choice(names[500:])) for _ in range(180)]
+    group = {n: n for p in pairs for n in p if p[0] != p[1]}
+    for _ in range(len(group)):
+        before = dict(group)
+        for a, b in pairs:
+            if a != b:
+                group[a] = group[b] = min(group[a], group[b])
+        if group == before:
+            break
+    got = {r.node: r.component for r in connected_components(spark.createDataFrame(pairs + pairs[:50], "a long, b long")).collect()}
+    assert got == group
+
+
 def test_edges_of_the_input(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a b c d e"), (4, "a b c d e"), (None, "a b c d e"), (9, "q"), (None, "lonely words here")]
     df = spark.createDataFrame([r + ("x", "y") for r in rows], SCHEMA + ", fp string, Text string")
