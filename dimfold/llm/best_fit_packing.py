@@ -42,7 +42,7 @@ class WordCache:
     once are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -165,10 +165,9 @@ def _pieces(path: str, capacity: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for part in steps(texts):
-                rows = []
-                for doc, ids in zip(docs[part], token_ids(texts[part], path)):
+            for part in steps(batch.column(1)):
+                rows, some = [], batch.slice(part.start, part.stop - part.start)
+                for doc, ids in zip(some.column(0).to_pylist(), token_ids(some.column(1).to_pylist(), path)):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                     for n, start in enumerate(range(0, len(ids), capacity)):
                         piece = ids[start:start + capacity]

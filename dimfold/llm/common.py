@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,20 +91,20 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def steps(texts: list[str | None], chars: int = 2_000_000) -> Iterator[slice]:
-    """Slices of ``texts`` with about ``chars`` characters, at least one text each.
+def steps(texts: pa.Array | list[str | None], size: int = 2_000_000) -> Iterator[slice]:
+    """Slices of ``texts`` with about ``size`` bytes (characters of a list), at least one text each.
 
     Bounds what a task holds of a batch in a step's working form.
     """
+    lengths = [len(t or "") for t in texts] if isinstance(texts, list) else pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     at, held = 0, 0
-    for i, t in enumerate(texts):
-        size = len(t or "")
-        if held and held + size > chars:
+    for i, length in enumerate(lengths):
+        if held and held + length > size:
             yield slice(at, i)
             at, held = i, 0
-        held += size
-    if at < len(texts):
-        yield slice(at, len(texts))
+        held += length
+    if at < len(lengths):
+        yield slice(at, len(lengths))
 
 
 class TaskCache:

@@ -55,9 +55,8 @@ def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each predicted byte with the ``order`` bytes before it as one number, and how often it came in a step."""
         for part in batches:
-            texts = part.column(0).to_pylist()
-            for step in steps(texts, 1_000_000):
-                joined, at, _ = _stream([lowered(t) for t in texts[step]], order)
+            for step in steps(part.column(0), 1_000_000):
+                joined, at, _ = _stream([lowered(t) for t in part.column(0)[step].to_pylist()], order)
                 gram = np.zeros(len(at), np.int64)
                 for back in range(order, -1, -1):
                     gram = gram << 8 | joined[at - back]
@@ -186,9 +185,9 @@ def _score(shared, key: str, end: float, end_known: int):
         ppm, head, head_log = TASK_CACHE.get(key, load)
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, held, all_texts = (batch.column(i).to_pylist() for i in range(3))
-            for step in steps(all_texts, 1_000_000):
-                texts = [lowered(t) for t in all_texts[step]]
+            ids, held = (batch.column(i).to_pylist() for i in range(2))
+            for step in steps(batch.column(2), 1_000_000):
+                texts = [lowered(t) for t in batch.column(2)[step].to_pylist()]
                 main, tail = [], ([], [], [])
                 for t in texts:
                     w = t.split()
