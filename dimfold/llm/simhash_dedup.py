@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dimfold.llm.common import durable, pick, read
+from dimfold.llm.common import dealt_anew, durable, pick, read
 from dimfold.llm.components import connected_components
 
 MAX_DISTANCE = 4
@@ -225,8 +225,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = MAX_D
     comps = connected_components(fingerprint_links(classes, max_distance, split_rows))
     placed = classes.join(comps, classes["fp"] == comps["node"], "left").select(
         "fp", "least_id", F.coalesce("component", "fp").alias("group"))
-    ids = placed.groupBy("group").agg(F.min("least_id").alias("component_id"))
-    by_fp = placed.join(ids, "group").select("fp", "group", "component_id")
+    ids = placed.groupBy("group").agg(F.min("least_id").alias("component_id"), F.count("*").alias("n"))
+    by_fp = placed.join(dealt_anew(ids, "n", "group"), "group").select("fp", "group", "component_id")
     return marked.join(by_fp, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "group", "row_hash")
 
