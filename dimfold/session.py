@@ -106,7 +106,6 @@ def cluster_conf(input_bytes: int, executor_memory_gb: int = 16, executor_cores:
         "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 ** 2),
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(advisory),
-        "spark.sql.parquet.aggregatePushdown": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
         "spark.task.maxFailures": "8",

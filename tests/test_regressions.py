@@ -1,0 +1,85 @@
+"""Behaviour that once went wrong, and plans that once did needless work."""
+
+import datetime as dt
+import re
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL, rows
+from dimfold.operators import activity, reduced, scd, state
+from dimfold.plans import catalog
+
+D = dt.date
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_users_with_an_empty_or_null_list_stay_in_the_report(spark):
+    df = spark.createDataFrame([(1, D(2024, 1, 2), [D(2024, 1, 2)]), (2, D(2024, 1, 3), []), (3, D(2024, 1, 4), None)],
+                               "user_id long, date date, active_dates array<date>")
+    got = rows(activity.activity_report(df, D(2024, 1, 1), D(2024, 1, 5)))
+    assert [(r[0], r[1]) for r in got] == [(1, 1), (2, 0), (3, 0)]
+
+
+def test_a_repeated_date_counts_once_in_the_reference_bitmap(spark):
+    day = D(2024, 1, 10)
+    df = spark.createDataFrame([(1, [D(2024, 1, 9), D(2024, 1, 8)]), (2, [D(2024, 1, 9), D(2024, 1, 9), D(2024, 1, 8)])], "user_id long, dates_active array<date>")
+    a, b = (r.datelist_int for r in activity.datelist_bits(df, day, D(2024, 1, 1), reference=True).orderBy("user_id").collect())
+    assert a == b == 2 ** 31 + 2 ** 30
+
+
+def test_a_rewritten_period_without_rows_is_emptied(spark, tmp_path):
+    path = str(tmp_path / "t")
+    two = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2))], "k int, date date")
+    state.write_period(two, path, ["date"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "STATIC")
+    state.write_period(two.where("k = 9"), path, ["date"], rewritten=[(D(2024, 1, 2),)])
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+    assert rows(spark.read.parquet(path).select("k")) == [(1,)]
+
+
+def test_daily_steps_read_and_return_one_month(spark, tmp_path):
+    path = str(tmp_path / "m")
+    old = spark.createDataFrame([(D(2023, 12, 1), "h", [1] * 31, [1] * 31), (D(2024, 1, 1), "h", [2] + [0] * 30, [1] + [0] * 30)],
+                                "month date, host string, hit_array array<int>, unique_visitors_array array<int>")
+    old.write.partitionBy("month").parquet(path)
+    ev = spark.createDataFrame([(7, dt.datetime(2024, 1, 2, 3), "h")], "user_id long, event_time timestamp, host string")
+    st = spark.read.parquet(path).select(F.col("month").cast("date"), "host", "hit_array", "unique_visitors_array")
+    step = reduced.monthly_arrays_step(st, ev, F.lit(D(2024, 1, 2)))
+    assert re.search(r"PartitionFilters: \[[^\]]*month", plan_of(step))
+    assert [(r.month, r.hit_array[:2]) for r in step.collect()] == [(D(2024, 1, 1), [2, 1])]
+    metric = spark.createDataFrame([(7, D(2023, 12, 1), "site_hits", [1.0]), (7, D(2024, 1, 1), "other", [5.0])],
+                                   "user_id long, month_start date, metric_name string, metric_array array<float>")
+    got = rows(reduced.metric_array_step(metric, ev, F.lit(D(2024, 1, 2))))
+    assert got == sorted([(7, D(2024, 1, 1), "other", [5.0]), (7, D(2024, 1, 1), "site_hits", [0.0, 1.0])], key=repr)
+
+
+def test_merge_of_a_new_key_starts_at_its_debut(spark):
+    """The rebuild also writes a new key's periods before its debut; the merge does not, as its docstring says."""
+    df = spark.createDataFrame([("a", 2001, "good", True, 1), ("a", 2002, "good", True, 1), ("a", 2003, "good", True, 1), ("b", 2003, "bad", True, 1)],
+                               "id string, y int, q string, act boolean, n int")
+    kw = dict(defaults={"act": False, "n": 0}, fill="q")
+    hist = scd.scd2_change_points(df.where("y < 2003"), "id", "y", ["q", "act", "n"], lo=2001, hi=2002, **kw)
+    merged, counts = scd.scd2_merge(hist, df, "id", "y", ["q", "act", "n"], last_processed=2002, fill="q")
+    full = scd.scd2_change_points(df, "id", "y", ["q", "act", "n"], lo=2001, hi=2003, **kw)
+    assert rows(merged) == sorted([("a", 2001, 2003, "good", True, 1, True), ("b", 2003, 2003, "bad", True, 1, True)], key=repr)
+    assert set(rows(full)) - set(rows(merged)) == {("b", 2001, 2002, None, False, 0, False)}
+    assert rows(counts) == [(1, 1)]
+
+
+def test_plans_without_needless_work(spark):
+    one = lambda name: plan_of(getattr(catalog, name)(spark, SF_SMALL))
+    for name in ("q09_scd2_merge", "q09b_scd2_merge_ref", "q10_scd2_merge_counts", "q10b_scd2_merge_counts_ref"):
+        assert "SortMergeJoin" not in one(name)
+    assert one("q05_entity_history").count("FileScan") == 4 and one("q08_scd2_change_points").count("FileScan") == 2
+    assert one("q07b_scd2_increment_ref").count("FileScan") == 6 and "edge_type" not in one("q21_points_per_game")
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    try:
+        catalog.q12_duplicate_rows(spark, SF_SMALL)
+        catalog.q15_fact_team_join(spark, SF_SMALL)
+        assert not jobs.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
