@@ -107,7 +107,7 @@ class Scorer:
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
         out = []
         for t in split:
-            if not t or not langs:
+            if not langs or not any(c.isalpha() for w in t for c in w):  # signs like a half pass for word characters
                 out.append((UNDETERMINED, 0.0))
                 continue
             sums = self.rows[np.fromiter(map(self.place.__getitem__, t), np.int64, len(t))].sum(0)

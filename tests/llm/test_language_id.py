@@ -13,7 +13,7 @@ FR = "le chat et les chiens de la maison avec une autre"
 def brute_score(model, text, weight=20):
     """Word by word, without caches or arrays."""
     words, total = L.LETTERS.findall((text or "").lower()), {lang: 0.0 for lang in model["langs"]}
-    if not words or not total:
+    if not total or not any(c.isalpha() for c in text or ""):
         return "und", 0.0
     for w in words:
         parts = []
@@ -37,7 +37,7 @@ def brute_score(model, text, weight=20):
 
 def test_scores_equal_brute_force():
     model = L.fit([(EN, "en"), (EN + " zebra", "en"), (FR, "fr"), (FR + " zèbre", "fr")], max_words=8, max_grams=60)
-    texts = [EN, FR, "the chats of la dogs", "unseen cathouse maisonette", "ß 漢字 x", "", None, "12 !?", "the " * 500 + "le " * 3]
+    texts = [EN, FR, "the chats of la dogs", "unseen cathouse maisonette", "ß 漢字 x", "", None, "12 !?", "½ ² Ⅷ", "the " * 500 + "le " * 3]
     for most in (9, 1000):
         scorer = L.Scorer(model, most=most)
         for _ in range(2):
