@@ -6,13 +6,14 @@ decoded to the index of its nearest codeword; a segment 3 bits off also takes
 the five codewords 4 bits away. Two segments that differ in at most two bits
 then share an index. With at most four differing bits in all (g1, g2, r):
 
-* g1 <= 2 and g2 <= 2: both long segments share an index;
-* g1 >= 3: then g2 + r <= 1, so r = 0 and the second shares an index, or g2 = 0
-  and the short segment does;
+* none over 2: all three segments share an index;
+* r >= 3: then g1 + g2 <= 1, one long segment is equal and the other shares an index;
+* g1 >= 3: then g2 + r <= 1, one of the two is equal and the other shares an index;
 * g2 >= 3: the same with the long segments exchanged.
 
-Each case is one family of join keys (about 49 keys a fingerprint, of 24 to 35
-bits), and every candidate pair is verified by its bit distance.
+Each case is a family of join keys, seven in all (about 180 keys a fingerprint, of
+30 to 36 bits), and every candidate pair is verified by its bit distance. Of two
+random fingerprints fewer than one pair in two million share a key.
 
 Scale: documents of one fingerprint are one class before any key is made. A
 bucket is turned into a spanning forest where it is found, not into its pairs,
@@ -94,15 +95,16 @@ def segment_keys(segment: np.ndarray) -> np.ndarray:
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for whole in batches:
-        for at in range(0, len(whole), 20_000):
-            signed = whole["fp"].to_numpy(np.int64)[at:at + 20_000]
+        for at in range(0, len(whole), 4_000):
+            signed = whole["fp"].to_numpy(np.int64)[at:at + 4_000]
             fp = signed.view(np.uint64)
             low = (1 << LONG_BITS) - 1
             one, two, short = (fp & low).astype(np.int64), (fp >> 23 & low).astype(np.int64), (fp >> 46).astype(np.int64)
             k1, k2, k3 = segment_keys(one), segment_keys(two), segment_keys(short)
-            families = (
-                (k1[:, :, None] << 12 | k2[:, None, :]).reshape(len(fp), -1), ((k1[:, :, None] >= 0) & (k2[:, None, :] >= 0)).reshape(len(fp), -1),
-            ), (short[:, None] << 12 | k2, k2 >= 0), (two[:, None] << 12 | k3, k3 >= 0), (short[:, None] << 12 | k1, k1 >= 0), (one[:, None] << 12 | k3, k3 >= 0)
+            a, b, c = k1[:, :, None, None], k2[:, None, :, None], k3[:, None, None, :]
+            all_three = (a << 24 | b << 12 | c).reshape(len(fp), -1), ((a >= 0) & (b >= 0) & (c >= 0)).reshape(len(fp), -1)
+            equal_and_near = ((one, k2), (two, k1), (short, k2), (two, k3), (short, k1), (one, k3))
+            families = [all_three, *((equal[:, None] << 12 | near, near >= 0) for equal, near in equal_and_near)]
             for n, (key, real) in enumerate(families):
                 yield pd.DataFrame({"key": (key | n << 40)[real], "fp": np.broadcast_to(signed[:, None], key.shape)[real]})
 

@@ -118,3 +118,24 @@ def test_whole_table_against_brute_force(spark):
 
     got = {(r.doc_id, r.fingerprint, r.component_id) for r in QUERIES["op3_simhash_dedup"](spark, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_every_error_pattern_shares_a_key():
+    """All ways to spread up to four bit errors over the segments."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    pairs = []
+    for g1 in range(5):
+        for g2 in range(5 - g1):
+            for r in range(5 - g1 - g2):
+                for _ in range(40):
+                    x = int(rng.integers(0, 2 ** 63)) * 2 + int(rng.integers(0, 2))
+                    flips = [*rng.choice(23, g1, False), *(23 + rng.choice(23, g2, False)), *(46 + rng.choice(18, r, False))]
+                    pairs.append((x, x ^ sum(1 << int(f) for f in flips)))
+    signed = lambda v: v - 2 ** 64 if v >= 2 ** 63 else v
+    every = sorted({signed(v) for p in pairs for v in p})
+    keys = pd.concat(S._keys(iter([pd.DataFrame({"fp": every})])))
+    by = {fp: set(k) for fp, k in keys.groupby("fp")["key"]}
+    assert all(by[signed(a)] & by[signed(b)] for a, b in pairs)
+    assert 100 < len(keys) / len(every) < 260
