@@ -91,11 +91,12 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(folder)
 
 
-def steps(texts: pa.Array | list[str | None], size: int = 2_000_000) -> Iterator[slice]:
+def steps(texts: pa.Array | list[str | None], size: int = 1_000_000) -> Iterator[slice]:
     """Slices of ``texts`` with about ``size`` bytes (characters of a list), at least one text each.
 
     Bounds what a task holds of a batch in a step's working form.
     """
+    pa.default_memory_pool().release_unused()  # of the batch before
     lengths = [len(t or "") for t in texts] if isinstance(texts, list) else pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     at, held = 0, 0
     for i, length in enumerate(lengths):

@@ -55,7 +55,7 @@ def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each predicted byte with the ``order`` bytes before it as one number, and how often it came in a step."""
         for part in batches:
-            for step in steps(part.column(0), 1_000_000):
+            for step in steps(part.column(0)):
                 joined, at, _ = _stream([lowered(t) for t in part.column(0)[step].to_pylist()], order)
                 gram = np.zeros(len(at), np.int64)
                 for back in range(order, -1, -1):
@@ -186,7 +186,7 @@ def _score(shared, key: str, end: float, end_known: int):
         uid = TaskContext.get().partitionId() << 40
         for batch in batches:
             ids, held = (batch.column(i).to_pylist() for i in range(2))
-            for step in steps(batch.column(2), 1_000_000):
+            for step in steps(batch.column(2)):
                 texts = [lowered(t) for t in batch.column(2)[step].to_pylist()]
                 main, tail = [], ([], [], [])
                 for t in texts:
