@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import pickle
 import uuid
@@ -91,12 +93,19 @@ def stage_table(df: DataFrame) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: an idle worker else keeps its peak."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def steps(texts: pa.Array | list[str | None], size: int = 1_000_000) -> Iterator[slice]:
     """Slices of ``texts`` with about ``size`` bytes (characters of a list), at least one text each.
 
     Bounds what a task holds of a batch in a step's working form.
     """
-    pa.default_memory_pool().release_unused()  # of the batch before
+    give_back()  # what the batch before held
     lengths = [len(t or "") for t in texts] if isinstance(texts, list) else pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     at, held = 0, 0
     for i, length in enumerate(lengths):

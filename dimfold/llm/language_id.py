@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimfold.llm.common import TASK_CACHE, id_part, in_one_task, pick, read, steps
+from dimfold.llm.common import TASK_CACHE, give_back, id_part, in_one_task, pick, read, steps
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -147,6 +147,7 @@ def predictor(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int
             texts = batch.tolist()
             got = [x for part in steps(texts) for x in scorer.score(texts[part])]
             yield pd.DataFrame(got, columns=["lang", "score"])
+            give_back()
 
     return predict.asNondeterministic()  # else Catalyst runs it again for a filter on its result
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dimfold.llm.common import dealt_anew, durable, pick, read
+from dimfold.llm.common import dealt_anew, durable, give_back, pick, read
 from dimfold.llm.components import connected_components
 
 MAX_DISTANCE = 4
@@ -220,6 +220,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = MAX_D
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in batch], np.uint64).view(np.int64))
+            give_back()
 
     marked = durable(pick(docs, doc_id="long", text="string").select(
         "doc_id", F.xxhash64("text").alias("row_hash"), simhash("text").alias("fp")))
