@@ -42,7 +42,7 @@ class WordCache:
     once are forgotten, which costs time only.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
 
@@ -165,7 +165,7 @@ def _pieces(path: str, capacity: int, with_ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch.column(1)):
+            for part in steps(batch.column(1), 2_000_000):
                 rows, some = [], batch.slice(part.start, part.stop - part.start)
                 for doc, ids in zip(some.column(0).to_pylist(), token_ids(some.column(1).to_pylist(), path)):
                     ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
