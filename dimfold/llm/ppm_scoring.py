@@ -10,10 +10,13 @@ of its end, from the context of a start.
 Beside it stands the base: a unigram model over words, smoothed by a half.
 
 Scale: windows of ``order`` + 1 bytes are counted over the whole corpus, merged
-before the shuffle. The trie keeps at most ``max_nodes`` contexts, those of the
-highest counts, which bounds what is collected and broadcast. Scoring is two table
-look-ups a byte, many places of the texts side by side. Of the word counts at most ``head``, the most frequent, are
-broadcast; all other words meet their counts in one join by word.
+before the shuffle; every context counts. The ``max_nodes`` most frequent contexts
+at most are broadcast as a trie, which scores by two table look-ups a byte, many
+places of the texts side by side. It is exact where the whole context of ``order``
+bytes is in it. All other windows get their probabilities in groups of the two
+bytes before the predicted one, and meet their texts in one join. Of the word
+counts at most ``head``, the most frequent, are broadcast too; all other words meet
+their counts in that same join.
 """
 
 from __future__ import annotations
@@ -51,21 +54,35 @@ def _stream(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.
     return joined, np.arange(int(size.sum())) + np.repeat((np.arange(len(texts)) + 1) * order, size), first
 
 
+def _gram(joined: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
+    """The bytes at the places ``at``, each with the ``order`` bytes before it as one number."""
+    gram = np.zeros(len(at), np.int64)
+    for back in range(order, -1, -1):
+        gram = gram << 8 | joined[at - back]
+    return gram
+
+
 def _count_grams(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each predicted byte with the ``order`` bytes before it as one number, and how often it came in a step."""
+        """Each predicted byte with its context as one number, and how often it came in a step's texts that are learned from."""
         for part in batches:
+            learn = np.array(part.column(1).to_pylist(), np.int64)
             for step in steps(part.column(0)):
-                joined, at, _ = _stream([lowered(t) for t in part.column(0)[step].to_pylist()], order)
-                gram = np.zeros(len(at), np.int64)
-                for back in range(order, -1, -1):
-                    gram = gram << 8 | joined[at - back]
-                gram, n = np.unique(gram, return_counts=True)
+                texts = [lowered(t) for t in part.column(0)[step].to_pylist()]
+                joined, at, _ = _stream(texts, order)
+                gram, place = np.unique(_gram(joined, at, order), return_inverse=True)
+                n = np.bincount(place, np.repeat(learn[step], [len(t) + 1 for t in texts])).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
 
     return run
 
 
+def gram_counts(texts: DataFrame, order: int) -> DataFrame:
+    """(gram, n) of ``texts`` (text, learn): every window of the texts, and its count in those with ``learn``."""
+    counted = texts.mapInArrow(_count_grams(order), "gram long, n long")
+    return durable(counted.groupBy("gram").agg(F.sum("n").alias("n")))
+
+
 def floor_of(counted: DataFrame, count: str, most: int) -> int:
     """The smallest count such that at most ``most`` rows of ``counted`` reach it.
 
@@ -82,20 +99,78 @@ def floor_of(counted: DataFrame, count: str, most: int) -> int:
 
 
 def train(texts: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES) -> dict:
-    """The trie of ``texts`` (one text column): length k, context, symbol and count of its edges.
+    """The trie of ``texts`` (one text column)."""
+    return trie_of(gram_counts(texts.select("*", F.lit(True)), order), order, max_nodes)
+
+
+def trie_of(grams: DataFrame, order: int, max_nodes: int) -> dict:
+    """The trie of ``gram_counts``: length k, context, symbol and count of its edges.
 
     It holds the contexts that reach a count, the smallest one that leaves at
     most ``max_nodes`` of them, and all their followers.
     """
-    grams = texts.mapInArrow(_count_grams(order), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     lengths = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.expr(f"(gram >> 8) & {(1 << 8 * k) - 1}L").alias("ctx")) for k in range(order + 1)]))
-    edges = durable(grams.select(lengths.alias("c"), F.expr("gram & 255").alias("symbol"), "n").groupBy("c.k", "c.ctx", "symbol").agg(F.sum("n").alias("n")))
+    edges = durable(grams.where(F.col("n") > 0).select(lengths.alias("c"), F.expr("gram & 255").alias("symbol"), "n").groupBy("c.k", "c.ctx", "symbol").agg(F.sum("n").alias("n")))
     nodes = durable(edges.groupBy("k", "ctx").agg(F.sum("n").alias("all")))
     kept = nodes.where(F.col("all") >= floor_of(nodes, "all", max_nodes)).select("k", "ctx")
     table = edges.join(F.broadcast(kept), ["k", "ctx"]).select("k", "ctx", "symbol", "n").toArrow()
     return {"order": order, **{c: table[c].to_numpy().astype(np.int64) for c in ("k", "ctx", "symbol", "n")}}
 
 
+def _levels(grams: np.ndarray, n: np.ndarray, lengths: range, below: dict | None) -> dict:
+    """The distinct (context, symbol) pairs of the last of ``lengths``, sorted, with count and probability.
+
+    ``grams`` hold all windows of the contexts concerned; ``below`` is the
+    result for contexts one byte shorter. ``rest`` is the probability of a
+    symbol that did not follow the context, after the escape from it.
+    """
+    for k in lengths:
+        pair, place = np.unique(grams & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+        count = np.bincount(place, n, len(pair))
+        _, node = np.unique(pair >> 8, return_inverse=True)
+        met = count > 0
+        total, kinds = np.bincount(node, count)[node], np.bincount(node, met)[node]
+        if below is None:
+            rest = np.full(len(pair), 1 / max(1, 256 - np.count_nonzero(met)))
+            older = np.full(len(pair), 1 / 256)
+        else:
+            up = np.searchsorted(below["pair"], pair & ((1 << 8 * k) - 1))
+            left = below["total"][up] - np.bincount(node, below["count"][up] * met)[node]
+            new = below["kinds"][up] - kinds
+            size = np.maximum(left + new, 1)
+            rest = np.where(below["count"][up] > 0, below["count"][up] / size, np.where(new > 0, new / size, 1) * below["rest"][up])
+            older = below["p"][up]
+        p = np.where(total > 0, np.where(met, count, kinds * rest) / np.maximum(total + kinds, 1), older)
+        below = {"pair": pair, "count": count, "total": total, "kinds": kinds, "rest": rest, "p": p}
+    return below
+
+
+def _keys(grams: np.ndarray) -> pa.Array:
+    """Join keys of windows; no word has their first byte."""
+    return pa.Array.from_buffers(pa.binary(8), len(grams), [None, pa.py_buffer((grams | -1 << 56).astype(">i8").tobytes())]).cast(pa.binary())
+
+
+def gram_scores(grams: DataFrame, trie: dict) -> DataFrame:
+    """(known, log): join key and log10 probability of the windows whose context is not in ``trie``.
+
+    Windows with the same last two bytes of context are a group: all shorter
+    contexts but those of no and one byte, at most 65,536 pairs, are of one group.
+    """
+    order, split = trie["order"], min(2, trie["order"])
+    short = grams.groupBy((F.col("gram").bitwiseAND((1 << 8 * split) - 1)).alias("pair")).agg(F.sum("n").alias("n")).toArrow()
+    below = _levels(short["pair"].to_numpy(), short["n"].to_numpy(), range(split), None)
+    shared = grams.sparkSession.sparkContext.broadcast((below, np.unique(trie["ctx"][trie["k"] == order])))
+
+    def run(group: pa.Table) -> pa.Table:
+        below, known = shared.value
+        got = _levels(group["gram"].to_numpy(), group["n"].to_numpy(), range(split, order + 1), below)
+        tail = ~np.isin(got["pair"] >> 8, known)
+        return pa.table({"known": _keys(got["pair"][tail]), "log": np.log10(np.maximum(got["p"][tail], 1e-30))})
+
+    last = F.expr(f"(gram >> 8) & {(1 << 8 * split) - 1}L")
+    return grams.select("gram", "n", last.alias("last")).groupBy("last").applyInArrow(run, "known binary, log double")
+
+
 class Predictor:
     """The trie as a state machine: a state is the longest known context, a
     byte has a log10 probability in it and leads to the next state.
@@ -119,6 +194,7 @@ class Predictor:
         edge_node, edge_symbol, edge_n = place[sort], self.symbol[trie["symbol"][sort]], trie["n"][sort]
         self.table = np.empty((len(nodes), width), np.float32)
         self.next = np.zeros((len(nodes), width), np.int32)
+        self.whole = np.searchsorted(k, self.order)  # the first context of ``order`` bytes
         base, below = 0, np.searchsorted(k, 1)
         seen = novel = None  # of the contexts one byte shorter
         for length in range(self.order + 1):
@@ -151,29 +227,53 @@ class Predictor:
         self.width = width
         self.flat_table, self.flat_next = self.table.ravel(), self.next.ravel()
 
-    def log10(self, texts: list[bytes]) -> np.ndarray:
-        """Log10 probability of each text. The stream is cut into lanes that
+    def _places(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The stream of ``texts``, its places and texts' first places; log10
+        probability by place and if its whole context is known. The stream is cut into lanes that
         run side by side; a lane starts ``order`` bytes early, which is all that a state knows."""
-        if not texts:
-            return np.zeros(0)
         joined, at, first = _stream(texts, self.order)
         lanes = -(-len(joined) // LANE)
         padded = np.full(self.order + lanes * LANE, EDGE, np.uint8)
         padded[self.order:self.order + len(joined)] = joined
         symbols = self.symbol[padded].astype(np.int64)
         begin = np.arange(lanes) * LANE
-        state, out = np.zeros(lanes, np.int64), np.empty((LANE, lanes), np.float32)
+        state, out, whole = np.zeros(lanes, np.int64), np.empty((LANE, lanes), np.float32), np.empty((LANE, lanes), bool)
         for i in range(LANE + self.order):
             cell = state * self.width + symbols[begin + i]
             if i >= self.order:
                 out[i - self.order] = self.flat_table[cell]
+                whole[i - self.order] = state >= self.whole
             state = self.flat_next[cell].astype(np.int64)
-        return np.add.reduceat(out.T.ravel()[at], first, dtype=np.float64)
-
+        return joined, at, first, out.T.ravel()[at], whole.T.ravel()[at]
 
-FLAT = pa.schema([("uid", pa.int64()), ("word", pa.string()), ("tf", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
+    def log10(self, texts: list[bytes]) -> np.ndarray:
+        """Log10 probability of each text by the contexts of this trie."""
+        if not texts:
+            return np.zeros(0)
+        _, _, first, out, _ = self._places(texts)
+        return np.add.reduceat(out, first, dtype=np.float64)
+
+    def known(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Log10 probability of each text's places whose whole context is
+        known; number of the text, window and count of all others."""
+        joined, at, first, out, whole = self._places(texts)
+        other = np.flatnonzero(~whole)
+        gram, owner = _gram(joined, at[other], self.order), np.searchsorted(first, other, "right") - 1
+        sort = np.lexsort((gram, owner))
+        gram, owner = gram[sort], owner[sort]
+        new = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][:len(gram)])
+        n = np.diff(np.r_[new, len(gram)])
+        return np.add.reduceat(np.where(whole, out, 0), first, dtype=np.float64), owner[new], gram[new], n
+
+
+FLAT = pa.schema([("uid", pa.int64()), ("key", pa.binary()), ("tf", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
                   ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64())])
-FLAT_SQL = "uid long, word string, tf long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double"
+FLAT_SQL = "uid long, key binary, tf long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double"
+
+
+def _tail(uid, key: pa.Array, tf) -> pa.RecordBatch:
+    """Rows that wait for the join."""
+    return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), key, pa.array(tf, pa.int64()), *(pa.nulls(len(key), f.type) for f in list(FLAT)[3:])], schema=FLAT)
 
 
 def _score(shared, key: str, end: float, end_known: int):
@@ -188,12 +288,15 @@ def _score(shared, key: str, end: float, end_known: int):
             ids, held = (batch.column(i).to_pylist() for i in range(2))
             for step in steps(batch.column(2)):
                 texts = [lowered(t) for t in batch.column(2)[step].to_pylist()]
+                scores, owner, gram, times = ppm.known(texts)
+                if len(gram):
+                    yield _tail(owner + uid, _keys(gram), times)
                 main, tail = [], ([], [], [])
                 for t in texts:
                     w = t.split()
                     at = np.fromiter(map(head.get, w, repeat(-1)), np.int64, len(w))
                     known = at[at >= 0]
-                    main.append((uid, f"\0{uid}", 0, len(w) + 1, len(known) + end_known, float(head_log[known].sum()) + end))
+                    main.append((uid, b"\xff%d" % uid, 0, len(w) + 1, len(known) + end_known, float(head_log[known].sum()) + end))
                     if len(known) < len(w):
                         rare = Counter(w[i] for i in np.flatnonzero(at < 0))
                         tail[0].extend(repeat(uid, len(rare)))
@@ -203,11 +306,9 @@ def _score(shared, key: str, end: float, end_known: int):
                 uids, marks, tf, n, seen, base = zip(*main)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(uids, pa.int64()), pa.array(marks), pa.array(tf, pa.int64()), pa.array(ids[step], pa.int64()), pa.array(held[step]),
-                    pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(ppm.log10(texts))], schema=FLAT)
+                    pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores)], schema=FLAT)
                 if tail[0]:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(tail[0], pa.int64()), pa.array(tail[1], pa.binary()).cast(pa.string()), pa.array(tail[2], pa.int64()),
-                        *(pa.nulls(len(tail[0]), f.type) for f in list(FLAT)[3:])], schema=FLAT)
+                    yield _tail(tail[0], pa.array(tail[1], pa.binary()), tail[2])
 
     return run
 
@@ -232,18 +333,23 @@ def score(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, head:
     n, kinds = total.tokens + ends, total.kinds + (ends > 0)
     below = n + 0.5 * (kinds + 1)
     often = counts.where(F.col("c") >= floor_of(counts, "c", head)).orderBy("word").collect()
+    grams = gram_counts(plain.select("text", ~F.col("held_out")), order)
+    trie = trie_of(grams, order, max_nodes)
     shared = spark.sparkContext.broadcast((
-        train(train_docs.select("text"), order, max_nodes), [r.word.encode("utf-8", "replace") for r in often], np.log10((np.array([r.c for r in often], float) + 0.5) / below)))
+        trie, [r.word.encode("utf-8", "replace") for r in often], np.log10((np.array([r.c for r in often], float) + 0.5) / below)))
     flat = plain.select("doc_id", "held_out", "text").mapInArrow(
         _score(shared, uuid.uuid4().hex, float(np.log10((ends + 0.5) / below)), int(ends > 0)), FLAT_SQL)
-    met = flat.join(counts.withColumnRenamed("word", "known"), F.col("word") == F.col("known"), "left")
-    rare = F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(below))
+    known = counts.select(F.col("word").cast("binary").alias("known"), "c", F.lit(None).cast("double").alias("log")).unionByName(
+        gram_scores(grams, trie), allowMissingColumns=True)
+    met = flat.join(known, F.col("key") == F.col("known"), "left")
+    rare = F.when(F.col("log").isNull(), F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(below)))
     by_row = met.groupBy("uid").agg(
         *[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "head_known", "head_score", "score")],
-        F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("tail_known"), F.sum(rare).alias("tail_score"))
+        F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("tail_known"), F.sum(rare).alias("tail_score"),
+        F.coalesce(F.sum(F.col("tf") * F.col("log")), F.lit(0.0)).alias("rest"))
     return by_row.select(
         "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.col("tail_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.col("tail_score")).alias("base_score"), "score")
+        (F.col("head_score") + F.col("tail_score")).alias("base_score"), (F.col("score") + F.col("rest")).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -102,5 +102,15 @@ def test_score_against_brute_force(spark, texts):
         assert np.allclose([g[6] for g in got], [w[6] for w in want], atol=0.02)
 
 
+def test_contexts_outside_the_broadcast_trie_count(spark, texts):
+    rows = list(enumerate(texts * 2))
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    counts = brute_counts([t for i, t in rows if not held(i)], 5)
+    want = [brute_log10(counts, t, 5) for _, t in rows]
+    for most in (0, 20, 200):
+        got = S.score(spark.createDataFrame(rows, "doc_id long, text string"), max_nodes=most).orderBy("doc_id").collect()
+        assert np.allclose([r.score for r in got], want, rtol=1e-4, atol=1e-4)
+
+
 def test_empty_table(spark):
     assert S.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
