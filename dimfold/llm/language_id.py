@@ -9,7 +9,7 @@ best language with the evidence of a text counted per word, up to ``weight``
 words.
 
 Scale: the model is fitted on a sample bounded by ``sample_docs`` documents a
-language, drawn by hash, and keeps at most ``max_words`` words and
+language, drawn by hash; their whole texts are counted in tasks, merged by word. It keeps at most ``max_words`` words and
 ``max_grams`` n-grams a language, which bounds the broadcast. Prediction is one
 pass over whole texts without a shuffle.
 """
@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +32,8 @@ from dimfold.llm.common import TASK_CACHE, give_back, id_part, in_one_task, pick
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-SAMPLE_DOCS, SAMPLE_CHARS = 500, 5_000
-MAX_WORDS, MAX_GRAMS, MAX_GRAM = 20_000, 10_000, 5
+SAMPLE_DOCS, SAMPLE_CHARS = 1000, None  # the whole texts of the drawn rows
+MAX_WORDS, MAX_GRAMS, MAX_GRAM = 30_000, 30_000, 5
 EDGE = "\x02"
 
 
@@ -42,15 +43,22 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def fit(sample: list[tuple[str, str]], max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, max_gram: int = MAX_GRAM) -> dict:
-    """The model of (text, lang) pairs: log frequencies by word and n-gram, a row of languages each.
+    """The model of (text, lang) pairs."""
+    counts: dict[str, Counter] = {}
+    for text, lang in sample:
+        counts.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+    return fit_counts([(lang, w, n) for lang, c in counts.items() for w, n in c.items()], sorted(counts), max_words, max_grams, max_gram)
+
+
+def fit_counts(counted: list[tuple[str, str, int]], langs: list[str], max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS, max_gram: int = MAX_GRAM) -> dict:
+    """The model of (lang, word, count) rows: log frequencies by word and n-gram, a row of languages each.
 
     Words seen once in all are left to the n-grams: a single sighting says
     little of the word's language.
     """
-    langs = sorted({lang for _, lang in sample})
-    words = [Counter() for _ in langs]
-    for text, lang in sample:
-        words[langs.index(lang)].update(LETTERS.findall(text.lower()))
+    words, number = [Counter() for _ in langs], {lang: k for k, lang in enumerate(langs)}
+    for lang, word, n in counted:
+        words[number[lang]][word] += n
 
     def table(per_lang: list[Counter], most: int, least: int = 1) -> tuple[dict[str, int], np.ndarray]:
         """Row numbers and log frequencies, a column a language, of the ``most`` frequent of each language."""
@@ -117,12 +125,11 @@ class Scorer:
         return out
 
 
-def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(lang, draw, text) of about ``sample_docs`` documents a language at most, outside the held-out part.
+def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(lang, text) of about ``sample_docs`` documents a language at most, outside the held-out part.
 
     Documents are counted by language, then drawn by a hash of id and text
-    below the language's share, so any may be drawn. The first
-    ``sample_chars`` characters of a drawn text are fitted on.
+    below the language's share, so any may be drawn. Whole texts are fitted on.
     """
     able = pick(docs, doc_id="long", text="string", lang="string").where(
         (id_part(F.col("doc_id"), 5) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -132,12 +139,33 @@ def training_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_char
         able.withColumn("draw", F.xxhash64("doc_id", "text"))
         .join(F.broadcast(limits), F.col("lang") == F.col("name"))
         .where(F.pmod("draw", F.lit(1 << 20)) < F.col("share") * (1 << 20))
-        .select("lang", "draw", F.substring("text", 1, sample_chars).alias("text")))
+        .select("lang", "text"))
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each language and how often they came in a step; a null word says that the language is there."""
+    for batch in batches:
+        langs, texts = batch.column(0).to_pylist(), batch.column(1)
+        for step in steps(texts):
+            seen: dict[str, Counter] = {}
+            for lang, text in zip(langs[step], texts[step].to_pylist()):
+                seen.setdefault(lang, Counter({None: 1})).update(LETTERS.findall(text.lower()))
+            rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], ["lang", "word", "n"])
+
+
+def word_counts(sample: DataFrame) -> DataFrame:
+    """(lang, word, n) of ``training_sample``; each language has a row with a null word too."""
+    return sample.mapInArrow(_count_words, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _fit_rows(rows: list[tuple], **limits) -> dict:
+    return fit_counts([(lang, w, n) for lang, w, n in rows if w is not None], sorted({r[0] for r in rows}), **limits)
 
 
-def predictor(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, weight: int = 20, **limits):
+def predictor(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, weight: int = 20, **limits):
     """Fits a model on ``docs``; returns a function from a text column to struct(lang, score)."""
-    model = in_one_task(training_sample(docs, sample_docs, sample_chars), lambda rows: fit([(t, lang) for lang, _, t in sorted(rows)], **limits))
+    model = in_one_task(word_counts(training_sample(docs, sample_docs)), lambda rows: _fit_rows(rows, **limits))
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     @F.pandas_udf("lang string, score double")

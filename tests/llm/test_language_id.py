@@ -79,3 +79,11 @@ def test_kept_documents(spark):
     rows = [(i, (EN if i % 2 else FR) + f" {i}", "en" if i % 2 else "fr", "s", 9) for i in range(30)] + [(50, "12", "en", "s", 2), (51, None, "en", "s", 2)]
     out = L.keep_known(spark.createDataFrame(rows, FULL))
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"] and sorted(r.doc_id for r in out.collect()) == list(range(30))
+
+
+def test_late_parts_of_long_texts_are_learned(spark):
+    kept = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, (EN if i % 2 else FR) + " " + "1 " * 4000 + ("qwerty " if i % 2 else "azerty ") * 3, "en" if i % 2 else "fr") for i in kept]
+    got = L.identify(spark.createDataFrame(rows + [(1000, "qwerty", None), (1001, "azerty", None)], SCHEMA)).where("doc_id >= 1000").collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1000: "en", 1001: "fr"}
+    assert all(r.score > 0.9 for r in got)
