@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from dimfold.llm.common import TASK_CACHE, id_part, in_one_task, pick, read, steps
 
 LETTERS = re.compile(r"[^\W\d_]+")
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 4000
+SAMPLE_DOCS = 1500
 WINDOW, STRIDE = 16, 10
 WIDTH, HIDDEN = 16, 8
 BUCKETS = 1 << 13
@@ -293,12 +293,11 @@ class Scorer:
         return 1 / (1 + np.exp(-worst.astype(float)))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """(doc_id, text, toxic) of about ``sample_docs`` toxic and three times as many
     other labelled documents at most, outside the held-out part.
 
-    Drawn by a hash of the id below the class's share; the first
-    ``sample_chars`` characters of a text are learned from. Labels that are
+    Drawn by a hash of the id below the class's share; whole texts are learned from. Labels that are
     null or neither 0 nor 1 are left out; an id with both is toxic.
     """
     marks = pick(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & (id_part(F.col("doc_id"), 5) != 0))
@@ -308,10 +307,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
     # the share bounds the drawn ids, whatever the table's size
     return pick(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id").select(
-        "doc_id", F.substring(F.coalesce("text", F.lit("")), 1, sample_chars).alias("text"), "toxic")
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
 
 
-def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, **training) -> DataFrame:
+def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, **training) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
     Learns from ``labels`` (doc_id, toxic) whose crc32(doc_id) mod 5 is not 0;
@@ -321,7 +320,7 @@ def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sam
     the same score. Repeated rows score alike. Whole texts count. Extra
     columns are ignored; an empty table gives an empty result.
     """
-    net = in_one_task(training_sample(docs, labels, sample_docs, sample_chars), lambda rows: train([(t, y) for _, t, y in sorted(rows)], **training))
+    net = in_one_task(training_sample(docs, labels, sample_docs), lambda rows: train([(t, y) for _, t, y in sorted(rows)], **training))
     shared, key = docs.sparkSession.sparkContext.broadcast(net), uuid.uuid4().hex
 
     @F.pandas_udf("double")

@@ -119,3 +119,13 @@ def test_held_out_labels_do_not_matter(spark):
     flipped = labels.selectExpr("doc_id", "if(crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0, 1 - toxic, toxic) AS toxic")
     a, b = (sorted((r.doc_id, r.score) for r in T.rate(docs, x).collect()) for x in (labels, flipped))
     assert a == b
+
+
+def test_late_passages_are_learned(spark):
+    rng = random.Random(6)
+    text = lambda bad: make(rng, 900, 0) + " " + make(rng, 16, bad)
+    docs = [(i, text(i % 3 == 0)) for i in range(200)]
+    assert min(len(t) for _, t in docs) > 4000
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
+    got = T.rate(spark.createDataFrame(docs, "doc_id long, text string"), labels).where("held_out").collect()
+    assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in got]) > 0.85
