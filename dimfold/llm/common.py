@@ -9,6 +9,7 @@ import pickle
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -117,6 +118,25 @@ def steps(texts: pa.Array | list[str | None], size: int = 1_000_000) -> Iterator
         yield slice(at, len(lengths))
 
 
+def whole_vectors(vectors: DataFrame, scale: int, **types: str) -> DataFrame:
+    """The ``types`` columns and v, floor(scale * x) of every component x of ``embedding``.
+
+    Rows with a null vector or a null or non-finite component are left out.
+    """
+    plain = pick(vectors, embedding="array<double>", **types).where(
+        F.col("embedding").isNotNull() & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))))
+    return plain.select(*types, F.transform("embedding", lambda x: F.floor(x * scale)).alias("v"))
+
+
+def matrix(vectors, width: int) -> np.ndarray:
+    """An Arrow list column as rows of equal width; shorter vectors end in zeros."""
+    column = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
+    flat, sizes = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), width), np.int64)
+    out[np.arange(width) < sizes.reshape(-1, 1)] = flat
+    return out
+
+
 class TaskCache:
     """One value that a Python worker keeps across tasks, made anew for another key.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dimfold.llm import best_fit_packing, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, toxicity, warc_archive
+from dimfold.llm import ball_kmeans, best_fit_packing, hard_negatives, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, toxicity, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_ppm_scoring": ppm_scoring.query,
     "op9_source_mixing": source_mixing.query,
     "op10_warc_archive": warc_archive.query,
+    "op11_hard_negatives": hard_negatives.query,
+    "op12_ball_kmeans": ball_kmeans.query,
 }
 
 ORACLE = {
@@ -22,4 +24,6 @@ ORACLE = {
     "op2_pivot_search": pivot_search.ORACLE,
     "op9_source_mixing": source_mixing.ORACLE,
     "op10_warc_archive": warc_archive.ORACLE,
+    "op11_hard_negatives": hard_negatives.ORACLE,
+    "op12_ball_kmeans": ball_kmeans.ORACLE,
 }
