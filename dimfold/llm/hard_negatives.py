@@ -58,7 +58,7 @@ def read_lists(q: np.ndarray, x: np.ndarray, lists: np.ndarray, step: int = 32)
         rows = np.flatnonzero(seen != before)
         depth = to
         threshold = None if depth == len(x) else int((q[dims] * x[ordered[depth - 1], dims]).sum())
-        yield rows, x[rows] @ q, threshold
+        yield rows, (x[rows] @ q).astype(np.int64), threshold
 
 
 def _first(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,9 +107,11 @@ def _group(width: int, k: int, limits: tuple[int, int] | None):
         out = []
         if a.num_rows and x.num_rows:
             vectors, ids, labels = matrix(x["v"], width), x["vec_id"].to_numpy(), np.array(x["label"].to_pylist(), object)
-            lists = sorted_lists(vectors)
+            lists, asked = sorted_lists(vectors), matrix(a["v"], width)
+            if float(np.abs(vectors).max()) * float(np.abs(asked).max()) * width < 2 ** 53:
+                vectors, asked = vectors.astype(float), asked.astype(float)  # whole numbers still, and faster products
             positives = a["positives"].to_pylist() if limits else [None] * a.num_rows
-            for anchor, label, q, found in zip(a["vec_id"].to_pylist(), a["label"].to_pylist(), matrix(a["v"], width), positives):
+            for anchor, label, q, found in zip(a["vec_id"].to_pylist(), a["label"].to_pylist(), asked, positives):
                 same = labels == label
                 if limits:
                     windows = [_window(p["positive_score"], *limits) for p in found]

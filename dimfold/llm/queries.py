@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dimfold.llm import ball_kmeans, best_fit_packing, hard_negatives, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, toxicity, warc_archive
+from dimfold.llm import ball_kmeans, best_fit_packing, edit_embedding, hard_negatives, html_extraction, language_id, pivot_search, ppm_scoring, quality_rules, simhash_dedup, source_mixing, toxicity, warc_archive
 
 QUERIES = {
     "op1_quality_rules": quality_rules.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_warc_archive": warc_archive.query,
     "op11_hard_negatives": hard_negatives.query,
     "op12_ball_kmeans": ball_kmeans.query,
+    "op13_edit_fingerprints": edit_embedding.query,
 }
 
 ORACLE = {

@@ -1,0 +1,170 @@
+import hashlib
+import random
+
+from hypothesis import given, settings, strategies as st
+import numpy as np
+import pytest
+
+from dimfold.llm import edit_embedding as E
+from dimfold.llm.common import read
+
+
+def slow_fingerprint(text):
+    """Walks one character at a time and writes the whole embedding down."""
+    walk, embedding, t = E._walk().reshape(E.CLASSES, E.PERIOD), [], 0
+    for ch in text:
+        stay = (int(walk[ord(ch) % E.CLASSES, t % E.PERIOD]) - t - 1) % E.PERIOD + 1
+        embedding += chr(E.SYMBOLS[ord(ch) % E.CLASSES]) * stay
+        t += stay
+    out, level = "", 0
+    while len(embedding) > (0 if level == 0 else 64 << (level - 1)):
+        out += "".join(embedding[p] if p < len(embedding) else "." for p in E._level(level)[0])
+        level += 1
+    return out
+
+
+def brute(rows):
+    """The query's rows from (doc_id, text), ids unique and not null."""
+    rows = sorted(((i, t or "") for i, t in rows), reverse=True)
+    out = []
+    for (i, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        part = len(text) // 3
+        edited = text[:len(text) - part] + after[:part]
+        a, b, c = map(slow_fingerprint, (text, edited, after))
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), a, b, E.likeness(a, b), E.likeness(a, c)))
+    return sorted(out)
+
+
+TEXTS = st.text(st.characters(codec="utf-8"), max_size=200)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXTS, max_size=8), st.integers(0, 900))
+def test_walking_in_step_equals_one_character_at_a_time(texts, repeat):
+    texts = [*texts, "ab c" * repeat, ""]
+    got = E.fingerprints(texts)
+    assert got == [slow_fingerprint(t) for t in texts]
+    assert all(len(g) % 64 == 0 for g in got) and got[-1] == ""
+
+
+def test_walk_leaves_each_character_at_its_next_coin():
+    coins = np.random.default_rng(E.SEED).integers(0, 2, (E.CLASSES, E.PERIOD))
+    coins[:, 0] = 1
+    for c in (0, 17, 60):
+        for t in (0, 1, 500, 1023):
+            at = t
+            while not coins[c, at % E.PERIOD]:
+                at += 1
+            assert E._walk().reshape(E.CLASSES, E.PERIOD)[c, t] == (at + 1) % E.PERIOD
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_likeness_falls_with_the_edits():
+    rng = random.Random(5)
+    for n in (100, 800):
+        text = words(rng, n)
+        shares = []
+        for edits in (0, n // 50, n // 10):
+            some = list(text)
+            for at in rng.sample(range(len(text)), edits):
+                some[at] = "z"
+            shares.append(E.likeness(*E.fingerprints([text, "".join(some)])))
+        unlike = E.likeness(*E.fingerprints([text, words(rng, n)]))
+        assert shares[0] == 1.0 > shares[1] > 0.6 and shares[1] > shares[2] > unlike and unlike < 0.3
+    inserted = E.likeness(*E.fingerprints([text, "so" + text]))
+    assert inserted > 0.8  # the walks fall into step again: about the square of an edit's length in steps is lost
+    assert E.likeness("", "") == 1.0 and E.likeness("", E.fingerprints(["a"])[0]) == 0.0
+
+
+def test_query_equals_brute_force_on_whole_tables(spark):
+    db = read(spark, "/root/testdata/sf0.001", "documents")
+    want = brute([(r.doc_id, r.text) for r in db.select("doc_id", "text").collect()])
+    for buckets in (None, 3):
+        assert sorted(tuple(r) for r in E.edited_fingerprints(db, buckets).collect()) == want
+
+
+def test_edges(spark):
+    rows = [(i, t, "x") for i, t in enumerate([None, "", "a", "ab", "abc", "some words " * 5, "é中😀" * 40, "w " * 9_000])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, KEY string")
+    assert sorted(tuple(r) for r in E.edited_fingerprints(df.repartition(3)).collect()) == brute([r[:2] for r in rows])
+    one = E.edited_fingerprints(df.where("doc_id = 4")).collect()
+    assert [(r.edited_sha256, r.near_edited, r.near_next) for r in one] == [(hashlib.sha256(b"aba").hexdigest(), E.likeness(*E.fingerprints(["abc", "aba"])), 1.0)]
+    assert E.edited_fingerprints(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [1, 4, 40])
+def test_repeated_and_null_ids(spark, buckets):
+    """A hot id is dealt to several buckets; its smallest text stands for it."""
+    rng = random.Random(6)
+    rows = [(i, words(rng, 9)) for i in range(-9, 9)] + [(3, words(rng, 9)) for _ in range(40)] + [(3, "zz")] * 3 + [(None, "no id at all"), (None, "no")]
+    least = {}
+    for i, t in rows:
+        key = -(2 ** 63) if i is None else i
+        least[key] = min(least.get(key, t), t)
+    ids = sorted(least)
+    want = []
+    for i, t in rows:
+        after = least[ids[ids.index(-(2 ** 63) if i is None else i) - 1]]
+        want.append((str(i), hashlib.sha256(E.edited_text(t, after).encode()).hexdigest(), E.likeness(*E.fingerprints([t, after]))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(str(r.doc_id), r.edited_sha256, r.near_next) for r in E.edited_fingerprints(df, buckets).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_near_copies(spark):
+    rng = random.Random(7)
+    base = [words(rng, 150) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)]
+    for g in range(4):  # groups of near copies, and exact ones
+        for c in range(15):
+            some = base[g].split(" ")
+            some[rng.randrange(130, 150)] = words(rng, 1)
+            rows.append((100 * (g + 1) + c, " ".join(some)))
+        rows += [(100 * (g + 1) + 50 + c, base[g]) for c in range(5)]
+    rows += [(900, ""), (901, None), (None, base[5]), (None, "alone here, it has no id of its own"), (100, rows[12][1])]
+    df = spark.createDataFrame([(i, *E.fingerprints([t or ""]), 1) for i, t in rows], "doc_id long, fingerprint string, print int")
+    got = {}
+    for split in (5, 4_000):
+        made = E.near_copies(df.repartition(4), split_rows=split).collect()
+        assert len(made) == len(rows)
+        got[split] = sorted((repr(r.doc_id), repr(r.class_id)) for r in made)
+    assert got[5] == got[4_000]
+    of = {r.doc_id: r.class_id for r in made if r.doc_id is not None}
+    for g in range(4):
+        members = [i for i, _ in rows if i is not None and i // 100 == g + 1]
+        assert {of[i] for i in members} == {g} and of[g] == g
+    assert of[900] == of[901] == 900 and all(of[i] == i for i in range(4, 12))
+    assert sorted(repr(r.class_id) for r in made if r.doc_id is None) == ["5", "None"]
+    assert E.near_copies(df.where("false")).count() == 0
+
+
+def test_bands_and_verification_find_what_all_pairs_find():
+    rng = random.Random(8)
+    texts = []
+    for _ in range(60):
+        text = words(rng, 120).split(" ")
+        texts.append(" ".join(text))
+        for _ in range(rng.randint(0, 6)):
+            text[rng.randrange(len(text))] = words(rng, 1)
+        texts.append(" ".join(text + [words(rng, 2)] * rng.randint(0, 3)))
+    prints = E.fingerprints(texts)
+    which, keys = E.band_keys(prints)
+    shared = [set(keys[which == i].tolist()) for i in range(len(texts))]
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if E.likeness(prints[i], prints[j]) >= E.SIMILARITY]
+    found = [(i, j) for i, j in near if shared[i] & shared[j]]
+    assert len(near) >= 30 and len(found) >= 0.9 * len(near)
+    symbols = E._symbols(prints)
+    reach = {i: {i} for i in range(len(texts))}
+    for i, j in near:
+        whole = reach[i] | reach[j]
+        for x in whole:
+            reach[x] = whole
+    links = {i: {i} for i in range(len(texts))}
+    for i, j in E.forest(symbols, E.SIMILARITY):
+        whole = links[i] | links[j]
+        for x in whole:
+            links[x] = whole
+    assert links == reach
