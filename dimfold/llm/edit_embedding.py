@@ -215,7 +215,7 @@ def edited_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFram
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = pick(docs, doc_id="long", text="string").withColumn("key", F.coalesce("doc_id", F.lit(-(2 ** 63))))
-    cuts = plain.agg(F.percentile_approx("key", [i / buckets for i in range(1, buckets)] or [0.5], 100 * buckets)).first()[0] or []
+    cuts = plain.agg(F.percentile_approx("key", [i / buckets for i in range(1, buckets)] or [0.5], 20 * buckets)).first()[0] or []
     starts, copies = np.unique(np.array(cuts, np.int64), return_counts=True)
     copies = np.concatenate([[1], copies])  # a hot id is several cuts, and has as many buckets
     last = np.cumsum(copies) - 1
@@ -229,15 +229,15 @@ def edited_fingerprints(docs: DataFrame, buckets: int | None = None) -> DataFram
 
     dealt = plain.withColumn("bucket", bucket("key", F.monotonically_increasing_id()))
     met = {r.bucket: (r.low, r.high) for r in dealt.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).collect()}
-    sent, greatest = [], max((high for _, high in met.values()), default=None)
+    sent, prior = [], max((high for _, high in met.values()), default=None)  # before the smallest id stands the greatest
     for r in range(len(copies)):
         mine = range(int(last[r] - copies[r] + 1), int(last[r]) + 1)
-        low = min((met[b][0] for b in mine if b in met), default=None)
-        if low is not None:
-            smaller = [high for b, (_, high) in met.items() if b < mine[0]]
-            prior = max(smaller, default=greatest)
+        here = [met[b] for b in mine if b in met]
+        if here:
+            low = min(x for x, _ in here)
             for b in mine:
                 sent += [(prior, b, 0)] + ([(low, b, 1)] if len(mine) > 1 else [])
+            prior = max(x for _, x in here)
     ahead = spark.createDataFrame(sent, "key long, bucket int, kind int")  # at most two rows a bucket
     texts = plain.join(F.broadcast(ahead.select("key").distinct()), "key", "left_semi").groupBy("key").agg(
         F.min(F.coalesce("text", F.lit(""))).alias("text"))
