@@ -62,6 +62,37 @@ def json_object(*pairs: tuple[str, ColumnOrName]) -> Column:
     return F.to_json(F.struct(*[col(v).alias(k) for k, v in pairs]), {"ignoreNullFields": "false"})
 
 
+def json_value(text: ColumnOrName) -> Column:
+    """JSON text parsed once into a VARIANT; text that is no JSON (or repeats a key) gives NULL."""
+    return F.try_parse_json(col(text))
+
+
+def json_type(value: Column) -> Column:
+    """``jsonb_typeof`` of a parsed value: object, array, string, number, boolean or null; NULL if nothing was parsed."""
+    kind = F.schema_of_variant(value)
+    return (F.when(kind.startswith("OBJECT"), F.lit("object")).when(kind.startswith("ARRAY"), F.lit("array"))
+            .when(kind == "STRING", F.lit("string")).when(kind == "BOOLEAN", F.lit("boolean")).when(kind == "VOID", F.lit("null"))
+            .when(kind.isNotNull(), F.lit("number")))
+
+
+def json_get(value: Column, key: str) -> Column:
+    """``value -> key``, a VARIANT: NULL if the key is missing, a JSON null if that is its value."""
+    quote = "'" if '"' in key else '"'
+    if not key or quote in key:
+        raise ValueError(f"no path can name the key {key!r}")
+    return F.try_variant_get(value, f"$[{quote}{key}{quote}]", "variant")
+
+
+def json_text(value: Column, key: str) -> Column:
+    """``value ->> key``: the key's value as text; NULL if it is missing or a JSON null."""
+    return F.try_variant_get(json_get(value, key), "$", "string")
+
+
+def json_has_key(value: Column, key: str) -> Column:
+    """``value ? key``: a JSON-null value counts as there; NULL if nothing was parsed."""
+    return F.when(value.isNotNull(), json_get(value, key).isNotNull())
+
+
 def bits32_text(bits: ColumnOrName) -> Column:
     """A 32-bit value as its 32-character binary text (``bit(32)``)."""
     return F.lpad(F.bin(col(bits).bitwiseAND(F.lit(MASK32))), 32, "0")

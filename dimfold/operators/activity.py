@@ -90,15 +90,7 @@ def datelist_bits(df: DataFrame, day, series_start, key: str = "user_id", dates:
     else:
         bits = F.aggregate(F.filter(inside, lambda x: F.datediff(hi, x) <= 31), F.lit(0).cast("long"),
                            lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", one, 31 - F.datediff(hi, x))))
-    week_mask = ((1 << week_days) - 1) << (32 - week_days)
-    out = src.select(key, bits.alias("datelist_int"))
-    b = F.col("datelist_int")
-    return out.select(
-        key, b, bits32_text(b).alias("datelist_bits"),
-        F.bit_count(b).cast("int").alias("active_days"),
-        (F.bit_count(b) > 0).alias("dim_is_monthly_active"),
-        (F.bit_count(b.bitwiseAND(F.lit(week_mask))) > 0).alias("dim_is_weekly_active"),
-    )
+    return bits_activity(src.select(key, bits.alias("datelist_int")), key, week_days=week_days)
 
 
 def json_datelist(events: DataFrame, key: str, start, end, ts: str = "event_time",
@@ -133,6 +125,52 @@ def subkey_datelist(events: DataFrame, key: str, subkey: str, start, end, ts: st
         F.map_from_entries(F.collect_list(F.struct(F.col(subkey), F.col("dates")))).alias(name))
 
 
+def subkey_datelist_step(prev: DataFrame, events: DataFrame, day, key: str, subkey: str, ts: str = "event_time",
+                         name: str = "device_activity_datelist") -> DataFrame:
+    """X-16 with M-2: one day merged into the maps, sub-key by sub-key.
+
+    ``prev`` has (key, ``name``), the maps up to the day before. One full join of
+    the state with the day's maps; ``map_zip_with`` unites the days of a sub-key
+    that both know, keeps the others, and adds new ones. Days stay sorted and
+    unique, so a rerun of a day changes nothing and a late day falls into its
+    place. Keys silent that day keep their map; a NULL list of a sub-key counts as
+    none. Equals ``subkey_datelist`` over all days so far.
+    """
+    today = subkey_datelist(events, key, subkey, day, day, ts, name)
+    both = prev.select(key, name).alias("y").join(today.alias("t"), key, "full")
+    old, new = F.col(f"y.{name}"), F.col(f"t.{name}")
+    none = F.array().cast("array<date>")
+    united = F.map_zip_with(old, new, lambda _, a, b: F.sort_array(F.array_union(F.coalesce(a, none), F.coalesce(b, none))))
+    return both.select(key, F.coalesce(united, old, new).alias(name))
+
+
+def datelist_bits_step(prev: DataFrame, events: DataFrame, day, key: str = "user_id", ts: str = "event_time",
+                       out_key: str = "user_id") -> DataFrame:
+    """X-14 as state: (out_key, datelist_int, date), 32 bits a user, rolled forward by a day.
+
+    ``prev`` has the users at ``day - 1`` (other days are not read). Each day moves
+    every user's bits one place down, today's activity is the top bit, and what is
+    more than 31 days back falls out. No list of dates is kept, so the state stays 8
+    bytes a user. A new user enters with the top bit; a silent one stays, with
+    no bit after 32 days. Equals ``datelist_bits`` (fixed form) of the days that were
+    stepped through.
+    """
+    today = active_days(events, key, ts, day, day).select(F.col(key).cast("string").alias(out_key), F.lit(True).alias("_active"))
+    y = prev.where(F.col("date") == F.date_sub(_day(day), 1)).select(out_key, "datelist_int")
+    moved = F.shiftrightunsigned(F.coalesce(F.col("datelist_int"), F.lit(0).cast("long")).bitwiseAND(F.lit(MASK32)), 1)
+    top = F.when(F.col("_active"), F.lit(1 << 31)).otherwise(F.lit(0)).cast("long")
+    return y.join(today, out_key, "full").select(out_key, moved.bitwiseOR(top).alias("datelist_int"), _day(day).alias("date"))
+
+
+def bits_activity(df: DataFrame, key: str = "user_id", bits: str = "datelist_int", week_days: int = 7) -> DataFrame:
+    """The report columns of a 32-bit state, as ``datelist_bits`` gives them: text, active days, monthly and weekly activity."""
+    b = F.col(bits)
+    week = b.bitwiseAND(F.lit(((1 << week_days) - 1) << (32 - week_days)))
+    return df.select(
+        key, b.alias("datelist_int"), bits32_text(b).alias("datelist_bits"), F.bit_count(b).cast("int").alias("active_days"),
+        (F.bit_count(b) > 0).alias("dim_is_monthly_active"), (F.bit_count(week) > 0).alias("dim_is_weekly_active"))
+
+
 def activity_report(df: DataFrame, start, end, key: str = "user_id", list_col: str = "active_dates",
                     date_col: str = "date", reference: bool = False) -> DataFrame:
     """X-17 ``get_user_activity(start, end)``.

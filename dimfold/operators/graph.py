@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import json_object
@@ -120,14 +120,26 @@ def edge_starts(details: DataFrame, group: str = "game_id", node: str = "player_
     """The vertices that start an edge of ``co_occurrence_edges``, without building any pair.
 
     A member starts an edge if a member of the same group with a smaller node
-    has another name, i.e. if the smallest or the largest name before it
-    differs from its own. Columns as ``points_per_game`` reads them.
+    has another name. So two values a group tell it: the smallest node with
+    its name, and the smallest node of any other name. A member of another name than
+    the first starts an edge; one of the same name does if it comes after
+    the second value. Both are grouped minima, combined in the map tasks, and joined
+    back to the members, so a hot group is never in one task. Columns as
+    ``points_per_game`` reads them.
     """
     members = dedupe_first(details.select(group, node, name, side, measure), [node, group])
-    before = Window.partitionBy(group).orderBy(node).rowsBetween(Window.unboundedPreceding, -1)
-    known = members.where(F.col(group).isNotNull() & F.col(node).isNotNull()).select(
-        node, name, F.min(name).over(before).alias("_lo"), F.max(name).over(before).alias("_hi"))
-    starts = known.where((F.col("_lo") != F.col(name)) | (F.col("_hi") != F.col(name))).select(node).distinct()
+    members = members.where(F.col(group).isNotNull() & F.col(node).isNotNull() & F.col(name).isNotNull()).select(group, node, name)
+    named = members.groupBy(group, name).agg(F.min(node).alias("_least"))
+
+    def own_exchange(grouped: DataFrame, count: str) -> DataFrame:
+        # as a computed column the key is dealt anew, and AQE can split the hot side of the join
+        return grouped.withColumn(group, F.when(F.col(count) > 0, F.col(group))).drop(count)
+
+    first = own_exchange(named.groupBy(group).agg(F.min(F.struct("_least", name)).alias("_first"), F.count("*").alias("_n")), "_n")
+    other = named.join(first, group).where(F.col(name) != F.col(f"_first.{name}"))
+    other = own_exchange(other.groupBy(group).agg(F.min("_least").alias("_other"), F.count("*").alias("_n")), "_n")
+    known = members.join(first, group).join(other, group)  # a group of one name starts no edge
+    starts = known.where((F.col(name) != F.col(f"_first.{name}")) | (F.col(node) > F.col("_other"))).select(node).distinct()
     return starts.select(F.col(node).cast("string").alias("subject_identifier"),
                          F.lit("player").alias("subject_type"), F.lit("player").alias("object_type"))
 

@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from dimfold.functions.columns import json_has_key, json_type, json_value
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], count_name: str = "n") -> DataFrame:
     """X-11: key groups with more than one row (``GROUP BY .. HAVING count(1) > 1``)."""
@@ -62,6 +64,74 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def contract_rules(not_null: Sequence[str] = (), allowed: dict[str, Sequence] | None = None,
+                   json_objects: Sequence[str] = (), json_required: dict[str, str] | None = None) -> dict[str, Column]:
+    """The row rules of a declared contract by name; a rule is broken where its condition is FALSE.
+
+    ``null_<col>`` (NOT NULL), ``not_allowed_<col>`` (an enum or IN check: NULL
+    passes, as any CHECK of a NULL does), ``not_object_<col>`` (``jsonb_typeof = 'object'``,
+    NULL passes; text that is no JSON is no object) and ``missing_<key>_<col>`` (the trigger:
+    a JSON null counts as there; no JSON at all has no key).
+    JSON columns are parsed once by ``with_json``.
+    """
+    rules = {f"null_{c}": F.col(c).isNotNull() for c in not_null}
+    for c, values in (allowed or {}).items():
+        rules[f"not_allowed_{c}"] = F.col(c).isin(list(values))
+    for c in json_objects:
+        rules[f"not_object_{c}"] = F.when(F.col(c).isNotNull(), F.coalesce(json_type(F.col(f"_json_{c}")) == "object", F.lit(False)))
+    for c, k in (json_required or {}).items():
+        rules[f"missing_{k}_{c}"] = F.coalesce(json_has_key(F.col(f"_json_{c}"), k), F.lit(False))
+    return rules
+
+
+def with_json(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with each JSON column parsed into a VARIANT ``_json_<col>``, once for all rules."""
+    return df.withColumns({f"_json_{c}": json_value(c) for c in dict.fromkeys(columns)})
+
+
+def broken_rules(df: DataFrame, rules: dict[str, Column], keys: Sequence[str] = (), name: str = "broken_rules") -> DataFrame:
+    """K-4 / X-24 row by row: ``df`` with the sorted names of the rules that each row breaks (empty: accepted).
+
+    The trigger stops a whole load at its first bad row; here every row says what
+    it breaks. A rule whose condition is NULL is not broken. With ``keys``, every row of a
+    key that occurs more than once breaks ``duplicate_key``; a key with a NULL part is no
+    key and never does. Rows are only marked, so all stay, duplicates included.
+    """
+    marks = [F.when(~ok, F.lit(rule)) for rule, ok in rules.items()]
+    if keys:
+        dup = duplicate_keys(df, keys, "_n")
+        dup = dup.select(*[F.when(F.col("_n") > 1, F.col(k)).alias(k) for k in keys], F.lit(True).alias("_dup"))
+        df = df.join(dup, list(keys), "left").select(*df.columns, "_dup")
+        marks.append(F.when(F.col("_dup"), F.lit("duplicate_key")))
+    found = F.array_sort(F.array_compact(F.array(*marks))) if marks else F.array().cast("array<string>")
+    return df.withColumn(name, found).drop("_dup")
+
+
+def split_rows(df: DataFrame, rules: dict[str, Column], keys: Sequence[str] = (),
+               name: str = "broken_rules") -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejected)``: the rows that break no rule, and the others with what they break."""
+    marked = broken_rules(df, rules, keys, name)
+    return marked.where(F.size(name) == 0).drop(name), marked.where(F.size(name) > 0)
+
+
+def load_accepted(df: DataFrame, path: str, rules: dict[str, Column], keys: Sequence[str] = (),
+                  name: str = "broken_rules") -> dict[str, int]:
+    """Writes accepted and rejected rows in one pass and returns the counts seen on the way.
+
+    ``path`` gets the partitions ``accepted=true`` (rows that break no rule) and
+    ``accepted=false`` (the others with their ``broken_rules``), replacing what was there; helper columns
+    (``_json_..``) are not written. Returns ``accepted``, ``rejected`` and the rows that break each rule.
+    """
+    seen = Observation()
+    marked = broken_rules(df, rules, keys, name)
+    every = [*rules, *(["duplicate_key"] if keys else [])]
+    out = marked.observe(seen, F.count_if(F.size(name) == 0).alias("accepted"), F.count_if(F.size(name) > 0).alias("rejected"),
+                         *[F.count_if(F.array_contains(name, r)).alias(r) for r in every])
+    out = out.withColumn("accepted", F.size(name) == 0).drop(*[c for c in df.columns if c.startswith("_json_")])
+    out.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    return dict(seen.get)
+
+
 def check_contract(df: DataFrame, keys: Sequence[str] = (), not_null: Sequence[str] = (),
                    allowed: dict[str, Sequence] | None = None, json_objects: Sequence[str] = (),
                    json_required: dict[str, str] | None = None, raise_on_violation: bool = False) -> DataFrame:
@@ -69,29 +139,21 @@ def check_contract(df: DataFrame, keys: Sequence[str] = (), not_null: Sequence[s
 
     Replaces the PRIMARY KEY / NOT NULL / enum / ``CHECK (jsonb_typeof(..) =
     'object')`` constraints and the row trigger that requires a JSON key.
-    Returns one row: ``rows``, ``duplicate_keys`` (key groups with more than
-    one row), ``null_<col>``, ``not_allowed_<col>``, ``not_object_<col>`` and
-    ``missing_<key>_<col>``. With ``raise_on_violation`` a non-zero count
-    raises (this triggers one small job).
+    Returns one row: ``rows``, the rows that break each rule of
+    ``contract_rules``, and with ``keys`` ``duplicate_keys`` (key groups with more than
+    one row). The table is read once: with ``keys`` the counts are taken per key first (combined in
+    the map tasks, so a hot key is one row a task) and then added up. With
+    ``raise_on_violation`` a non-zero count raises (this triggers one small job).
     """
-    allowed = allowed or {}
-    json_required = json_required or {}
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for c in not_null:
-        aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
-    for c, values in allowed.items():
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~F.col(c).isin(list(values))).alias(f"not_allowed_{c}"))
-    for c in json_objects:
-        # A JSON object is text that parses as a map; anything else (array, scalar, junk) is not.
-        is_obj = F.from_json(F.col(c), "map<string,string>").isNotNull() & F.trim(F.col(c)).startswith("{")
-        aggs.append(F.count_if(F.col(c).isNotNull() & ~is_obj).alias(f"not_object_{c}"))
-    for c, k in json_required.items():
-        has = F.array_contains(F.coalesce(F.json_object_keys(F.col(c)), F.array().cast("array<string>")), k)
-        aggs.append(F.count_if(~has).alias(f"missing_{k}_{c}"))
-    out = df.agg(*aggs)
+    rules = contract_rules(not_null, allowed, json_objects, json_required)
+    src = with_json(df, [*json_objects, *(json_required or {})])
+    aggs = [F.count(F.lit(1)).alias("rows"), *[F.count_if(~ok).alias(rule) for rule, ok in rules.items()]]
     if keys:
-        dups = duplicate_keys(df, keys).agg(F.count(F.lit(1))).scalar()
-        out = out.select("*", dups.alias("duplicate_keys"))
+        per_key = src.groupBy(*keys).agg(*aggs)
+        out = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["rows", *rules]],
+                          F.count_if(F.col("rows") > 1).alias("duplicate_keys"))
+    else:
+        out = src.agg(*aggs)
     if raise_on_violation:
         row = out.first().asDict()
         bad = {k: v for k, v in row.items() if k != "rows" and v}

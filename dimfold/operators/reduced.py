@@ -176,3 +176,43 @@ def monthly_arrays_step(state: DataFrame, events: DataFrame, day, key: str = "ho
         return F.when(hit, set_slot(base, slot, F.col(value))).otherwise(F.col(arr)).alias(arr)
 
     return j.select("month", key, column("hit_array", "hits"), column("unique_visitors_array", "uniques"))
+
+
+# --- distinct visitors that merge (A-2 in X-19, X-20) --------------------------
+
+def visitor_bitmaps(events: DataFrame, lo, hi, key: str = "host", visitor: str = "user_id",
+                    ts: str = "event_time") -> DataFrame:
+    """(key, day, bucket, visitors): each day's distinct visitors as bitmaps, exact and mergeable.
+
+    A visitor id (a whole number; number other ids first) has a bucket of
+    32,768 ids and a bit in it. So a day's visitors are stored once, 4 KB a bucket
+    at most, and days add up by OR where distinct counts do not. NULL keys and
+    NULL visitors are left out. The bitmaps are built in the map tasks; a hot key is
+    spread by its visitors' buckets.
+    """
+    d = F.to_date(F.col(ts))
+    src = events.where(d.between(_day(lo), _day(hi)) & F.col(key).isNotNull() & F.col(visitor).isNotNull())
+    return src.groupBy(F.col(key), d.alias("day"), F.bitmap_bucket_number(visitor).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(visitor)).alias("visitors"))
+
+
+def merge_visitors(bitmaps: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bitmaps of the same ``by`` and bucket as one: a state of days, months or keys that merges further."""
+    return bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("visitors").alias("visitors"))
+
+
+def distinct_visitors(bitmaps: DataFrame, by: Sequence[str], name: str = "unique_visitors") -> DataFrame:
+    """The exact number of distinct visitors for each ``by``, from stored bitmaps of any days."""
+    merged = merge_visitors(bitmaps, by)
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("visitors")).alias(name))
+
+
+def rolling_visitors(bitmaps: DataFrame, days: int, key: str = "host", name: str = "unique_visitors") -> DataFrame:
+    """(key, day): distinct visitors of the ``days`` days that end with each day on which the key has events.
+
+    Each day's bitmap is handed to the days whose window holds it; a window
+    after the key's last day is left out.
+    """
+    spread = bitmaps.select(key, F.explode(F.sequence(F.col("day"), F.date_add("day", days - 1))).alias("at"), "bucket", "visitors")
+    known = bitmaps.select(F.col(key), F.col("day").alias("at")).distinct()
+    return distinct_visitors(spread.join(known, [key, "at"], "left_semi"), [key, "at"], name).withColumnRenamed("at", "day")

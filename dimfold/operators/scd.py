@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import null_safe_changed
@@ -130,7 +130,7 @@ def scd2_increment(scd: DataFrame, snapshot: DataFrame, key: Keys, period: str,
             e, d = F.col(f"t.{c}") == F.col(f"l.{c}"), F.col(f"t.{c}") != F.col(f"l.{c}")
             equal = e if equal is None else equal & e
             differ = d if differ is None else differ | d
-        none = F.filter(F.array(new), lambda x: F.lit(False))
+        none = F.slice(F.array(new), 1, 0)
         rows = (F.when(l_start.isNull(), F.array(old, new, new))
                 .when(l_end < _lit(cutoff), F.array(old))
                 .when(F.col("t._in_this").isNull(), none)
@@ -217,10 +217,43 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
                reference: bool = False, start_name: str = "start_year", end_name: str = "end_year",
                current_name: str = "is_current", last_processed=None,
                fill: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """X-10 merge as two DataFrames: ``(new_history, counts)``, the rows of ``_merged`` and their counts.
+
+    ``counts`` has ``records_updated`` and ``records_inserted``. Each of the two
+    runs the merge; ``scd2_merge_observed`` gives both from one run.
+    """
+    done, history_cols = _merged(history, snapshot, key, period, tracked, reference, start_name, end_name, current_name, last_processed, fill)
+    return done.select(*history_cols), done.agg(*_merge_counts())
+
+
+def scd2_merge_observed(history: DataFrame, snapshot: DataFrame, key: Keys, period: str, tracked: Sequence[str],
+                        reference: bool = False, start_name: str = "start_year", end_name: str = "end_year",
+                        current_name: str = "is_current", last_processed=None,
+                        fill: str | None = None) -> tuple[DataFrame, Observation]:
+    """X-10 / M-5: the merge and its counts from one run, as the data-modifying statement gives them.
+
+    Returns ``(new_history, observation)``. The counts are observed on the rows
+    as they are written: after the one action that writes ``new_history``,
+    ``observation.get`` holds ``records_updated``, ``records_inserted`` and
+    ``records`` (rows of the new history). Nothing is shuffled between the
+    observed rows and the writing task, so a task that is run again on a lost
+    executor counts once.
+    """
+    done, history_cols = _merged(history, snapshot, key, period, tracked, reference, start_name, end_name, current_name, last_processed, fill)
+    seen = Observation()
+    return done.observe(seen, *_merge_counts(), F.count(F.lit(1)).alias("records")).select(*history_cols), seen
+
+
+def _merge_counts() -> list[Column]:
+    return [F.count_if("_touched").alias("records_updated"), F.count_if("_new").alias("records_inserted")]
+
+
+def _merged(history: DataFrame, snapshot: DataFrame, key: Keys, period: str, tracked: Sequence[str], reference: bool,
+            start_name: str, end_name: str, current_name: str, last_processed, fill: str | None) -> tuple[DataFrame, list[Column]]:
     """Close-and-insert merge of new snapshot periods into an SCD2 table.
 
-    Returns ``(new_history, counts)`` where counts has ``records_updated``
-    and ``records_inserted``. The history and the batch are laid in one frame
+    Returns the merged rows with the flags ``_touched`` and ``_new``, and the
+    columns that make them the new history. The history and the batch are laid in one frame
     and shuffled once by key: windows over a key's rows (its periods, bounded
     by the calendar) give what is kept, closed, extended and inserted, and the
     counts come from flags of the same rows. Written once by the caller (no
@@ -289,6 +322,4 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: Keys, period: str,
         ends = F.when(moves, F.coalesce(F.col("_next") - 1, F.col("_kmax"))).otherwise(end)
         now = F.when(moves, F.col("_next").isNull()).otherwise(F.col(current_name))
     done = kept.withColumn("_touched", touched).withColumn("_end", ends).withColumn("_now", now)
-    new_history = done.select(*keys, start_name, F.col("_end").alias(end_name), *tracked, F.col("_now").alias(current_name))
-    counts = done.agg(F.count_if("_touched").alias("records_updated"), F.count_if("_new").alias("records_inserted"))
-    return new_history, counts
+    return done, [*map(F.col, keys), start, F.col("_end").alias(end_name), *map(F.col, tracked), F.col("_now").alias(current_name)]

@@ -9,15 +9,33 @@ period t is allowed.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def upsert(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """M-1: ``INSERT .. ON CONFLICT (keys) DO UPDATE SET every column = excluded``."""
-    return target.join(src.select(*keys), list(keys), "left_anti").unionByName(src.select(*target.columns))
+    """M-1: ``INSERT .. ON CONFLICT (keys) DO UPDATE SET every column = excluded``.
+
+    One full join, each side read once. Keys are unique in either side (a
+    source that names a key twice is an error in the source statement); a
+    NULL key conflicts with none.
+    """
+    return _full(target, src, keys, "s", "t")
+
+
+def _full(target: DataFrame, src: DataFrame, keys: Sequence[str], *first: str) -> DataFrame:
+    """Full join on the keys; a key of both sides has the row of the side named first, NULLs included."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(f"{name}_{k}") for k in keys], F.struct(*target.columns).alias(name))
+
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"t_{k}") == F.col(f"s_{k}"))
+    both = side(target, "t").join(side(src, "s"), same, "full").select(F.coalesce(*first).alias("r"))
+    return both.select(*[F.col("r").getField(c).alias(c) for c in target.columns])
 
 
 def merge_concat(target: DataFrame, src: DataFrame, keys: Sequence[str], array_col: str,
@@ -40,8 +58,8 @@ def merge_concat(target: DataFrame, src: DataFrame, keys: Sequence[str], array_c
 
 
 def insert_if_absent(target: DataFrame, src: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """M-4: ``INSERT .. ON CONFLICT (keys) DO NOTHING``."""
-    return target.unionByName(src.select(*target.columns).join(target.select(*keys), list(keys), "left_anti"))
+    """M-4: ``INSERT .. ON CONFLICT (keys) DO NOTHING``; one full join, as ``upsert``."""
+    return _full(target, src, keys, "t", "s")
 
 
 def update_from(target: DataFrame, src: DataFrame, keys: Sequence[str],
@@ -66,20 +84,54 @@ def write_period(df: DataFrame, path: str, period_cols: Sequence[str], fmt: str
 
     ``rewritten`` names periods (values of ``period_cols``) that this run
     recomputed: one of them without a row in ``df`` is emptied, so a re-run
-    leaves no stale partition. The overwrite mode is an option of this write
+    leaves no stale partition. Which of them have rows is observed on the
+    written rows, so ``df`` runs once. The overwrite mode is an option of this write
     alone, so concurrent writers do not see each other's setting.
     """
-    spark = df.sparkSession
-    # Asked before the write, which may replace what ``df`` reads; the rewritten periods are few.
-    present = {tuple(str(v) for v in r) for r in df.select(*period_cols).distinct().collect()} if rewritten else set()
+    seen = Observation()
+    if rewritten:
+        df = df.observe(seen, *[F.count_if(_is_period(df, period_cols, values)).alias(f"period_{i}") for i, values in enumerate(rewritten)])
     (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*period_cols).save(path))
-    jvm = spark._jvm
-    for values in rewritten:
-        if tuple(str(v) for v in values) not in present:
-            folder = "/".join([path, *[f"{c}={v}" for c, v in zip(period_cols, values)]])
-            p = jvm.org.apache.hadoop.fs.Path(folder)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    for i, values in enumerate(rewritten):
+        if not seen.get[f"period_{i}"]:
+            empty_period(df, path, period_cols, values, fmt)
+
+
+def _is_period(df: DataFrame, period_cols: Sequence[str], values: Sequence) -> Column:
+    same = F.lit(True)
+    for c, v in zip(period_cols, values):
+        same = same & F.col(c).eqNullSafe(F.lit(v).cast(df.schema[c].dataType))
+    return same
+
+
+def empty_period(df: DataFrame, path: str, period_cols: Sequence[str], values: Sequence, fmt: str = "parquet") -> None:
+    """A period of the table at ``path`` replaced by nothing: ``INSERT OVERWRITE .. PARTITION (c = v)`` of no rows.
+
+    A static partition overwrite empties its partition whatever it writes, and
+    Spark itself turns values into folder names, special characters and NULL
+    included. The table is known to the catalog for this statement only; its
+    files are its own. ``df`` gives the schema.
+    """
+    spark = df.sparkSession
+    name = f"period_{uuid.uuid4().hex}"
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    columns = ", ".join(f"`{c}` {t}" for c, t in types.items())
+    periods = ", ".join(f"`{c}`" for c in period_cols)
+    spec = ", ".join(f"`{c}` = {_sql_literal(v)}" for c, v in zip(period_cols, values))
+    rest = ", ".join(f"CAST(NULL AS {t})" for c, t in types.items() if c not in period_cols)
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt} OPTIONS (path {_sql_literal(path)}) PARTITIONED BY ({periods})")
+    try:
+        spark.sql(f"INSERT OVERWRITE {name} PARTITION ({spec}) SELECT {rest} WHERE false")
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def _sql_literal(value) -> str:
+    """A value as a SQL literal: text is quoted and escaped, other values are taken by their text."""
+    if value is None:
+        return "NULL"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def read_period(spark: SparkSession, path: str, where: Column | None = None, fmt: str = "parquet") -> DataFrame:

@@ -4,9 +4,8 @@ Every query reads the whole base tables (through the stand-in views) and
 keeps its output scalar and comparable across engines: arrays become
 delimited text, dates ISO text, JSON is extracted or compact text, and REAL
 values are widened to DOUBLE. Period bounds (last season, snapshot day) are
-the load period of the base fact table (MIN/MAX of its date column, read
-by each query) and enter the plans as literals, so they are folded and
-pushed into the scans.
+the load period of the base fact table: scalar subqueries for the MIN/MAX of
+its date column, inside the plan, so no job runs while a query is built.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dimfold.functions.columns import array_text, last_item
-from dimfold.operators import activity, facts, graph, quality, reduced, reports, scd, state
+from dimfold.operators import activity, facts, graph, quality, reduced, reports, scd, sql_functions, state
 from dimfold.operators import snapshot as snap
 from dimfold.session import ensure_checkpoint_dir
 from dimfold.sources import fixtures as fx
@@ -30,7 +29,6 @@ class _Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = Tables(spark, sf_dir)
-        self.years: tuple[int, int] | None = None
         self._views: dict[str, DataFrame] = {}
 
     def view(self, name: str) -> DataFrame:
@@ -79,26 +77,24 @@ PLAYER_STATIC = ("height", "college", "country", "draft_year", "draft_round", "d
 PLAYER_STATS = ("gp", "pts", "reb", "ast")
 
 
-def _bounds(c: _Ctx, table: str, column: str) -> tuple:
-    """MIN and MAX of one base-table column: the load period of this run.
+def _bounds(c: _Ctx, table: str, column: str) -> tuple[F.Column, F.Column]:
+    """MIN and MAX of one base-table column, as scalar subqueries: the load period of this run.
 
     A scheduler passes the period to its daily job and the operators take it
-    as an argument; the registered queries have only the folder, so they read
-    one column for it each time.
+    as an argument; the registered queries have only the folder, so the plan
+    reads one column for it (once: Spark merges the two subqueries).
     """
-    r = getattr(c.t, table).agg(F.min(column), F.max(column)).first()
-    return r[0], r[1]
+    r = getattr(c.t, table).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+    return r.select("lo").scalar(), r.select("hi").scalar()
 
 
-def order_years(c: _Ctx) -> tuple[int, int]:
+def order_years(c: _Ctx) -> tuple[F.Column, F.Column]:
     """The load period of the order facts: first and last order year."""
-    if c.years is None:
-        lo, hi = _bounds(c, "orders", "o_orderdate")
-        c.years = (lo.year, hi.year)
-    return c.years
+    lo, hi = _bounds(c, "orders", "o_orderdate")
+    return F.year(lo), F.year(hi)
 
 
-def last_season(c: _Ctx) -> int:
+def last_season(c: _Ctx) -> F.Column:
     return order_years(c)[1]
 
 
@@ -153,11 +149,11 @@ ACTOR_KEYS = ["actorid", "actor"]
 FILM_ITEM = ["film", "votes", "rating", "filmid"]
 
 
-def film_years(c: _Ctx) -> tuple[int, int]:
+def film_years(c: _Ctx) -> tuple[F.Column, F.Column]:
     return order_years(c)
 
 
-def actors_snapshot(c: _Ctx, end: int | None = None, with_static: bool = False, with_items: bool = False) -> DataFrame:
+def actors_snapshot(c: _Ctx, end: F.Column | None = None, with_static: bool = False, with_items: bool = False) -> DataFrame:
     af = c.actor_films
     end = film_years(c)[1] if end is None else end
     static = [] if not with_static else [F.count_distinct("film").alias("total_films"),
@@ -223,7 +219,7 @@ ACTOR_TRACKED = ["quality_class", "is_active", "n_films"]
 ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
 
 
-def actor_states(c: _Ctx, end: int) -> DataFrame:
+def actor_states(c: _Ctx, end: F.Column) -> DataFrame:
     return actors_snapshot(c, end=end).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
 
 
@@ -363,9 +359,9 @@ def q21_points_per_game(spark, sf_dir):
 # --- activity ----------------------------------------------------------------
 
 def event_days(c: _Ctx):
-    """First and last event day of the data, as date literals."""
+    """First and last event day of the data."""
     lo, hi = _bounds(c, "events", "ts")
-    return F.lit(lo.date()), F.lit(hi.date())
+    return F.to_date(lo), F.to_date(hi)
 
 
 def _datelist_out(df: DataFrame) -> DataFrame:
@@ -637,12 +633,11 @@ def q45_metric_array_ref(spark, sf_dir):
 
 
 def q46_ranked_improvement(spark, sf_dir):
-    """The improvement report in its order (descending, NULL first), ranked per country."""
+    """The improvement report in its order (descending, NULL first), every row with its place."""
     s = players_at_end(Ctx(spark, sf_dir))
     r = snap.improvement(s, ["player_name", "country"], "season_stats", "pts", guard="case")
     r = r.withColumn("improvement", F.when(F.col("improvement") > 1, F.round("improvement", 6)))
-    order = Window.partitionBy("country").orderBy(reports.pg_order("improvement", True), reports.pg_order("player_name"))
-    return r.select("country", "player_name", "improvement", F.row_number().over(order).alias("place"))
+    return reports.ranked(r, ["improvement", "player_name"], [True, False])
 
 
 def q47_lookup(spark, sf_dir):
@@ -650,3 +645,120 @@ def q47_lookup(spark, sf_dir):
     c = Ctx(spark, sf_dir)
     found = reports.lookup(c.player_seasons, "player_name", "%00%7", "season", last_season(c))
     return found.select("player_name", "season", "gp", F.col("pts").cast("double").alias("pts"))
+
+
+# --- reports in their order ---------------------------------------------------------
+
+def q48_rate_report_ranked(spark, sf_dir):
+    return reports.ranked(q16_rate_report(spark, sf_dir), ["bailed_num"], [True])
+
+
+def q49_points_per_game_ranked(spark, sf_dir):
+    return reports.ranked(q21_points_per_game(spark, sf_dir), ["number_of_games"], [True])
+
+
+def q50_activity_report_ranked(spark, sf_dir):
+    return reports.ranked(q27_activity_report(spark, sf_dir), ["active_days"], [True])
+
+
+# --- state that merges, acceptance, table functions ------------------------------------
+
+def _shared(spark, kind: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def q51_merge_counts_observed(spark, sf_dir):
+    """The merge of q09 written once by start year, the counts of q10 seen on the way, and the table read back."""
+    c = Ctx(spark, sf_dir)
+    lo, hi = film_years(c)
+    states = actor_states(c, hi)
+    before = _change_points(states.where(F.col("current_year") < hi), False, lo, hi - 1)
+    history, seen = scd.scd2_merge_observed(before, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, last_processed=hi - 1, fill="quality_class")
+    table = _shared(spark, "history")
+    state.write_period(history, table, ["start_year"])
+    counts = seen.get
+    return state.read_period(spark, table).agg(F.count("*").alias("stored"), F.count_if("is_current").alias("stored_current")).select(
+        *[F.lit(counts[k]).cast("long").alias(k) for k in ("records_updated", "records_inserted", "records")], "stored", "stored_current")
+
+
+def stored_visitors(c: _Ctx) -> DataFrame:
+    """Each day's visitor bitmaps as a table partitioned by day, written and read back."""
+    lo, hi = event_days(c)
+    table = _shared(c.spark, "visitors")
+    state.write_period(reduced.visitor_bitmaps(c.events, lo, hi), table, ["day"])
+    return state.read_period(c.spark, table).withColumn("day", F.col("day").cast("date"))
+
+
+def q52_month_visitors(spark, sf_dir):
+    """Distinct visitors of a month, from its days' stored bitmaps."""
+    days = stored_visitors(Ctx(spark, sf_dir)).withColumn("month", F.trunc("day", "month"))
+    return reduced.distinct_visitors(days, ["month", "host"]).withColumn("month", iso(F.col("month")))
+
+
+def q53_rolling_visitors(spark, sf_dir):
+    """Distinct visitors of the seven days up to each day."""
+    return reduced.rolling_visitors(stored_visitors(Ctx(spark, sf_dir)), 7).withColumn("day", iso(F.col("day")))
+
+
+def q54_rejected_details(spark, sf_dir):
+    """The raw details that break the contract of q34, each with the rules that it breaks."""
+    rules = quality.contract_rules(not_null=["comment", "player_name"], allowed={"start_position": ["O"], "team_abbreviation": ["A", "N"]})
+    _, rejected = quality.split_rows(Ctx(spark, sf_dir).game_details, rules, DETAIL_KEYS)
+    return rejected.withColumn("broken_rules", F.array_join("broken_rules", ","))
+
+
+def spoiled_datelists(c: _Ctx) -> DataFrame:
+    """The user datelist table with lists that the trigger refuses on some days: another key, an array, a JSON null, no JSON."""
+    list_, turn = F.col("device_activity_datelist"), F.dayofmonth("date") % 5
+    return user_json_table(c).withColumn("device_activity_datelist", F.when(turn == 1, F.replace(list_, F.lit("active_dates"), F.lit("dates")))
+        .when(turn == 2, F.concat(F.lit("["), list_, F.lit("]"))).when(turn == 3, F.lit('{"active_dates":null}'))
+        .when(turn == 4, F.lit("active_dates")).otherwise(list_))
+
+
+def q55_rejected_datelists(spark, sf_dir):
+    """Rows that the JSON checks of the datelist table refuse, by one parse, with reasons."""
+    col = "device_activity_datelist"
+    rules = quality.contract_rules(json_objects=[col], json_required={col: "active_dates"})
+    _, rejected = quality.split_rows(quality.with_json(spoiled_datelists(Ctx(spark, sf_dir)), [col]), rules)
+    return rejected.select("user_id", iso(F.col("date")).alias("date"), col, F.array_join("broken_rules", ",").alias("broken_rules"))
+
+
+def q56_activity_function(spark, sf_dir):
+    """``get_user_activity`` called from SQL over the whole period."""
+    c = Ctx(spark, sf_dir)
+    user_json_table(c).createOrReplaceTempView("user_devices_cumulated")
+    sql_functions.create_activity_function(spark, "user_devices_cumulated")
+    return spark.sql("""
+        SELECT user_id, active_days, date_format(first_seen, 'yyyy-MM-dd') AS first_seen, date_format(last_seen, 'yyyy-MM-dd') AS last_seen
+        FROM get_user_activity((SELECT min(date) FROM user_devices_cumulated), (SELECT max(date) FROM user_devices_cumulated))""")
+
+
+def q57_actor_function(spark, sf_dir):
+    """``verify_actor_history`` called from SQL for every actor and year."""
+    c = Ctx(spark, sf_dir)
+    snap.entity_history(c.actor_films, ACTOR_KEYS, "year", FILM_ITEM, actors_snapshot(c), as_list=True).createOrReplaceTempView("actor_history")
+    c.actor_films.select("actor", "year").distinct().createOrReplaceTempView("actor_years")
+    sql_functions.create_actor_function(spark, "actor_history")
+    return spark.sql("""
+        SELECT h.actor_name AS actor, h.actor_id AS actorid, h.current_year, h.num_films, h.is_active, array_join(h.films_this_year, ',') AS films_this_year
+        FROM actor_years a, LATERAL verify_actor_history(a.actor, a.year) h""")
+
+
+def q58_subkey_datelist_step(spark, sf_dir):
+    """The maps of q26 up to the day before the last, and the last day merged into them."""
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    prev = activity.subkey_datelist(c.events, "user_id", "browser_type", lo, F.date_sub(hi, 1))
+    m = activity.subkey_datelist_step(prev, c.events, hi, "user_id", "browser_type")
+    e = m.select("user_id", F.explode("device_activity_datelist").alias("browser_type", "dates"))
+    return e.select("user_id", "browser_type", array_text("dates").alias("dates"))
+
+
+def q59_datelist_bits_step(spark, sf_dir):
+    """The bitmaps of q23 at the day before the last, rolled forward by the last day."""
+    c = Ctx(spark, sf_dir)
+    lo, hi = event_days(c)
+    before = F.date_sub(hi, 1)
+    prev = activity.datelist_bits(activity.datelist_rebuild(c.events, lo, before), before, F.trunc(before, "month"))
+    rolled = activity.datelist_bits_step(prev.withColumn("date", before), c.events, hi)
+    return activity.bits_activity(rolled)

@@ -73,8 +73,9 @@ def test_plans_without_needless_work(spark):
     one = lambda name: plan_of(getattr(catalog, name)(spark, SF_SMALL))
     for name in ("q09_scd2_merge", "q09b_scd2_merge_ref", "q10_scd2_merge_counts", "q10b_scd2_merge_counts_ref"):
         assert "SortMergeJoin" not in one(name)
-    assert one("q05_entity_history").count("FileScan") == 4 and one("q08_scd2_change_points").count("FileScan") == 2
-    assert one("q07b_scd2_increment_ref").count("FileScan") == 6 and "edge_type" not in one("q21_points_per_game")
+    read = lambda name: one(name).count("customer.parquet")  # noqa: E731 - how often a view is read; subqueries read the load period beside
+    assert read("q05_entity_history") == 2 and read("q08_scd2_change_points") == 1
+    assert read("q07b_scd2_increment_ref") == 2 and "edge_type" not in one("q21_points_per_game")
     jobs = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("lazy", "lazy")
     try:
