@@ -6,19 +6,22 @@ documents are counted per host, lines above the limits are removed, and a
 document that loses most of its words is rejected.
 
 A copied document must not look like boilerplate: all its lines recur, but
-always together. So a line's documents are counted by *family*: every line has a
-mark, the hash of its first three-word window in alphabetical order, which small
-edits rarely touch, and the family is the smallest and the largest mark among
-the document's other lines. Copies and near copies fall into few families for
-their number, documents that share one line only do not. A line is boilerplate
-if it has more than ``max_docs`` families and those are at least
-``min_family_share`` of its documents.
+always together. Exact copies (documents of the same lines) count once. Near
+copies are told by *family*: every line has two marks, its alphabetically first and
+last three-word window, and the family is the first and the last window of all the
+document's other lines. A small edit rarely touches either, as each stands for all
+windows of the document, so near copies fall into few families for their number;
+documents that have words of their own beside a common line do not. A line is
+boilerplate if it has more than ``max_docs`` families and those are at
+least ``min_family_share`` of its distinct documents. So documents that are alike in
+all but a twelfth of their words or less count as near copies, whatever lines they share.
 
 Scale: one scan for the per-document figures, all inside the row; one scan for
 the line hashes, written to the checkpoint folder as both the counts and the
-removal need them; two exchanges of line hashes with map-side counts (a line that a third
-of all documents hold is one row per map task); one equi-join of line
-occurrences with the boilerplate lines, whose hot keys AQE splits; one join
+removal need them; one exchange of line hashes with map-side counts (a line that a third
+of all documents hold is one row per map task), which leaves the lines of more than
+``max_docs`` occurrences; one equi-join of line occurrences with those, whose hot keys
+AQE splits; the families of these few lines by grouped counts; one join
 back on document keys. Texts are shuffled only if ``clean_text`` is used.
 """
 
@@ -43,11 +46,20 @@ def _hash(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def _mark(w: Column) -> Column:
-    """Hash of the alphabetically first three-word window of the words, or of all if they are fewer."""
+def _marks(w: Column) -> Column:
+    """(lo, hi): the alphabetically first and last three-word window of the words, or all words if they are fewer.
+
+    A mark is a number in alphabetical order: the window's first five bytes, then 20 bits of its hash.
+    """
     windows = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.struct(F.get(w, i).alias("a"), F.get(w, i + 1).alias("b"), F.get(w, i + 2).alias("c")))
-    return F.when(F.size(w) < 3, _hash(F.array_join(w, " "))).otherwise(
-        let(F.array_min(windows), lambda m: _hash(F.concat_ws(" ", m["a"], m["b"], m["c"]))))
+    joined = lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"])
+
+    def number(text: Column) -> Column:
+        return let(text.cast("binary"), lambda b: F.conv(F.concat(F.rpad(F.hex(F.substring(b, 1, 5)), 10, "0"), F.substring(F.md5(b), 1, 5)), 16, 10).cast("long"))
+
+    ends = let(windows, lambda x: F.struct(number(joined(F.array_min(x))).alias("lo"), number(joined(F.array_max(x))).alias("hi")))
+    short = let(number(F.array_join(w, " ")), lambda n: F.struct(n.alias("lo"), n.alias("hi")))
+    return F.when(F.size(w) < 3, short).otherwise(ends)
 
 
 def _repeat_words(w: Column) -> Column:
@@ -76,7 +88,7 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) < 4, F.lit(0)).otherwise(let(let(w, windows), spread)).cast("long")
 
 
-def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.25, max_removed_share: float = 0.5,
+def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.15, max_removed_share: float = 0.5,
                min_words: int = 50, max_repeat_pct: int = 50, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): figures, verdict, clean text.
 
@@ -100,26 +112,29 @@ def line_rules(docs: DataFrame, max_docs: int = 10, min_family_share: float = 0.
     lines = base.select("doc_id", "row_hash", "host", F.split(full, "\n").alias("lines"))
     keyed = durable(lines.select("doc_id", "row_hash", "host", F.transform("lines", lambda x: let(
         F.translate(x, FOLD_FROM, FOLD_TO), lambda folded: F.when(folded != "", let(words(ascii_lower(x)), lambda w: F.struct(
-            _hash(folded).alias("key"), F.size(w).alias("words"), _mark(w).alias("mark")))))).alias("lines")))
+            _hash(folded).alias("key"), F.size(w).alias("words"), _marks(w).alias("marks")))))).alias("lines")))
 
     real = F.filter("lines", lambda x: x.isNotNull())
-    uniq = keyed.select("host", F.sort_array(F.array_distinct(F.transform(real, lambda x: F.struct(x["mark"].alias("mark"), x["key"].alias("key"))))).alias("marks"))
-    at = lambda i: F.get("marks", F.lit(i))
-    end = lambda i: F.get("marks", F.size("marks") - i)
+    ordered = lambda end: F.sort_array(F.array_distinct(F.transform(real, lambda x: F.struct(x["marks"][end].alias("mark"), x["key"].alias("key")))))
+    often = keyed.select("host", F.explode(F.transform(real, lambda x: x["key"])).alias("key")).groupBy("host", "key").agg(F.count("*").alias("rows"))
+    often = dealt_anew(often.where(F.col("rows") > max_docs), "rows", "host", "key").drop("rows")
+    own = keyed.select("doc_id", "row_hash", "host", "lines", ordered("lo").alias("lows"), ordered("hi").alias("highs")).select(
+        "doc_id", "row_hash", "host", F.xxhash64(F.sort_array(F.transform("lows", lambda x: x["key"]))).alias("doc"),
+        F.get("lows", F.lit(0)).alias("a0"), F.get("lows", F.lit(1)).alias("a1"),
+        F.get("highs", F.size("highs") - 1).alias("z0"), F.get("highs", F.size("highs") - 2).alias("z1"), F.posexplode("lines").alias("pos", "line"))
     other = lambda here, there: F.when(F.col("line.key") == F.col(f"{here}.key"), F.col(f"{there}.mark")).otherwise(F.col(f"{here}.mark"))
+    common = durable(own.where(F.col("line").isNotNull()).select(
+        "doc_id", "row_hash", "host", "pos", F.col("line.key").alias("key"), F.col("line.words").alias("words"), "doc",
+        F.xxhash64(F.coalesce(other("a0", "a1"), F.lit(-1)), F.coalesce(other("z0", "z1"), F.lit(-1))).alias("family")).join(often, ["host", "key"]))
     families = (
-        uniq.select("host", at(0).alias("a0"), at(1).alias("a1"), end(1).alias("z0"), end(2).alias("z1"), F.explode("marks").alias("line"))
-        .select("host", F.col("line.key").alias("key"), other("a0", "a1").alias("first"), other("z0", "z1").alias("last"))
-        .groupBy("host", "key", "first", "last").agg(F.count("*").alias("docs"))
+        common.groupBy("host", "key", "family", "doc").agg(F.lit(1).alias("one"))
+        .groupBy("host", "key", "family").agg(F.count("*").alias("docs"))
         .groupBy("host", "key").agg(F.count("*").alias("families"), F.sum("docs").alias("docs")))
     boilerplate = dealt_anew(families.where(
         (F.col("families") > max_docs) & (F.col("families") >= min_family_share * F.col("docs"))), "docs", "host", "key").select("host", "key")
 
     found = (
-        keyed.select("doc_id", "row_hash", "host", F.posexplode("lines").alias("pos", "line"))
-        .where(F.col("line").isNotNull())
-        .select("doc_id", "row_hash", "host", "pos", F.col("line.key").alias("key"), F.col("line.words").alias("words"))
-        .join(boilerplate, ["host", "key"])
+        common.select("doc_id", "row_hash", "host", "pos", "key", "words").join(boilerplate, ["host", "key"])
         .groupBy("doc_id", "row_hash").agg(F.collect_set(F.struct("pos", "words")).alias("removed"))
         .select(F.col("doc_id").alias("id"), F.col("row_hash").alias("hash"), "removed"))
 
@@ -178,17 +193,22 @@ WITH d AS (
   SELECT doc_id, host, l, len(ws) AS n,
     CAST('0x' || substr(md5(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789' || chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13),
       'abcdefghijklmnopqrstuvwxyz0000000000')), 1, 15) AS BIGINT) AS key,
-    CAST('0x' || substr(md5(array_to_string(CASE WHEN len(ws) < 3 THEN ws
-      ELSE list_min(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])) END, ' ')), 1, 15) AS BIGINT) AS mark
+    CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+      ELSE array_to_string(list_min(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])), ' ') END AS lo,
+    CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+      ELSE array_to_string(list_max(list_transform(range(1, len(ws) - 1), lambda i: [ws[i], ws[i + 1], ws[i + 2]])), ' ') END AS hi
   FROM split
 ), uniq AS (
-  SELECT DISTINCT doc_id, host, key, mark FROM line
+  SELECT DISTINCT doc_id, host, key, CAST('0x' || rpad(substr(hex(encode(lo)), 1, 10), 10, '0') || substr(md5(lo), 1, 5) AS BIGINT) AS lo,
+    CAST('0x' || rpad(substr(hex(encode(hi)), 1, 10), 10, '0') || substr(md5(hi), 1, 5) AS BIGINT) AS hi FROM line
+), same AS (
+  SELECT doc_id, list(DISTINCT key ORDER BY key) AS lines FROM uniq GROUP BY doc_id
 ), fam AS (
-  SELECT u.doc_id, u.host, u.key, u.mark, min(o.mark) AS f, max(o.mark) AS z
-  FROM uniq u LEFT JOIN uniq o ON u.doc_id = o.doc_id AND u.key <> o.key GROUP BY ALL
+  SELECT u.doc_id, u.host, u.key, s.lines, min(o.lo) AS f, max(o.hi) AS z
+  FROM uniq u JOIN same s ON s.doc_id = u.doc_id LEFT JOIN uniq o ON u.doc_id = o.doc_id AND u.key <> o.key GROUP BY ALL
 ), boiler AS (
-  SELECT host, key FROM (SELECT host, key, count(*) AS docs, count(DISTINCT coalesce(CAST(f AS VARCHAR), '') || '/' || coalesce(CAST(z AS VARCHAR), '')) AS families FROM fam GROUP BY host, key)
-  WHERE families > 10 AND families >= 0.25 * docs
+  SELECT host, key FROM (SELECT host, key, count(DISTINCT lines) AS docs, count(DISTINCT {f: f, z: z}) AS families FROM fam GROUP BY host, key)
+  WHERE families > 10 AND families >= 0.15 * docs
 ), gone AS (
   SELECT doc_id, sum(n) AS removed_words, count(*) AS removed_lines FROM line JOIN boiler USING (host, key) GROUP BY doc_id
 ), dup AS (

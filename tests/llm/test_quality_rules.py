@@ -95,6 +95,28 @@ def test_brute_force_families(spark):
         assert got[i] == (len(t.split("\n")) - len(stay), "\n".join(stay))
 
 
+def test_copies_do_not_hide_a_common_line(spark):
+    """A thousand copies of one document count once, and many template lines do not make copies of documents."""
+    rng = random.Random(11)
+    common = "terms of use apply to all of this " + prose(rng, 4)
+    rows = [(i, f"{prose(rng, 55)}\n{common}", "a") for i in range(300)]
+    one = f"{prose(rng, 70)}\n{common}\n{prose(rng, 8)}"
+    rows += [(1000 + i, one, "a") for i in range(1000)]
+    near = [prose(rng, 12) for _ in range(9)] + [common]
+    for i in range(600):  # near copies of one document with the line in it
+        some = list(near)
+        some[i % 9] = some[i % 9].replace(some[i % 9].split()[i % 12], prose(rng, 1))
+        rows.append((3000 + i, "\n".join(some), "a"))
+    template = [prose(rng, 4) for _ in range(20)]
+    rows += [(5000 + i, "\n".join(template[:10] + [prose(rng, 55)] + template[10:]), "b") for i in range(300)]
+    got = {r.doc_id: r for r in Q.line_rules(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()}
+    texts = {i: t for i, t, _ in rows}
+    for i in [*range(300), *range(1000, 2000), *range(3000, 3600)]:
+        assert got[i].kept and got[i].clean_text == "\n".join(x for x in texts[i].split("\n") if x != common)
+    for i in range(5000, 5300):
+        assert got[i].clean_text == texts[i].split("\n")[10] and got[i].removed_lines == 20 and not got[i].kept
+
+
 def test_kept_documents_keep_their_rows(spark):
     rows, _ = corpus()
     full = [(i, t, "en", s, len(t)) for i, t, s in rows] + [(400, rows[-25][1], "en", "h", 1), (None, rows[90][1] + " tail", "de", "h", None)]
