@@ -158,31 +158,30 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     copy, and one with the partly taken words, joined by spaces.
 
     Rows equal in doc_id, text and source are told apart by their number, so
-    each meets one place on the line.
+    each meets one place on the line, and n of them make n pairs. Nulls in any
+    column, empty texts and extra columns are as ``mix`` has them; an empty table
+    gives an empty result.
     """
     key = ["doc_id", "row_hash", "source"]
     plain = pick(docs, doc_id="long", text="string", lang="string", source="string")
     mine = plain.withColumn("row_hash", F.xxhash64("text")).withColumn(
         "copy", F.row_number().over(Window.partitionBy(*key).orderBy("lang")))
-    part = mix(plain, **params)
-    taken = part.withColumn("copy", F.row_number().over(Window.partitionBy(*key).orderBy("begin"))).where("taken > 0").select(
-        F.col("doc_id").alias("id"), F.col("row_hash").alias("hash"), F.col("source").alias("name"), F.col("copy").alias("nth"),
-        "size", "taken", "full", "begin", "shard_size", "n", "before")
-    both = mine.join(taken, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("name"))
-                     & (F.col("row_hash") == F.col("hash"))
-                     # no join key of its own: the rows are dealt by the window's keys already
-                     & (F.col("copy") - F.col("nth") == 0))
-    rest = both.withColumn("extra", F.expr("taken - full * size"))
-    copies = rest.withColumn("full", F.expr("full + if(extra = size, 1, 0)")).withColumn("part", F.expr("extra > 0 AND extra < size"))
-    each = copies.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("full + if(part, 1, 0)"))))
+    # the document's own pieces leave the shard's whole line of blocks behind
     pieces = F.expr("""transform(filter(sequence(((begin + 1) * n - 1) div shard_size, ((begin + size) * n - 1) div shard_size),
                 j -> get(before, cast(j + 1 AS int)) > get(before, cast(j AS int))),
             j -> struct(greatest((j * shard_size) div n, begin) - begin AS a, least(((j + 1) * shard_size) div n, begin + size) - begin AS z))""")
+    part = mix(plain, **params).withColumn("extra", F.expr("taken - full * size")).select(
+        *key, "begin", F.expr("if(taken = 0, 0, full + if(extra = size, 1, 0))").alias("full"),
+        F.when(F.expr("extra > 0 AND extra < size"), pieces).alias("pieces"))
+    taken = part.withColumn("nth", F.row_number().over(Window.partitionBy(*key).orderBy("begin"))).where("full > 0 OR pieces IS NOT NULL").select(
+        F.col("doc_id").alias("id"), F.col("row_hash").alias("hash"), F.col("source").alias("name"), "nth", "full", "pieces")
+    both = mine.join(taken, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("name"))
+                     & (F.col("row_hash") == F.col("hash")) & (F.col("copy") == F.col("nth")))
+    each = both.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("full + if(pieces IS NULL, 0, 1)"))))
     some = let(words(F.col("text")), lambda w: F.array_join(F.flatten(F.transform(
         F.col("pieces"), lambda p: F.slice(w, (p["a"] + 1).cast("int"), (p["z"] - p["a"]).cast("int")))), " "))
     return (
-        each.withColumn("pieces", F.when(F.expr("i > full"), pieces))
-        .withColumn("text", F.when(F.expr("i > full"), some).otherwise(F.col("text")))
+        each.withColumn("text", F.when(F.expr("i > full"), some).otherwise(F.col("text")))
         .select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars")))
 
 
