@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -48,6 +47,8 @@ _LANES = (np.arange(8) * 256)[None, :]
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
     """Unsigned 64-bit SimHash of one text; 0 if it has no words."""
+    import xxhash  # here, so that the queries of all other operators do without it
+
     w = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not w:
         return 0

@@ -183,7 +183,8 @@ def evidence(pos: np.ndarray, neg: np.ndarray, all_pos: int, all_neg: int) -> np
 def train(sample: list[tuple[str, int]], rounds: int = 4, batch: int = 256, rate: float = 0.01, first_windows: int = 20_000, seed: int = 7) -> Network:
     """A network for (text, label) pairs.
 
-    The first column of word vectors and the second of n-gram vectors start
+    The first of ``rounds`` learns from ``first_windows`` windows at most, drawn evenly; later
+    ones from each document's worst window. The first column of word vectors and the second of n-gram vectors start
     from the evidence of the sample's documents, all else near zero.
     """
     labels = np.array([y for _, y in sample], np.float32)
@@ -297,7 +298,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     """(doc_id, text, toxic) of about ``sample_docs`` toxic and three times as many
     other labelled documents at most, outside the held-out part.
 
-    Drawn by a hash of the id below the class's share; whole texts are learned from. Labels that are
+    Drawn by a hash of the id below the class's share; whole texts are learned from, one row an
+    id (of rows repeated in doc_id that of the smallest text hash), so the bound is of rows. Labels that are
     null or neither 0 nor 1 are left out; an id with both is toxic.
     """
     marks = pick(labels, doc_id="long", toxic="int").where(F.col("toxic").isin(0, 1) & (id_part(F.col("doc_id"), 5) != 0))
@@ -305,9 +307,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPL
     number = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = [min(1.0, most / number.get(y, 1)) for y, most in enumerate((3 * sample_docs, sample_docs))]
     drawn = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]) * (1 << 20))
-    # the share bounds the drawn ids, whatever the table's size
-    return pick(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
+    # the share bounds the drawn ids, whatever the table's size, and an id has one row
+    rows = pick(docs, doc_id="long", text="string").withColumn("text", F.coalesce("text", F.lit(""))).join(F.broadcast(drawn), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("toxic").alias("toxic"))
 
 
 def rate(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, **training) -> DataFrame:
