@@ -3,8 +3,8 @@ from dimfold.llm import html_extraction as H
 SCHEMA = "page_id long, url string, html string"
 
 
-def text(source, template=None):
-    return H.Page(source).main_text(template)
+def text(source):
+    return H.Page(source).main_text()
 
 
 def test_article_without_what_surrounds_it():
@@ -35,6 +35,64 @@ def test_odd_markup():
     assert text(deep) == "x"
 
 
+def test_headings_and_sections_of_an_article_keep_their_text():
+    page = """<article><h1 id="search">A</h1><h2 id="discussion">Discussion</h2><p>one</p><h2 id="related-work">Related work</h2>
+    <section id="discussion"><p>two</p></section><div id="social-networks"><p>three</p></div><div class="note alert-box">four</div>
+    <div class="share">gone</div><section id="comments">gone</section><div class="ad">gone</div></article>"""
+    assert text(page) == "A\n\nDiscussion\n\none\n\nRelated work\n\ntwo\n\nthree\n\nfour"
+    assert text('<body><div class="ad-free post"><p>all of it</p></div></body>') == "all of it"
+    assert text('<body><div class="post no-sidebar"><p>all</p></div><div class="site-footer">f</div><div class="cookie-notice">c</div></body>') == "all"
+    assert text('<body><div class="menu-left">m</div><p>body text</p></body>') == "body text"
+
+
+def test_controls_end_with_the_block_after_them():
+    assert text("<article><p>a</p><button>Like<p>b</p><p>c</p></article>") == "a\n\nb\n\nc"
+    assert text("<article><p>a <button>x</button> b</p><select><option>1<option>2</select><p>c</p></article>") == "a b\n\nc"
+    assert text("<article><p>a</p><select><option>1<div>b</div></article>") == "a\n\nb"
+
+
+def test_boxes_of_sections_go(spark):
+    """Four sections of 40 pages with an unmarked box each, then the same without sections in the URL."""
+    for url in ("http://news.example/{0}/{1}", "http://news.example/{0}-{1}"):
+        rows = [(40 * s + i, url.format("abcd"[s], i), f"<body><div>Editor of section {s}: call 555-{s}</div><div><p>own words {s} {i}</p></div></body>")
+                for s in range(4) for i in range(40)]
+        got = H.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert sorted(r.text for r in got) == sorted(f"own words {s} {i}" for s in range(4) for i in range(40))
+    mixed = [(i, f"http://m.example/{'ab'[i % 2]}/{i}", f"<body><div>Only in {'ab'[i % 2]}</div><div><p>w {i}</p></div></body>") for i in range(12)]
+    mixed += [(100 + i, f"http://m.example/x{i}", f"<body><p>page {i}</p></body>") for i in range(60)]  # 6 of 72 pages, but all of a section
+    got = {r.page_id: r.text for r in H.extract(spark.createDataFrame(mixed, SCHEMA)).collect()}
+    assert all(got[i] == f"w {i}" for i in range(12)) and got[100] == "page 0"
+
+
+def test_templates_by_an_independent_count(spark):
+    """Flat pages whose boxes are told apart by a regular expression, not by the operator's parser."""
+    import random
+    import re
+    from collections import defaultdict
+
+    rng = random.Random(12)
+    boxes = [f"<div>box {k}</div>" for k in range(12)]
+    rows = []
+    for i in range(300):
+        site = rng.choice(["p.example", "q.example"])
+        part = rng.choice(["", "a/", "b/"])
+        some = [b for k, b in enumerate(boxes) if rng.random() < (0.02 + 0.04 * k if part else 0.5 if k == 3 else 0.01)]
+        rows.append((i, f"http://{site}/{part}{i}", "<body>" + "".join([*some, f"<div>own {i}</div>"]) + "</body>"))
+    seen, whole = defaultdict(set), defaultdict(set)
+    scopes = {}
+    for i, url, source in rows:
+        site, *path = url.removeprefix("http://").split("/")
+        scopes[i] = [site] + ([f"{site}/{path[0]}"] if len(path) > 1 else [])
+        for scope in scopes[i]:
+            whole[scope].add(i)
+            for b in re.findall("<div>.*?</div>", source):
+                seen[scope, b].add(i)
+    gone = {x for x, on in seen.items() if len(on) >= 5 and len(on) >= 0.3 * len(whole[x[0]]) or len(on) >= 20 and len(on) >= 0.05 * len(whole[x[0]])}
+    assert 5 < len(gone) < len(seen)
+    want = {i: "\n\n".join(b[5:-6] for b in re.findall("<div>.*?</div>", source) if not any((s, b) in gone for s in scopes[i])) for i, _, source in rows}
+    assert {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+
+
 def pages():
     """30 pages of one host with a template that no name gives away, 10 copies of one page, and a small host."""
     rows = []
@@ -48,29 +106,36 @@ def pages():
     return rows
 
 
-def brute(rows, min_pages=5, min_share=0.3, prose_share=0.9):
+def brute(rows, min_pages=5, min_share=0.3, many_pages=20, small_share=0.05, prose_share=0.9):
     import re
     from collections import defaultdict
 
     seen, whole = defaultdict(set), defaultdict(set)
-    host = lambda u: (re.match(r"[a-z]+://(?:[^/@]*@)?([^/:?#]*)", u or "") or ["", ""])[1].lower()
+
+    def scopes(u):
+        host = (re.match(r"[a-z]+://(?:[^/@]*@)?([^/:?#]*)", u or "") or ["", ""])[1].lower()
+        part = re.match(r"[a-z]+://[^/]*/([^/?#]+)/[^/?#]", u or "")
+        return [host, f"{host}/{part[1]}"] if part else [host]
+
     for _, url, source in rows:
         page = H.Page(source or "")
-        whole[host(url)].add(page.main_text())
-        for _, key, prose in page.subtrees():
-            seen[host(url), key, prose].add(page.main_text())
-    gone = defaultdict(set)
-    for (h, key, prose), found in seen.items():
-        if len(found) >= min_pages and len(found) >= (prose_share if prose else min_share) * len(whole[h]):
-            gone[h].add(key)
-    return [(i, u, H.Page(s or "").main_text(gone[host(u)])) for i, u, s in rows]
+        for scope in scopes(url):
+            whole[scope].add(page.main_text())
+            for _, key, prose in page.subtrees():
+                seen[scope, key, prose].add(page.main_text())
+    gone = defaultdict(list)
+    for (scope, key, prose), found in seen.items():
+        share = prose_share if prose else small_share if len(found) >= many_pages else min_share
+        if len(found) >= min_pages and len(found) >= share * len(whole[scope]):
+            gone[scope].append(key)
+    return [(i, u, H.Page(s or "").main_text([sorted(gone[x]) for x in scopes(u)])) for i, u, s in rows]
 
 
 def test_site_templates(spark):
     rows = pages() + [(400, None, None), (401, "no host", ""), (401, "no host", "")]
     df = spark.createDataFrame([r + ("x", "y") for r in rows], SCHEMA + ", host string, Text string")
-    for broadcast_rows in (0, 100):
-        got = sorted(((r.page_id, r.url, r.text) for r in H.extract(df, broadcast_rows).collect()), key=repr)
+    for broadcast_hashes in (0, 1000):
+        got = sorted(((r.page_id, r.url, r.text) for r in H.extract(df, broadcast_hashes).collect()), key=repr)
         assert got == sorted(brute(rows), key=repr)
     by_id = {i: t for i, _, t in got}
     assert by_id[3] == "own words of page 3" and by_id[100] == "copied\n\npage of words" and by_id[200] == "Hello all\n\ns0"
