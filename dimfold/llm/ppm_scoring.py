@@ -16,7 +16,7 @@ places of the texts side by side. It is exact where the whole context of ``order
 bytes is in it. All other windows get their probabilities in groups of the two
 bytes before the predicted one, and meet their texts in one join. Of the word
 counts at most ``head``, the most frequent, are broadcast too; all other words meet
-their counts in that same join.
+their counts in that same join, by a 62-bit hash. All rows of the join are four numbers.
 """
 
 from __future__ import annotations
@@ -145,13 +145,8 @@ def _levels(grams: np.ndarray, n: np.ndarray, lengths: range, below: dict | None
     return below
 
 
-def _keys(grams: np.ndarray) -> pa.Array:
-    """Join keys of windows; no word has their first byte."""
-    return pa.Array.from_buffers(pa.binary(8), len(grams), [None, pa.py_buffer((grams | -1 << 56).astype(">i8").tobytes())]).cast(pa.binary())
-
-
 def gram_scores(grams: DataFrame, trie: dict) -> DataFrame:
-    """(known, log): join key and log10 probability of the windows whose context is not in ``trie``.
+    """(known, log): window and log10 probability of the windows whose context is not in ``trie``.
 
     Windows with the same last two bytes of context are a group: all shorter
     contexts but those of no and one byte, at most 65,536 pairs, are of one group.
@@ -165,10 +160,10 @@ def gram_scores(grams: DataFrame, trie: dict) -> DataFrame:
         below, known = shared.value
         got = _levels(group["gram"].to_numpy(), group["n"].to_numpy(), range(split, order + 1), below)
         tail = ~np.isin(got["pair"] >> 8, known)
-        return pa.table({"known": _keys(got["pair"][tail]), "log": np.log10(np.maximum(got["p"][tail], 1e-30))})
+        return pa.table({"known": got["pair"][tail], "log": np.log10(np.maximum(got["p"][tail], 1e-30))})
 
     last = F.expr(f"(gram >> 8) & {(1 << 8 * split) - 1}L")
-    return grams.select("gram", "n", last.alias("last")).groupBy("last").applyInArrow(run, "known binary, log double")
+    return grams.select("gram", "n", last.alias("last")).groupBy("last").applyInArrow(run, "known long, log double")
 
 
 class Predictor:
@@ -266,17 +261,22 @@ class Predictor:
         return np.add.reduceat(np.where(whole, out, 0), first, dtype=np.float64), owner[new], gram[new], n
 
 
-FLAT = pa.schema([("uid", pa.int64()), ("key", pa.binary()), ("tf", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()),
-                  ("n_tokens", pa.int64()), ("head_known", pa.int64()), ("head_score", pa.float64()), ("score", pa.float64())])
-FLAT_SQL = "uid long, key binary, tf long, doc_id long, held_out boolean, n_tokens long, head_known long, head_score double, score double"
+#: Rows that meet in the join, all of one narrow shape. ``key`` is a window, or a word's hash from 2^62 on; below
+#: zero it is -4 * (uid + 1) plus a kind, and the row is a fact of the text ``uid`` itself.
+FLAT = "uid long, key long, tf long, log double"
+DOC_BASE, TOKENS_SCORE, KNOWN_HELD = 0, 1, 2
+WORD, WORD_BITS = 1 << 62, (1 << 62) - 1
 
 
-def _tail(uid, key: pa.Array, tf) -> pa.RecordBatch:
-    """Rows that wait for the join."""
-    return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), key, pa.array(tf, pa.int64()), *(pa.nulls(len(key), f.type) for f in list(FLAT)[3:])], schema=FLAT)
+def _rows(uid, key, tf, log=None) -> pa.RecordBatch:
+    column = lambda x: pa.array(x, pa.int64())
+    return pa.RecordBatch.from_arrays([column(uid), column(key), column(tf), pa.nulls(len(uid), pa.float64()) if log is None else pa.array(log, pa.float64())],
+                                      ["uid", "key", "tf", "log"])
 
 
 def _score(shared, key: str, end: float, end_known: int):
+    import xxhash  # here, so that the queries of all other operators do without it
+
     def load():
         trie, head, head_log = shared.value
         return Predictor(trie), {w: i for i, w in enumerate(head)}, head_log
@@ -290,25 +290,24 @@ def _score(shared, key: str, end: float, end_known: int):
                 texts = [lowered(t) for t in batch.column(2)[step].to_pylist()]
                 scores, owner, gram, times = ppm.known(texts)
                 if len(gram):
-                    yield _tail(owner + uid, _keys(gram), times)
-                main, tail = [], ([], [], [])
-                for t in texts:
+                    yield _rows(owner + uid, gram, times)
+                facts, rare_of, rare_key, rare_n = [], [], [], []
+                for t, doc_id, held_out, score in zip(texts, ids[step], held[step], scores.tolist()):
                     w = t.split()
                     at = np.fromiter(map(head.get, w, repeat(-1)), np.int64, len(w))
                     known = at[at >= 0]
-                    main.append((uid, b"\xff%d" % uid, 0, len(w) + 1, len(known) + end_known, float(head_log[known].sum()) + end))
+                    mark = -4 * (uid + 1)
+                    facts += [(uid, mark + DOC_BASE, doc_id, float(head_log[known].sum()) + end), (uid, mark + TOKENS_SCORE, len(w) + 1, score),
+                              (uid, mark + KNOWN_HELD, 2 * (len(known) + end_known) + held_out, 0.0)]
                     if len(known) < len(w):
                         rare = Counter(w[i] for i in np.flatnonzero(at < 0))
-                        tail[0].extend(repeat(uid, len(rare)))
-                        tail[1].extend(rare)
-                        tail[2].extend(rare.values())
+                        rare_of.extend(repeat(uid, len(rare)))
+                        rare_key.extend(xxhash.xxh64_intdigest(x, 42) & WORD_BITS | WORD for x in rare)
+                        rare_n.extend(rare.values())
                     uid += 1
-                uids, marks, tf, n, seen, base = zip(*main)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(uids, pa.int64()), pa.array(marks), pa.array(tf, pa.int64()), pa.array(ids[step], pa.int64()), pa.array(held[step]),
-                    pa.array(n, pa.int64()), pa.array(seen, pa.int64()), pa.array(base, pa.float64()), pa.array(scores)], schema=FLAT)
-                if tail[0]:
-                    yield _tail(tail[0], pa.array(tail[1], pa.binary()), tail[2])
+                yield _rows(*map(list, zip(*facts)))
+                if rare_of:
+                    yield _rows(rare_of, rare_key, rare_n)
 
     return run
 
@@ -338,18 +337,23 @@ def score(docs: DataFrame, order: int = ORDER, max_nodes: int = MAX_NODES, head:
     shared = spark.sparkContext.broadcast((
         trie, [r.word.encode("utf-8", "replace") for r in often], np.log10((np.array([r.c for r in often], float) + 0.5) / below)))
     flat = plain.select("doc_id", "held_out", "text").mapInArrow(
-        _score(shared, uuid.uuid4().hex, float(np.log10((ends + 0.5) / below)), int(ends > 0)), FLAT_SQL)
-    known = counts.select(F.col("word").cast("binary").alias("known"), "c", F.lit(None).cast("double").alias("log")).unionByName(
-        gram_scores(grams, trie), allowMissingColumns=True)
+        _score(shared, uuid.uuid4().hex, float(np.log10((ends + 0.5) / below)), int(ends > 0)), FLAT)
+    word_key = F.xxhash64(F.col("word").cast("binary")).bitwiseAND(F.lit(WORD_BITS)).bitwiseOR(F.lit(WORD))
+    known = counts.select(word_key.alias("known"), "c", F.lit(None).cast("double").alias("known_log")).unionByName(
+        gram_scores(grams, trie).withColumnRenamed("log", "known_log"), allowMissingColumns=True)
     met = flat.join(known, F.col("key") == F.col("known"), "left")
-    rare = F.when(F.col("log").isNull(), F.col("tf") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(below)))
+    fact = lambda kind: F.col("key").bitwiseAND(3) == kind
+    of = lambda kind, what: F.max(F.when((F.col("key") < 0) & fact(kind), F.col(what))).alias(f"{what}{kind}")
+    rare, c = F.col("key") >= WORD, F.coalesce("c", F.lit(0))
     by_row = met.groupBy("uid").agg(
-        *[F.max(c).alias(c) for c in ("doc_id", "held_out", "n_tokens", "head_known", "head_score", "score")],
-        F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("tail_known"), F.sum(rare).alias("tail_score"),
-        F.coalesce(F.sum(F.col("tf") * F.col("log")), F.lit(0.0)).alias("rest"))
+        *[of(kind, what) for kind in (DOC_BASE, TOKENS_SCORE, KNOWN_HELD) for what in ("tf", "log")],
+        F.sum(F.when(rare & (c > 0), F.col("tf")).otherwise(0)).alias("tail_known"),
+        F.coalesce(F.sum(F.when(rare, F.col("tf") * F.log10((c + 0.5) / F.lit(below)))), F.lit(0.0)).alias("tail_score"),
+        F.coalesce(F.sum(F.col("tf") * F.col("known_log")), F.lit(0.0)).alias("rest"))
     return by_row.select(
-        "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.col("tail_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.col("tail_score")).alias("base_score"), (F.col("score") + F.col("rest")).alias("score"))
+        F.col("tf0").alias("doc_id"), (F.col("tf2") % 2 == 1).alias("held_out"), F.col("tf1").alias("n_tokens"),
+        (F.shiftright("tf2", 1) + F.col("tail_known")).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("log0") + F.col("tail_score")).alias("base_score"), (F.col("log1") + F.col("rest")).alias("score"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
