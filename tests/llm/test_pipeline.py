@@ -117,3 +117,38 @@ def test_whole_run_and_empty_input(spark, frames):
     for _, stage in C.STAGES:
         docs = stage(spark, docs, DIR)
         assert docs.count() == 0
+
+
+def test_nulls_repeats_and_clashing_names_through_all_stages(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    one = docs.where("length(text) > 400").orderBy("doc_id").first()
+    odd = [(None, one.text, one.lang, one.source, None), (9001, None, None, None, None), (9002, "", "en", "s", 0), (9003, " \n ", None, "s", 3),
+           (9004, one.text + "\nanother line of words here", None, None, -1)] + [(9005, one.text, one.lang, one.source, 7)] * 3
+    whole = docs.unionByName(spark.createDataFrame(odd, docs.schema)).selectExpr(
+        "*", "'x' AS Text", "1 AS copy", "'k' AS `key`", "2 AS rank", "'h' AS host", "0.5 AS `found.lang`")
+    made = []
+    for _, stage in C.STAGES:
+        made.append(stage_table(stage(spark, whole, DIR)))
+        whole = made[-1]
+        if stage is not C.packing_stage:
+            assert whole.columns == COLUMNS
+            whole = whole.selectExpr("*", "'x' AS `DOC_ID `", "1 AS nth", "'k' AS `hash`", "2 AS fp", "'h' AS `a.b`")
+    count = lambda df, i: df.where("doc_id IS NULL" if i is None else f"doc_id = {i}").count()
+    assert [count(made[0], i) for i in (None, 9001, 9002, 9003, 9005)] == [1, 0, 0, 0, 3]  # repeats are rows of their own, empty ones fail
+    assert made[1].where("lang IS NULL").count() == 0 and count(made[1], 9005) == 3
+    same = made[2].where(made[2].text == made[0].where("doc_id = 9005").first().text)
+    assert same.count() == 1 and same.first().doc_id == one.doc_id  # a null id never stands for a group that has another
+    assert made[4].select("sequence_id", "offset").distinct().count() == made[4].count()
+
+
+def test_equal_rows_take_their_turns_in_the_mix(spark):
+    rows_ = [(1, "a b c d e f g h", "en", "s", 1)] * 60 + [(i, f"w{i} " * 20, "en", "t", 1) for i in range(2, 30)] + [(None, "x y", None, None, None)] * 5
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = source_mixing.mix(docs).groupBy("doc_id").agg({"taken": "sum"}).collect()
+    mixed = source_mixing.mixed_documents(docs)
+    got = {}
+    for r in mixed.collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + len(r.text.split())
+    assert got == {r[0]: r[1] for r in taken if r[1]} and len(got) > 20
+    joins = [x for x in mixed._jdf.queryExecution().executedPlan().toString().split("\n") if "Join" in x and "nth" in x]
+    assert joins and all("copy" in x.split("], [")[0] for x in joins)  # the number is a key, so n equal rows make n pairs
