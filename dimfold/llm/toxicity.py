@@ -8,9 +8,9 @@ unit scores the window. Windows overlap and cover the whole text; a text scores
 as its worst window.
 
 Trained with numpy and Adam on a bounded sample of labelled documents
-(``sample_docs`` toxic ones and three times as many others). First windows carry
-their document's label, then only the worst window of each document does, as a
-toxic text need not be toxic all over.
+(``sample_docs`` toxic ones and three times as many others). Windows drawn from
+anywhere in a document carry its label, then only the worst window of each document
+does, as a toxic text need not be toxic all over. All of the network starts at random.
 
 Scale: labels join documents by id once, for the sample alone. Scoring is one
 pass over whole texts, without a shuffle; the network is a few hundred KB.
@@ -171,22 +171,42 @@ class Adam:
             p[name] -= self.rate * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.995 ** self.step)) + 1e-7)
 
 
-def evidence(pos: np.ndarray, neg: np.ndarray, all_pos: int, all_neg: int) -> np.ndarray:
-    """Signed root of the likelihood ratio of being in ``pos`` and ``neg`` of the
-    documents, drawn towards zero by 3 so that chance sightings vanish."""
-    expected = (pos + neg) * all_pos / (all_pos + all_neg)
-    part = lambda x, e: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(e, 1e-9)), 0)
-    root = np.sqrt(np.maximum(2 * (part(pos, expected) + part(neg, pos + neg - expected)), 0))
-    return (np.sign(pos - expected) * np.clip(root - 3, 0, 12) / 4).astype(np.float32)
+class RowSteps:
+    """Adagrad by rows: a row of vectors that moves rarely moves far."""
 
-
-def train(sample: list[tuple[str, int]], rounds: int = 4, batch: int = 256, rate: float = 0.01, first_windows: int = 20_000, seed: int = 7) -> Network:
-    """A network for (text, label) pairs.
-
-    The first of ``rounds`` learns from ``first_windows`` windows at most, drawn evenly; later
-    ones from each document's worst window. The first column of word vectors and the second of n-gram vectors start
-    from the evidence of the sample's documents, all else near zero.
+    def __init__(self, rate: float):
+        self.rate, self.sum = rate, {}
+
+    def apply(self, p: dict, name: str, rows: np.ndarray, grads: np.ndarray) -> None:
+        seen = self.sum.setdefault(name, np.full(len(p[name]), 1e-8, np.float32))
+        used, to = np.unique(rows, return_inverse=True)
+        g = np.zeros((len(used), grads.shape[1]), np.float32)
+        np.add.at(g, to, grads)
+        seen[used] += (g * g).mean(1)
+        p[name][used] -= self.rate * g / np.sqrt(seen[used])[:, None]
+
+
+def train(sample: list[tuple[str, int]], rounds: int = 1, batch: int = 256, rate: float = 0.01, row_rate: float = 0.05,
+          each: int = 12, passes: tuple[int, int] = (3, 25), enough: int = 40_000, set_aside: int = 10, seed: int = 7) -> Network:
+    """A network for (text, label) pairs, learned from a random start.
+
+    As many passes as show ``enough`` windows, at least and at most ``passes``, draw up to ``each``
+    windows anew from anywhere in every document; they carry its label, classes weigh alike and a
+    document of n windows as the root of n. Then ``rounds`` rounds learn from each document's worst
+    window. Every ``set_aside``-th document of a class is kept out of all this and moves the bias
+    until the scores of these documents add up to their labels, near enough (few documents move it little).
     """
+    if not sample or len({y for _, y in sample}) == 1:
+        net = Network([], seed)
+        net.p["bias"][0] = 4.0 if sample and sample[0][1] else -4.0
+        net.p["out"][:] = 0
+        return net
+    turn = np.zeros(len(sample), int)
+    for y in (0, 1):
+        of = [i for i, (_, label) in enumerate(sample) if label == y]
+        turn[of] = np.arange(1, len(of) + 1)
+    checked = [s for s, n in zip(sample, turn) if n % set_aside == 0]
+    sample = [s for s, n in zip(sample, turn) if n % set_aside]
     labels = np.array([y for _, y in sample], np.float32)
     number: dict[str, int] = {}
     numbered = [np.fromiter((number.setdefault(w, len(number)) for w in tokens(t)), np.int64) for t, _ in sample]
@@ -195,31 +215,18 @@ def train(sample: list[tuple[str, int]], rounds: int = 4, batch: int = 256, rate
     for t in numbered:
         often[np.unique(t)] += 1
     net = Network(sorted(types[i] for i in np.flatnonzero(often >= 3)), seed)
-    if not len(labels) or labels.min() == labels.max():
-        net.p["bias"][0] = -4.0 if not len(labels) or labels[0] == 0 else 4.0
-        net.p["out"][:] = 0
-        return net
     ids, first = cut(numbered, pad)
-    owner = np.repeat(np.arange(len(numbered)), np.diff(np.append(first, len(ids))))
+    windows = np.diff(np.append(first, len(ids)))
+    owner = np.repeat(np.arange(len(numbered)), windows)
     known = np.array([net.place.get(w, 0) for w in types])
     at, bucket = net.grams(types)
     order = np.argsort(at, kind="stable")
     at, bucket = at[order], bucket[order]
     bounds = np.searchsorted(at, np.arange(len(types) + 1))
     share = (1.0 / np.diff(bounds))[at].astype(np.float32)
+    rng, adam, row_steps = np.random.default_rng(seed), Adam(rate), RowSteps(row_rate)
 
-    word_docs, gram_docs = np.zeros((2, len(net.place) + 1)), np.zeros((2, BUCKETS))
-    for t, y in zip(numbered, labels.astype(int)):
-        t = np.unique(t)
-        word_docs[y, known[t]] += 1
-        spans = [bucket[bounds[w]:bounds[w + 1]] for w in t]
-        gram_docs[y, np.unique(np.concatenate(spans)) if spans else []] += 1
-    positive = int(labels.sum())
-    net.p["word"][1:, 0] = evidence(word_docs[1], word_docs[0], positive, len(labels) - positive)[1:]
-    net.p["gram"][:, 1] = evidence(gram_docs[1], gram_docs[0], positive, len(labels) - positive)
-    rng, adam = np.random.default_rng(seed), Adam(rate)
-
-    def learn(rows: np.ndarray, y: np.ndarray) -> None:
+    def learn(rows: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
         used, local = np.unique(ids[rows], return_inverse=True)
         local = local.reshape(len(rows), -1)
         real = used[used < pad]
@@ -231,36 +238,57 @@ def train(sample: list[tuple[str, int]], rounds: int = 4, batch: int = 256, rate
         vectors[: len(real)] = net.p["word"][known[real]] * own
         if len(real):
             vectors[: len(real)] += np.add.reduceat(net.p["gram"][bucket[grams]] * share[grams, None], np.cumsum(lengths) - lengths, axis=0)
-        mask = rng.random((len(used), 1)) < 0.95  # now and then a word is missing
+        mask = rng.random((len(used), 1)) < 0.9  # now and then a word is missing
         vectors *= mask
         keep: list = []
         logit = net.run(local, net.project(vectors), keep)
-        d_logit = ((1 / (1 + np.exp(-logit)) - y) / len(rows)).astype(np.float32)
+        d_logit = ((1 / (1 + np.exp(-logit)) - y) * weight / weight.sum()).astype(np.float32)
         g, d_inputs = net.backward(local, keep, d_logit, len(used))
         d_vectors = np.zeros_like(vectors)
         for side, d_in in zip("fb", d_inputs):
             g[f"{side}x"], g[f"{side}c"] = vectors.T @ d_in, d_in.sum(0)
             d_vectors += d_in @ net.p[f"{side}x"].T
         adam.apply(net.p, g)
-        # plain steps for the vectors: a rare word moves little
-        d_vectors *= -10 * rate * mask
-        np.add.at(net.p["gram"], bucket[grams], d_vectors[to] * share[grams, None])
-        np.add.at(net.p["word"], known[real], d_vectors[: len(real)] * own)
+        if len(real):
+            d_vectors *= mask
+            row_steps.apply(net.p, "gram", bucket[grams], d_vectors[to] * share[grams, None])
+            row_steps.apply(net.p, "word", known[real], d_vectors[: len(real)] * own)
         net.p["word"][0] = 0
 
-    some = rng.permutation(len(ids))[:first_windows]
-    for i in range(0, len(some), batch):
-        learn(some[i:i + batch], labels[owner[some[i:i + batch]]])
+    drawn = np.minimum(windows, each)
+    for _ in range(min(max(-(-enough // int(drawn.sum())), passes[0]), passes[1])):
+        some = np.lexsort((rng.random(len(ids)), owner))
+        some = rng.permutation(some[np.arange(len(ids)) - first[owner] < each])
+        y = labels[owner[some]]
+        weight = np.where(y == 1, (y == 0).sum() / (y == 1).sum(), 1.0) / np.sqrt(drawn[owner[some]])
+        for i in range(0, len(some), batch):
+            learn(some[i:i + batch], y[i:i + batch], weight[i:i + batch])
     for _ in range(rounds):
         logit = logits(net, types, ids)
         top = np.lexsort((-logit, owner))[first]  # the worst window of each text
         for _ in range(max(3, 4000 // len(top))):
             turn = rng.permutation(len(top))
             for i in range(0, len(turn), batch):
-                learn(top[turn[i:i + batch]], labels[turn[i:i + batch]])
+                learn(top[turn[i:i + batch]], labels[turn[i:i + batch]], np.ones(len(turn[i:i + batch])))
+    net.p["bias"] += np.float32(shift(net, checked))
     return net
 
 
+def shift(net: Network, checked: list[tuple[str, int]], prior: float = 1.0) -> float:
+    """What to add to the logits so that scores of ``checked`` (text, label) pairs add up to
+    their labels; ``prior`` labels a unit hold it back."""
+    if not checked:
+        return 0.0
+    score = Scorer(net).score([t for t, _ in checked])
+    logit = np.log(np.maximum(score, 1e-12) / np.maximum(1 - score, 1e-12))
+    low, high = -20.0, 20.0
+    for _ in range(50):
+        middle = (low + high) / 2
+        short = (1 / (1 + np.exp(-(logit + middle)))).sum() + prior * middle < sum(y for _, y in checked)
+        low, high = (middle, high) if short else (low, middle)
+    return low
+
+
 def logits(net: Network, types: list[str], ids: np.ndarray, vectors: np.ndarray | None = None) -> np.ndarray:
     """Logits of windows of numbers in ``types``; len(types) is the padding."""
     vectors = net.embed(types) if vectors is None else vectors

@@ -129,3 +129,24 @@ def test_late_passages_are_learned(spark):
     labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in docs], "doc_id long, toxic int")
     got = T.rate(spark.createDataFrame(docs, "doc_id long, text string"), labels).where("held_out").collect()
     assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in got]) > 0.85
+
+
+def test_held_out_labels_of_the_given_table(spark):
+    """The network learns from a random start; nothing of the sample is written into it beforehand."""
+    d = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{d}/labels.parquet").select("doc_id", "toxic").collect()}
+    got = {r.doc_id: (r.predicted, r.score) for r in T.query(spark, d).where("held_out").collect() if r.doc_id in labels}
+    toxic = [i for i in got if labels[i] == 1]
+    clean = [i for i in got if labels[i] == 0]
+    assert np.mean([got[i][0] for i in toxic]) > 0.8
+    assert np.mean([got[i][0] for i in clean]) < 0.03
+    assert np.mean([[got[i][1] > got[j][1] for j in clean] for i in toxic]) > 0.93
+
+
+def test_bias_moves_until_scores_add_up_to_labels():
+    net = T.Network([], 3)
+    net.p["out"][:] = 0
+    checked = [("a b", 1), ("c", 0), ("d e", 0), ("f", 0)] * 100
+    assert T.shift(net, []) == 0
+    assert abs(1 / (1 + np.exp(-T.shift(net, checked))) - 0.25) < 0.01
+    assert T.train([]).p["bias"][0] == -4 and T.train([("x", 1)]).p["bias"][0] == 4
