@@ -36,7 +36,7 @@ from dimfold.llm.common import dealt_anew, durable, pick, read
 from dimfold.session import ensure_checkpoint_dir
 
 FILE_BYTES = 1 << 30
-RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
+RANGE_BYTES, GAP_BYTES, TASK_BYTES = 8 << 20, 64 << 10, 128 << 20
 INDEX = "path string, offset long, length long, url string, payload_digest string, page_id long"
 RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -172,15 +172,21 @@ def _reader(range_bytes: int, gap_bytes: int, with_payload: bool):
     return run
 
 
-def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: int = GAP_BYTES, with_payload: bool = True) -> DataFrame:
+def read_records(index: DataFrame, range_bytes: int = RANGE_BYTES, gap_bytes: int = GAP_BYTES, with_payload: bool = True,
+                 task_bytes: int = TASK_BYTES) -> DataFrame:
     """The records of the selected ``index`` rows, a row each, read from their archives.
 
     Columns as in RECORD: page_id, url, record_type, refers_to, payload_bytes,
     payload_digest and, unless left out, payload (null for a revisit). Rows of
     the index may repeat. Payload lengths and digests are verified.
+
+    Tasks are counted by the archives' bytes, not the index's, which are few: one for each
+    ``task_bytes`` at least, and as many as the session shuffles to while each has a range to read.
     """
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // task_bytes), min(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // range_bytes)))
     schema = RECORD if with_payload else RECORD.rpartition(", ")[0]
-    return index.select("path", "offset", "length").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset").mapInArrow(
+    return index.select("path", "offset", "length").repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset").mapInArrow(
         _reader(range_bytes, gap_bytes, with_payload), schema)
 
 

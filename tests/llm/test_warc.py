@@ -45,6 +45,16 @@ def test_ranges_coalesce_and_damage_shows(spark, tmp_path):
         W.parse_record(data.replace(b"abc", b"abd"))
 
 
+def test_tasks_follow_the_bytes_of_the_archives(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"u{i}", "".join(map(chr, range(40 + i, 900 + i)))) for i in range(200)], SCHEMA)
+    index = W.write_archives(df, str(tmp_path / "a"))
+    size = index.agg({"length": "sum"}).first()[0]
+    some = W.read_records(index, task_bytes=size // 20)
+    assert 20 <= some.rdd.getNumPartitions() <= 21
+    assert {r.page_id for r in some.collect()} == set(range(200))
+    assert W.read_records(index).rdd.getNumPartitions() == 1  # one range of bytes
+
+
 def test_empty_table(spark, tmp_path):
     index = W.write_archives(spark.createDataFrame([], SCHEMA), str(tmp_path / "a"))
     assert index.count() == 0 and W.read_records(index).count() == 0
