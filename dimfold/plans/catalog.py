@@ -186,8 +186,14 @@ def q05_entity_history(spark, sf_dir):
 PLAYER_TRACKED = ["scoring_class", "is_active"]
 
 
+def _classed(df: DataFrame, column: str, idle: str) -> DataFrame:
+    """A tracked class is NULL in the first, third, .. year of an absence, so that NULLs come and go in the histories."""
+    return df.withColumn(column, F.when(F.col(idle) % 2 == 0, F.col(column)))
+
+
 def _player_state(c: _Ctx) -> DataFrame:
-    return players_snapshot(c).select("player_name", "current_season", *PLAYER_TRACKED)
+    s = _classed(players_snapshot(c), "scoring_class", "years_since_last_season")
+    return s.select("player_name", "current_season", *PLAYER_TRACKED)
 
 
 def q06_scd2_streaks(spark, sf_dir):
@@ -220,7 +226,8 @@ ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
 
 
 def actor_states(c: _Ctx, end: F.Column) -> DataFrame:
-    return actors_snapshot(c, end=end).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
+    s = _classed(actors_snapshot(c, end=end), "quality_class", "years_since_last_film")
+    return s.select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
 
 
 def _change_points(states, reference, lo, hi):
