@@ -37,7 +37,7 @@ from dimfold.llm.common import TASK_CACHE, ascii_lower, durable, id_part, pick,
 ORDER = 5
 MAX_NODES, HEAD = 100_000, 65_536
 EDGE = 0xFF  # never a byte of UTF-8: before the start and after the end
-LANE = 512
+LANE = 128
 
 
 def lowered(text: str | None) -> bytes:
@@ -56,10 +56,16 @@ def _stream(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray, np.
 
 def _gram(joined: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     """The bytes at the places ``at``, each with the ``order`` bytes before it as one number."""
-    gram = np.zeros(len(at), np.int64)
-    for back in range(order, -1, -1):
-        gram = gram << 8 | joined[at - back]
-    return gram
+    one = joined.astype(np.int64)
+    gram = one.copy()
+    for back in range(1, order + 1):
+        gram[back:] |= one[:-back] << 8 * back
+    return gram[at]
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]][:len(ordered)])
 
 
 def _count_grams(order: int):
@@ -70,9 +76,11 @@ def _count_grams(order: int):
             for step in steps(part.column(0)):
                 texts = [lowered(t) for t in part.column(0)[step].to_pylist()]
                 joined, at, _ = _stream(texts, order)
-                gram, place = np.unique(_gram(joined, at, order), return_inverse=True)
-                n = np.bincount(place, np.repeat(learn[step], [len(t) + 1 for t in texts])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(n)], ["gram", "n"])
+                learned = np.repeat(learn[step], [len(t) + 1 for t in texts])
+                both = np.sort(_gram(joined, at, order) << 1 | learned)  # a sort of plain numbers, no places carried along
+                gram, learned = both >> 1, both & 1
+                new = _starts(gram)
+                yield pa.RecordBatch.from_arrays([pa.array(gram[new]), pa.array(np.add.reduceat(learned, new))], ["gram", "n"])
 
     return run
 
@@ -230,15 +238,14 @@ class Predictor:
         lanes = -(-len(joined) // LANE)
         padded = np.full(self.order + lanes * LANE, EDGE, np.uint8)
         padded[self.order:self.order + len(joined)] = joined
-        symbols = self.symbol[padded].astype(np.int64)
-        begin = np.arange(lanes) * LANE
+        symbols, begin = self.symbol[padded], np.arange(lanes) * LANE
         state, out, whole = np.zeros(lanes, np.int64), np.empty((LANE, lanes), np.float32), np.empty((LANE, lanes), bool)
         for i in range(LANE + self.order):
             cell = state * self.width + symbols[begin + i]
             if i >= self.order:
-                out[i - self.order] = self.flat_table[cell]
+                self.flat_table.take(cell, out=out[i - self.order], mode="clip")
                 whole[i - self.order] = state >= self.whole
-            state = self.flat_next[cell].astype(np.int64)
+            state = self.flat_next.take(cell, mode="clip").astype(np.int64)
         return joined, at, first, out.T.ravel()[at], whole.T.ravel()[at]
 
     def log10(self, texts: list[bytes]) -> np.ndarray:
@@ -253,9 +260,11 @@ class Predictor:
         known; number of the text, window and count of all others."""
         joined, at, first, out, whole = self._places(texts)
         other = np.flatnonzero(~whole)
-        gram, owner = _gram(joined, at[other], self.order), np.searchsorted(first, other, "right") - 1
-        sort = np.lexsort((gram, owner))
-        gram, owner = gram[sort], owner[sort]
+        gram = sum(joined[at[other] - back].astype(np.int64) << 8 * back for back in range(self.order + 1))
+        owner = np.searchsorted(first, other, "right") - 1
+        # Windows are in their texts' order, so each text's are sorted by themselves.
+        for lo, hi in zip(*(np.searchsorted(owner, np.arange(len(texts)), side).tolist() for side in ("left", "right"))):
+            gram[lo:hi].sort()
         new = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][:len(gram)])
         n = np.diff(np.r_[new, len(gram)])
         return np.add.reduceat(np.where(whole, out, 0), first, dtype=np.float64), owner[new], gram[new], n
