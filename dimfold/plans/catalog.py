@@ -226,6 +226,11 @@ ACTOR_DEFAULTS = {"is_active": False, "n_films": 0}
 
 
 def actor_states(c: _Ctx, end: F.Column) -> DataFrame:
+    return actors_snapshot(c, end=end).select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
+
+
+def classed_states(c: _Ctx, end: F.Column) -> DataFrame:
+    """The actor states of the SCD queries: some classes are NULL."""
     s = _classed(actors_snapshot(c, end=end), "quality_class", "years_since_last_film")
     return s.select(*ACTOR_KEYS, "current_year", *ACTOR_TRACKED)
 
@@ -240,7 +245,7 @@ def _cp_query(spark, sf_dir, reference):
     c = Ctx(spark, sf_dir)
     lo, hi = film_years(c)
     # The snapshot spine starts at each actor's first year, so its first period is the films' first year.
-    return _change_points(actor_states(c, hi), reference, lo, hi)
+    return _change_points(classed_states(c, hi), reference, lo, hi)
 
 
 def q08_scd2_change_points(spark, sf_dir):
@@ -259,7 +264,7 @@ def _merge(spark, sf_dir, reference):
     """
     c = Ctx(spark, sf_dir)
     lo, hi = film_years(c)
-    states = actor_states(c, hi)
+    states = classed_states(c, hi)
     history = _change_points(states.where(F.col("current_year") < hi), reference, lo, hi - 1)
     return scd.scd2_merge(history, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, reference=reference,
                           last_processed=hi - 1, fill=None if reference else "quality_class")
@@ -678,7 +683,7 @@ def q51_merge_counts_observed(spark, sf_dir):
     """The merge of q09 written once by start year, the counts of q10 seen on the way, and the table read back."""
     c = Ctx(spark, sf_dir)
     lo, hi = film_years(c)
-    states = actor_states(c, hi)
+    states = classed_states(c, hi)
     before = _change_points(states.where(F.col("current_year") < hi), False, lo, hi - 1)
     history, seen = scd.scd2_merge_observed(before, states, ACTOR_KEYS, "current_year", ACTOR_TRACKED, last_processed=hi - 1, fill="quality_class")
     table = _shared(spark, "history")

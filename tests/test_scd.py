@@ -142,3 +142,17 @@ def test_merge_reference_closes_before_start(spark):
     assert rows(c_fix) == [(1, 1)]
     assert rows(m_fix, "start_year", "end_year", "quality_class", "is_current") == srt([
         (2000, 2001, "good", False), (2002, 2002, "star", True)])
+
+
+def test_merge_equals_rebuild_where_classes_are_null(spark):
+    """With the same fill, classes that come and go give the same records by either way."""
+    c = catalog.Ctx(spark, SF_SMALL)
+    lo, hi = catalog.film_years(c)
+    states = catalog.classed_states(c, hi)
+    assert states.where(F.col("quality_class").isNull() & (F.col("current_year") == hi)).count() > 0
+    history = catalog._change_points(states.where(F.col("current_year") < hi), False, lo, hi - 1)
+    merged, _ = scd.scd2_merge(history, states, catalog.ACTOR_KEYS, "current_year", catalog.ACTOR_TRACKED,
+                               last_processed=hi - 1, fill="quality_class")
+    full = catalog._change_points(states, False, lo, hi)
+    known = history.select("actorid").distinct()
+    assert rows(merged.join(known, "actorid", "left_semi")) == rows(full.select(merged.columns).join(known, "actorid", "left_semi"))
