@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from dimfold.operators import activity, reduced, scd, state
+from dimfold.operators import activity, facts, reduced, scd, state
 from dimfold.plans import catalog
 
 D = dt.date
@@ -84,3 +84,30 @@ def test_plans_without_needless_work(spark):
         assert not jobs.getJobIdsForGroup("lazy")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _with_conf(spark, conf, run):
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return run()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_dimension_of_few_keys_is_broadcast_and_facts_are_formatted_before_it(spark, tmp_path):
+    dim, fact = str(tmp_path / "dim"), str(tmp_path / "fact")
+    spark.range(1000).selectExpr("cast(id % 3 as int) as team_id", "concat('a', id) as arena").write.parquet(dim)
+    spark.range(50).selectExpr("cast(id % 3 as int) as dim_team_id", "id as n").write.parquet(fact)
+
+    def run():
+        df = facts.fact_with_dimension(spark.read.parquet(fact), spark.read.parquet(dim), "dim_team_id", "team_id")
+        return len(df.collect()), plan_of(df).partition("== Initial Plan ==")[0]
+
+    n, final = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+                                  "spark.sql.shuffle.partitions": "100"}, run)
+    assert n == 17 * 334 + 17 * 333 + 16 * 333 and "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+    over = plan_of(catalog.q15b_fact_team_join_ref(spark, SF_SMALL)).partition("Join")[0]
+    assert "date_format" not in over and "round(" not in over
