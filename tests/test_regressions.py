@@ -6,7 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
-from dimfold.operators import activity, facts, reduced, scd, state
+from dimfold.operators import activity, facts, quality, reduced, scd, state
 from dimfold.plans import catalog
 
 D = dt.date
@@ -86,6 +86,11 @@ def test_plans_without_needless_work(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+DETAIL = ("game_id long, team_id int, player_id int, player_name string, start_position string, comment string, min string, "
+          + ", ".join(f"{m} int" for m, _ in facts.MEASURES))
+GAME = "game_id long, game_date_est date, season int, home_team_id int"
+
+
 def _with_conf(spark, conf, run):
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
@@ -97,6 +102,39 @@ def _with_conf(spark, conf, run):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def _details(spark):
+    n = len(facts.MEASURES)
+    line = lambda g, t, p, pts: (g, t, p, f"p{p}", None, "DNP", "12:30", *[pts] * n)
+    same = [line(1, 1, 10, 5)] * 4 + [line(1, 1, 10, 3), line(1, 2, 10, 7), line(1, None, 11, 1), line(1, None, 11, 2)]
+    more = [line(g, g % 3, p, p) for g in (2, 3, 9) for p in (1, 2)] + [line(None, 1, 1, 1), line(2, 2, 1, 0)]
+    return spark.createDataFrame(same + more, DETAIL)
+
+
+def test_the_fact_build_shuffles_its_wide_rows_once_and_sorts_after_it(spark):
+    games = spark.createDataFrame([(g, D(2024, 1, g), 2024, 1) for g in (1, 2, 3)], GAME)
+
+    def run():
+        df = facts.build_fact(_details(spark), games)
+        df.collect()
+        return plan_of(df)
+
+    final = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, run).partition("== Initial Plan ==")[0]
+    wide = [x for x in final.splitlines() if "Exchange hashpartitioning(game_id" in x]
+    assert "SortMergeJoin" in final and wide and not any("team_id" in x for x in wide)
+    # The windows' limits are all above (after) the shuffle of the details: no map task sorts them.
+    below = final[final.rindex("WindowGroupLimit"):]
+    assert "Exchange" in below and "LeftAnti" not in final[:final.rindex("WindowGroupLimit")]
+
+
+def test_the_fact_build_gives_the_same_rows_for_hot_games(spark):
+    games = spark.createDataFrame([(1, D(2024, 1, 1), 2024, 1), (2, D(2024, 1, 2), 2024, 2), (2, D(2024, 1, 3), 2024, 2), (3, None, None, None)], GAME)
+    det = _details(spark)
+    plain = quality.dedupe_first(det, list(facts.FACT_KEYS)).join(games, "game_id")
+    want = rows(plain, "game_date_est", "team_id", "player_id", "pts")
+    got = [rows(facts.build_fact(det, games, hot_rows=n), "dim_game_date", "dim_team_id", "dim_player_id", "m_pts") for n in (0, 3, 100)]
+    assert len(want) == 9 and got == [want] * 3
+
+
 def test_a_dimension_of_few_keys_is_broadcast_and_facts_are_formatted_before_it(spark, tmp_path):
     dim, fact = str(tmp_path / "dim"), str(tmp_path / "fact")
     spark.range(1000).selectExpr("cast(id % 3 as int) as team_id", "concat('a', id) as arena").write.parquet(dim)
