@@ -149,3 +149,18 @@ def test_a_dimension_of_few_keys_is_broadcast_and_facts_are_formatted_before_it(
     assert n == 17 * 334 + 17 * 333 + 16 * 333 and "BroadcastHashJoin" in final and "SortMergeJoin" not in final
     over = plan_of(catalog.q15b_fact_team_join_ref(spark, SF_SMALL)).partition("Join")[0]
     assert "date_format" not in over and "round(" not in over
+
+
+def test_the_fact_and_team_join_deals_its_details_by_game_alone(spark):
+    """Broadcasts off, so that games and teams are joined as large tables are."""
+    games = spark.createDataFrame([(g, D(2024, 1, g), 2024, 1) for g in (1, 2, 3)], GAME)
+    teams = spark.createDataFrame([(t, a) for t in (0, 1, 2) for a in ("y", "x")], "team_id int, arena string")
+
+    def run():
+        df = facts.fact_with_dimension(facts.build_fact(_details(spark), games), teams, "dim_team_id", "team_id", dedupe=True)
+        return [(r.team_id, r.arena, r.m_pts) for r in df.collect()], plan_of(df).partition("== Initial Plan ==")[0]
+
+    got, final = _with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, run)
+    assert sorted(got) == [(0, "x", 1), (0, "x", 2), (1, "x", 3), (2, "x", 0), (2, "x", 2), (2, "x", 7)]
+    wide = [x for x in final.splitlines() if "Exchange hashpartitioning(game_id" in x]
+    assert wide and not any("player_id" in x for x in wide)
