@@ -135,6 +135,15 @@ def test_the_fact_build_gives_the_same_rows_for_hot_games(spark):
     assert len(want) == 9 and got == [want] * 3
 
 
+def test_the_fact_build_keeps_one_row_of_a_key_that_spans_games(spark):
+    games = spark.createDataFrame([(g, D(2024, 1, g), 2024, 1) for g in (1, 2, 3)], GAME)
+    det, keys = _details(spark), ["team_id", "player_id"]
+    det = det.union(det.where("game_id = 1").withColumn("game_id", F.lit(2).cast("long")).limit(1))
+    want = rows(quality.dedupe_first(det, keys).join(games, "game_id"), "game_date_est", "team_id", "player_id", "pts")
+    got = [rows(facts.build_fact(det, games, keys, hot_rows=n), "dim_game_date", "dim_team_id", "dim_player_id", "m_pts") for n in (0, 5, 100)]
+    assert len({r[1:3] for r in want}) == len(want) and got == [want] * 3
+
+
 def test_a_dimension_of_few_keys_is_broadcast_and_facts_are_formatted_before_it(spark, tmp_path):
     dim, fact = str(tmp_path / "dim"), str(tmp_path / "fact")
     spark.range(1000).selectExpr("cast(id % 3 as int) as team_id", "concat('a', id) as arena").write.parquet(dim)
