@@ -3,6 +3,7 @@
 import datetime as dt
 import re
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
@@ -173,3 +174,44 @@ def test_the_fact_and_team_join_deals_its_details_by_game_alone(spark):
     assert sorted(got) == [(0, "x", 1), (0, "x", 2), (1, "x", 3), (2, "x", 0), (2, "x", 2), (2, "x", 7)]
     wide = [x for x in final.splitlines() if "Exchange hashpartitioning(game_id" in x]
     assert wide and not any("player_id" in x for x in wide)
+
+
+def _multiplied(spark):
+    """Facts (some of no, one of an unknown key, two the same) in four partitions, and dimension rows that come often."""
+    fact = spark.range(0, 40, 1, 4).selectExpr("cast(if(id % 13 = 5, null, if(id = 7, 9, id % 3)) as int) as k", "cast(id as int) as n")
+    fact = fact.union(spark.createDataFrame([(1, 1)], "k int, n int"))
+    dim = spark.range(0, 1900, 1, 4).selectExpr("cast(if(id < 1100, 0, if(id % 50 = 0, null, if(id % 5 = 0, 2, 1))) as int) as id", "concat('a', id % 700) as a")
+    return fact, dim
+
+
+def test_the_multiplying_join_gives_the_rows_of_the_plain_join(spark):
+    fact, dim = _multiplied(spark)
+    want = rows(dim.join(fact, dim.id == fact.k).select("id", "a", "k", "n"))
+    assert len(want) > 20_000
+    for threshold in ("-1", "10m"):
+        conf = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold}
+        got = _with_conf(spark, conf, lambda: [
+            (df.columns, rows(df)) for df in (facts.fact_with_dimension(fact, dim, "k", "id", **more)
+                                              for more in ({}, {"spread": ["n"]}, {"spread": [], "block_rows": 100}))])
+        assert got == [(["id", "a", "k", "n"], want)] * 3
+
+
+def test_the_multiplying_join_writes_a_fact_in_runs_and_few_keys_a_file(spark, tmp_path):
+    fact, dim = _multiplied(spark)
+    pairs = 13 * 3 + 13 * 2 + 13  # facts of a key times its blocks of 512 rows, at most
+    for name, threshold in (("merge", "-1"), ("broadcast", "10m")):
+        conf = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold}
+        to = tmp_path / name
+        _with_conf(spark, conf, lambda: facts.fact_with_dimension(fact, dim, "k", "id").write.parquet(str(to)))
+        files = [pq.read_table(f).to_pydict() for f in sorted(to.glob("*.parquet"))]
+        files = [f for f in files if f["n"]]
+        runs = sum(1 + sum(x != y for x, y in zip(f["n"], f["n"][1:], strict=False)) for f in files)
+        assert runs <= pairs and sum(len(set(f["id"])) for f in files) <= len(files) + 2
+    # Broadcast, the rows of the key that has most are dealt to several tasks.
+    assert max(len(f["n"]) for f in files) <= sum(len(f["n"]) for f in files) / 2
+
+
+def test_q15b_meets_the_teams_in_blocks_laid_out_before_the_join(spark):
+    plan = plan_of(catalog.q15b_fact_team_join_ref(spark, SF_SMALL))
+    laid = [x for x in plan.splitlines() if "rangepartitioning(dim_team_id" in x]
+    assert laid and all("_block" in x and "dim_player_id" in x and "REPARTITION_BY_NUM" in x for x in laid)
